@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import packing, token_files
+from . import decontaminate, language, packing, quality, token_files
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,5 +21,18 @@ def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), "byte_bpe_50k.json", capacity=2048, end_id=0)
 
 
-QUERIES = {f.__name__: f for f in (op1_token_files, op7_best_fit_packing)}
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify(table(spark, sf_dir, "documents"))
+
+
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), width=10)
+
+
+def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return rows.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "anomaly")
+
+
+QUERIES = {f.__name__: f for f in (op1_token_files, op4_language_id, op7_best_fit_packing, op8_decontamination, op10_quality_rules)}
 ORACLES: dict[str, str] = {}
