@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, language, packing, quality, token_files
+from . import decontaminate, language, packing, quality, sharding, token_files
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -29,10 +29,14 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), width=10)
 
 
+def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shards(table(spark, sf_dir, "documents"), n_shards=40)
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return rows.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "anomaly")
 
 
-QUERIES = {f.__name__: f for f in (op1_token_files, op4_language_id, op7_best_fit_packing, op8_decontamination, op10_quality_rules)}
+QUERIES = {f.__name__: f for f in (op1_token_files, op4_language_id, op7_best_fit_packing, op8_decontamination, op9_sharding, op10_quality_rules)}
 ORACLES: dict[str, str] = {}
