@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, language, minhash, packing, quality, sharding, token_files
+from . import decontaminate, language, minhash, packing, quality, sharding, suffix_dedup, token_files, window_dedup
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,6 +17,10 @@ def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read(spark, blocks, index, docs)
 
 
+def op6_window_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return window_dedup.window_dedup(table(spark, sf_dir, "documents"), width=50)
+
+
 def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), "byte_bpe_50k.json", capacity=2048, end_id=0)
 
@@ -25,6 +29,10 @@ def op2_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), percent=85)
 
 
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.suffix_dedup(table(spark, sf_dir, "documents"), width=50)
+
+
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(table(spark, sf_dir, "documents"))
 
@@ -42,5 +50,5 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "anomaly")
 
 
-QUERIES = {f.__name__: f for f in (op1_token_files, op2_minhash, op4_language_id, op7_best_fit_packing, op8_decontamination, op9_sharding, op10_quality_rules)}
+QUERIES = {f.__name__: f for f in (op1_token_files, op2_minhash, op3_suffix_dedup, op4_language_id, op6_window_dedup, op7_best_fit_packing, op8_decontamination, op9_sharding, op10_quality_rules)}
 ORACLES: dict[str, str] = {}
