@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, language, minhash, packing, quality, sharding, suffix_dedup, token_files, window_dedup
+from . import decontaminate, language, minhash, packing, quality, scoring, sharding, suffix_dedup, token_files, window_dedup
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,6 +17,10 @@ def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read(spark, blocks, index, docs)
 
 
+def op5_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scoring.scores(table(spark, sf_dir, "documents"), folds=7, fold=2)
+
+
 def op6_window_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return window_dedup.window_dedup(table(spark, sf_dir, "documents"), width=50)
 
@@ -50,5 +54,5 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "anomaly")
 
 
-QUERIES = {f.__name__: f for f in (op1_token_files, op2_minhash, op3_suffix_dedup, op4_language_id, op6_window_dedup, op7_best_fit_packing, op8_decontamination, op9_sharding, op10_quality_rules)}
+QUERIES = {f.__name__: f for f in (op1_token_files, op2_minhash, op3_suffix_dedup, op4_language_id, op5_lm_scoring, op6_window_dedup, op7_best_fit_packing, op8_decontamination, op9_sharding, op10_quality_rules)}
 ORACLES: dict[str, str] = {}
