@@ -150,26 +150,29 @@ def item_blocks(benchmark: DataFrame, limit: int) -> Iterator[tuple[list, pa.Arr
 SCHEMA = "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean"
 
 
-def contamination(docs: DataFrame, benchmark: DataFrame, width: int = 10, limit: int = TEST_BLOCK_BYTES, with_spans: bool = False) -> DataFrame:
+def contamination(docs: DataFrame, benchmark: DataFrame, width: int = 10, limit: int = TEST_BLOCK_BYTES, with_spans: bool = False, carry: tuple[str, ...] = ()) -> DataFrame:
     """Hits of windows of `width` test words in every document.
 
     A null text has no words and no hits; an item with fewer words than `width`
     is one window, an item without words or id gives none.  Repeated rows and
     null doc_ids give rows of their own.  Without documents there is no row;
     without items nothing is hit.  `with_spans` adds the runs of hit words as
-    arrays of first word and end, and the items.
+    arrays of first word and end, and the items; `carry` names columns of docs
+    that are returned too.
     """
-    source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *(c for c in carry if c != "text"))
     spark = docs.sparkSession
     packed = []
     for ids, texts in item_blocks(benchmark, limit):
         packed.append(spark.sparkContext.broadcast(pickle.dumps(Tests(ids, texts, width))))
         if len(packed) > 1:
             # beyond one block: passes of one block each, put together per document
-            return _many_blocks(source, benchmark, width, limit, with_spans)
+            return _many_blocks(source, benchmark, width, limit, with_spans, carry)
     own = packed[0] if packed else spark.sparkContext.broadcast(pickle.dumps(Tests([], pa.array([], pa.string()), width)))
     names = [x.split()[0] for x in SCHEMA.split(", ")]
     schema = SCHEMA + (", spans array<array<bigint>>, items array<string>" if with_spans else "")
+    kept = [f for f in source.schema if f.name in carry]
+    schema += "".join(f", `{f.name}` {f.dataType.simpleString()}" for f in kept)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tests = pickle.loads(own.value)
@@ -181,7 +184,8 @@ def contamination(docs: DataFrame, benchmark: DataFrame, width: int = 10, limit:
             columns = [rows["doc_id"], pa.array(words.counts, pa.int64()), pa.array(hit, pa.int64()), pa.array([len(x) for x in items], pa.int64()), pa.array([hashlib.sha256(",".join(x).encode()).hexdigest() for x in items]), pa.array([h > 0 for h in hit])]
             if with_spans:
                 columns += [pa.array(spans, pa.list_(pa.list_(pa.int64()))), pa.array(items, pa.list_(pa.string()))]
-            yield pa.RecordBatch.from_arrays(columns, names + ["spans", "items"] * with_spans)
+            columns += [rows[f.name] for f in kept]
+            yield pa.RecordBatch.from_arrays(columns, names + ["spans", "items"] * with_spans + [f.name for f in kept])
 
     return source.mapInArrow(run, schema)
 
@@ -210,7 +214,7 @@ def _found(words: Words, tests: Tests, window: np.ndarray, at: np.ndarray) -> tu
     return spans, [sorted(set(x)) for x in items]
 
 
-def _many_blocks(source: DataFrame, benchmark: DataFrame, width: int, limit: int, with_spans: bool) -> DataFrame:
+def _many_blocks(source: DataFrame, benchmark: DataFrame, width: int, limit: int, with_spans: bool, carry: tuple[str, ...]) -> DataFrame:
     """One pass per block of items over the documents; spans and items of a document are put together at the end."""
     from .tables import written
 
@@ -226,11 +230,13 @@ def _many_blocks(source: DataFrame, benchmark: DataFrame, width: int, limit: int
                 spans, items = _found(words, tests, *shard_matches(words, tests))
                 yield pa.RecordBatch.from_arrays([rows["row_uid"], rows["doc_id"], pa.array(words.counts, pa.int64()), pa.array(spans, pa.list_(pa.list_(pa.int64()))), pa.array(items, pa.list_(pa.string()))], ["row_uid", "doc_id", "n_words", "spans", "items"])
 
-        part = written(source.mapInArrow(run, "row_uid long, doc_id long, n_words long, spans array<array<bigint>>, items array<string>"), "hits")
+        part = written(source.select("row_uid", "doc_id", "text").mapInArrow(run, "row_uid long, doc_id long, n_words long, spans array<array<bigint>>, items array<string>"), "hits")
         parts = part if parts is None else parts.unionByName(part)
     merged = parts.groupBy("row_uid").agg(F.first("doc_id").alias("doc_id"), F.first("n_words").alias("n_words"), F.array_sort(F.flatten(F.collect_list("spans"))).alias("raw"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
     # runs in order: one that starts within what is covered lengthens it
     joined = F.aggregate("raw", F.array().cast("array<array<bigint>>"), lambda out, x: F.when((F.size(out) > 0) & (F.element_at(out, -1)[1] >= x[0]), F.concat(F.slice(out, 1, F.size(out) - 1), F.array(F.array(F.element_at(out, -1)[0], F.greatest(F.element_at(out, -1)[1], x[1]))))).otherwise(F.concat(out, F.array(x))))
     merged = merged.withColumn("spans", joined).withColumn("n_hit", F.aggregate("spans", F.lit(0).cast("long"), lambda a, x: a + x[1] - x[0]))
-    out = merged.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"), "spans", "items")
+    if carry:
+        merged = merged.join(source.select("row_uid", *carry), "row_uid")
+    out = merged.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"), "spans", "items", *carry)
     return out if with_spans else out.drop("spans", "items")

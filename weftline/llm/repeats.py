@@ -280,10 +280,10 @@ def covered(found: list, width: int, n: int) -> np.ndarray:
     return np.cumsum(step[:-1]) > 0
 
 
-def repeated(docs: DataFrame, symbols: Callable[[Texts], Sequence], resolver: Resolver, width: int, k: int) -> DataFrame:
-    """doc_id, text, `found` (packed runs of hit windows, null: none) and `copy` (all windows are hit) of every row."""
+def repeated(docs: DataFrame, symbols: Callable[[Texts], Sequence], resolver: Resolver, width: int, k: int, carry: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, text, carried columns, `found` (packed runs of hit windows, null: none) and `copy` (all windows are hit) of every row."""
     spark = docs.sparkSession
-    base = keyed(docs)
+    base = keyed(docs, carry)
     total = docs.agg(F.sum(F.octet_length(F.col("text").cast("string")))).first()[0] or 0
     buckets = max(partitions(spark), math.ceil(total / BUCKET_BYTES))
     # whole copies, by digest
@@ -296,4 +296,4 @@ def repeated(docs: DataFrame, symbols: Callable[[Texts], Sequence], resolver: Re
     strings = base.join(own.hint("shuffle_hash"), ["id0", "fp"]).filter("doc_id is not null").select("id0", "fp", "text", "found").mapInArrow(send_super_kmers(symbols, width, k, buckets), KMERS)
     hits = strings.groupBy("bucket").applyInArrow(resolve(symbols, resolver, width), "id0 long, fp long, found binary").groupBy("id0", "fp").agg(F.collect_list("found").alias("found"))
     ends = hits.join(copies, ["id0", "fp"], "full")
-    return base.join(ends.hint("shuffle_hash"), ["id0", "fp"], "left").select("doc_id", "text", F.when(F.col("doc_id").isNotNull(), F.col("found")).alias("found"), F.coalesce("copy", F.lit(False)).alias("copy"))
+    return base.join(ends.hint("shuffle_hash"), ["id0", "fp"], "left").select("doc_id", "text", *carry, F.when(F.col("doc_id").isNotNull(), F.col("found")).alias("found"), F.coalesce("copy", F.lit(False)).alias("copy"))

@@ -97,15 +97,16 @@ def suffix_resolver(width: int):
 SCHEMA = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
 
 
-def suffix_dedup(docs: DataFrame, width: int = WIDTH, kmer: int = KMER, with_text: bool = False) -> DataFrame:
+def suffix_dedup(docs: DataFrame, width: int = WIDTH, kmer: int = KMER, with_text: bool = False, carry: tuple[str, ...] = ()) -> DataFrame:
     """Remove each byte covered by a `width`-byte string that also starts in a document with a smaller doc_id.
 
     Strings are judged on the input.  A null text is empty.  A null doc_id is
     neither smaller nor larger than any: its row takes no part and stays whole.
     Rows of one doc_id do not count as earlier than each other.  An empty table
     gives no rows.  `with_text` adds what is left as text; characters of which
-    only a part is left go.
+    only a part is left go.  `carry` names columns of docs that are returned too.
     """
+    kept_columns = [f for f in docs.schema if f.name in carry]
     names = [x.split()[0] for x in SCHEMA.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -122,6 +123,8 @@ def suffix_dedup(docs: DataFrame, width: int = WIDTH, kmer: int = KMER, with_tex
                 for x, v in zip(out, (len(raw), removed, spans, hashlib.sha256(kept).hexdigest(), kept.decode("utf-8", "ignore") if with_text else None), strict=True):
                     x.append(v)
             columns = [part["doc_id"], *(pa.array(x, pa.int64()) for x in out[:3]), pa.array(out[3], pa.string())]
-            yield pa.RecordBatch.from_arrays(columns + [pa.array(out[4], pa.string())] * with_text, names + ["text"] * with_text)
+            columns += [pa.array(out[4], pa.string())] * with_text + [part[f.name] for f in kept_columns]
+            yield pa.RecordBatch.from_arrays(columns, names + ["text"] * with_text + [f.name for f in kept_columns])
 
-    return repeated(docs, byte_symbols, suffix_resolver(width), width, kmer).mapInArrow(run, SCHEMA + (", text string" if with_text else ""))
+    schema = SCHEMA + ", text string" * with_text + "".join(f", `{f.name}` {f.dataType.simpleString()}" for f in kept_columns)
+    return repeated(docs, byte_symbols, suffix_resolver(width), width, kmer, carry).mapInArrow(run, schema)

@@ -50,10 +50,10 @@ def text_key() -> Column:
     return F.xxhash64(F.col("text"), F.col("doc_id").isNull())
 
 
-def keyed(docs: DataFrame) -> DataFrame:
-    """doc_id, text and the two columns that identify a row in joins.
+def keyed(docs: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, text, columns to carry, and the two columns that identify a row in joins.
 
-    Other columns go, so none can clash.  Rows equal in doc_id and text are
+    All other columns go, so none can clash.  Rows equal in doc_id and text are
     alike to every operator; joins keep one copy on the side of results.
     """
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).withColumns({"id0": null_key(), "fp": text_key()})
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *carry).withColumns({"id0": null_key(), "fp": text_key()})
