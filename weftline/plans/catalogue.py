@@ -1,4 +1,536 @@
-"""All registered queries and their SQL."""
+"""All registered queries: operators bound to the tables of a folder. Their SQL is in `oracles`."""
 
-QUERIES: dict = {}
-ORACLES: dict[str, str] = {}
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from weftline.functions import text as tx
+from weftline.operators import graph as g
+from weftline.operators import pairs as p
+from weftline.operators import records as rec
+from weftline.operators import temporal as t
+from weftline.operators import vectors as vec
+from weftline.plans.oracles import ORACLES  # noqa: F401  (read by the entry point)
+from weftline.sources.readers import table
+from weftline.streaming import streams
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+
+
+def query(f: Callable) -> Callable:
+    """Register a function of a reader: q("orders") is the table of that name."""
+    QUERIES[f.__name__] = lambda spark, folder: f(lambda name: table(spark, folder, name))
+    return f
+
+
+def part_members(q) -> DataFrame:
+    """(signal, key, entity): what parts share."""
+    part = q("part")
+    return part.select(F.lit("brand").alias("signal"), F.col("p_brand").alias("key"), F.col("p_partkey").alias("entity")).unionByName(part.select(F.lit("type"), F.col("p_type"), "p_partkey").toDF("signal", "key", "entity"))
+
+
+def signal_scores(q, cap: int = 500) -> DataFrame:
+    members = part_members(q)
+    weights = p.group_weights(members, ["signal", "key"], "entity")
+    pairs = p.shared_pairs(members, ["signal", "key"], "entity", cap).join(weights, ["signal", "key"])
+    return pairs.groupBy("a", "b").agg(F.round(F.sum("weight"), 6).alias("score"), F.array_join(F.array_sort(F.collect_set("signal")), ",").alias("signals"))
+
+
+@query
+def shared_signal_topk(q):
+    return p.top_related(signal_scores(q), 20).select("a", "b", "score", "signals", "candidates", "rank")
+
+
+@query
+def idf_weights(q):
+    return p.group_weights(part_members(q), ["signal", "key"], "entity").withColumn("weight", F.round("weight", 6))
+
+
+@query
+def capped_group_members(q):
+    return p.capped(part_members(q), ["signal", "key"], "entity", 10)
+
+
+@query
+def recency_decay(q):
+    return q("orders").select("o_orderkey", t.recency(F.year("o_orderdate"), 2000).alias("decay"))
+
+
+@query
+def supplier_bridge_pairs(q):
+    used = q("lineitem").select("l_suppkey", "l_partkey").distinct()
+    pairs = p.shared_pairs(p.capped(used, ["l_suppkey"], "l_partkey", 20), ["l_suppkey"], "l_partkey").filter("a < b")
+    return pairs.groupBy("a", "b").agg(F.countDistinct("l_suppkey").alias("n_suppliers"))
+
+
+def dated(q) -> DataFrame:
+    return q("orders").select("o_orderkey", "o_custkey", t.day_number("o_orderdate").alias("day"))
+
+
+@query
+def temporal_pairs_30d(q):
+    return t.band_pairs(dated(q), "o_orderkey", "o_custkey", "day", 30)
+
+
+@query
+def sliding_30d_count(q):
+    return t.sliding_count(dated(q), "o_custkey", "day", 30, "n_near").select("o_orderkey", "n_near")
+
+
+@query
+def comention_pairs(q):
+    return p.co_mentions(q("lineitem"), "l_orderkey", "l_partkey")
+
+
+@query
+def pair_support_confidence_lift(q):
+    return p.association(q("lineitem"), "l_orderkey", "l_partkey")
+
+
+def pair_sources(q) -> DataFrame:
+    """Evidence rows of co-ordered parts from three sources."""
+    part = q("part")
+    pairs = p.co_mentions(q("lineitem"), "l_orderkey", "l_partkey")
+    both = pairs.join(part.select(F.col("p_partkey").alias("a"), F.col("p_brand").alias("brand_a"), F.col("p_size").alias("size_a")), "a").join(part.select(F.col("p_partkey").alias("b"), F.col("p_brand").alias("brand_b"), F.col("p_size").alias("size_b")), "b")
+    found = F.array(F.struct(F.lit("order").alias("source"), F.lit(0.45).alias("confidence"), F.lit(3).alias("prio")), F.when(F.col("brand_a") == F.col("brand_b"), F.struct(F.lit("brand").alias("source"), F.lit(0.6).alias("confidence"), F.lit(1).alias("prio"))), F.when(F.col("size_a") == F.col("size_b"), F.struct(F.lit("size").alias("source"), F.lit(0.4).alias("confidence"), F.lit(2).alias("prio"))))
+    return both.select("a", "b", F.explode(F.filter(found, lambda x: x.isNotNull())).alias("s")).select("a", "b", "s.source", "s.confidence", "s.prio")
+
+
+@query
+def noisy_or_merge(q):
+    return p.noisy_or(pair_sources(q), ["a", "b"])
+
+
+@query
+def precedence_first_writer(q):
+    return p.first_writer(pair_sources(q), ["a", "b"], ["prio"]).select("a", "b", "source", F.round(F.least(F.lit(1.0), F.col("confidence") + F.when(F.col("source") == "brand", 0.1).otherwise(0.0)), 3).alias("confidence"))
+
+
+@query
+def capped_pairs_per_group(q):
+    used = p.capped(q("lineitem").select("l_suppkey", "l_partkey").distinct(), ["l_suppkey"], "l_partkey", 8)
+    groups = used.groupBy("l_suppkey").agg((F.count("*") * (F.count("*") - 1) / 2).cast("long").alias("n_pairs"))
+    kept = p.largest_groups_within(groups, "n_pairs", "l_suppkey", 600).select("l_suppkey")
+    return p.shared_pairs(used.join(kept, "l_suppkey"), ["l_suppkey"], "l_partkey").filter("a < b").select("l_suppkey", "a", "b")
+
+
+@query
+def chain_adjacent_lead(q):
+    return t.chain(q("orders"), "o_custkey", ["o_orderdate", "o_orderkey"], "o_orderkey").select("o_custkey", "o_orderkey", "position", "next_key", "length")
+
+
+@query
+def iso_week_buckets(q):
+    weeks = q("events").groupBy(t.iso_week("ts").alias("week")).agg(F.count("*").alias("n"), F.countDistinct("user_id").alias("users"))
+    return weeks.filter("n >= 2")
+
+
+@query
+def flag_bucket(q):
+    flagged = q("events").filter("event_type = 'error'")
+    return flagged.agg(F.lit("error").alias("bucket"), F.count("*").alias("n"), F.countDistinct("user_id").alias("users"), F.min("event_id").alias("first_id"))
+
+
+@query
+def ordered_rule_bucket(q):
+    bucket = tx.rules(F.col("p_type"), [("brass", "brass"), ("steel", "steel"), ("small", "small"), ("large", "large")], F.concat(F.lit("type_"), F.substring(F.regexp_replace(F.lower("p_type"), " ", "_"), 1, 30)))
+    return q("part").groupBy(bucket.alias("bucket")).agg(F.count("*").alias("n")).filter("n >= 2")
+
+
+def nation_edges(q) -> DataFrame:
+    n = q("nation")
+    left, right = n.select(F.col("n_regionkey"), F.col("n_nationkey").alias("a")), n.select(F.col("n_regionkey"), F.col("n_nationkey").alias("b"))
+    near = left.join(right, "n_regionkey").filter("a <> b and abs(a - b) <= 10")
+    return near.select(F.col("a").cast("string").alias("src"), F.col("b").cast("string").alias("dst"), F.when(F.col("a") < F.col("b"), 0.8).otherwise(0.85).alias("confidence"))
+
+
+@query
+def path_two_hop(q):
+    return p.path_closure(nation_edges(q))
+
+
+@query
+def chain_join_distinct(q):
+    """Parts whose sizes follow each other within a brand, one related part per trigger and size."""
+    part = q("part").select("p_partkey", "p_brand", "p_size")
+    nxt = part.select(F.col("p_partkey").alias("related"), "p_brand", F.col("p_size").alias("related_size"))
+    joined = part.withColumn("related_size", F.col("p_size") + 1).join(nxt, ["p_brand", "related_size"])
+    return p.first_writer(joined, ["p_partkey", "related_size"], ["related"]).select(F.col("p_partkey").alias("trigger_key"), "related", "related_size")
+
+
+@query
+def wide_enrichment(q):
+    orders, lines = q("orders"), q("lineitem")
+    spend = orders.groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.count("*").alias("n_orders"), F.max("o_totalprice").alias("max_price"))
+    items = orders.join(lines, F.col("o_orderkey") == F.col("l_orderkey")).groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.count("*").alias("n_items"), F.count_if(F.col("l_returnflag") == "R").alias("n_returned"))
+    base = q("customer").join(q("nation"), F.col("c_nationkey") == F.col("n_nationkey"), "left").join(q("region"), F.col("n_regionkey") == F.col("r_regionkey"), "left")
+    wide = rec.enrich(base, "c_custkey", spend, items)
+    return wide.select("c_custkey", "n_name", "r_name", F.coalesce("n_orders", F.lit(0)).alias("n_orders"), "max_price", F.coalesce("n_items", F.lit(0)).alias("n_items"), F.coalesce("n_returned", F.lit(0)).alias("n_returned"), F.concat_ws(" + ", F.lit("customer"), F.when(F.col("n_orders").isNotNull(), "orders"), F.when(F.col("n_items").isNotNull(), "items")).alias("provenance"))
+
+
+@query
+def anti_join_pass(q):
+    late = q("orders").filter("o_orderstatus = 'F'").select(F.col("o_custkey").alias("c_custkey"))
+    return q("customer").join(late, "c_custkey", "left_anti").select("c_custkey", "c_mktsegment")
+
+
+@query
+def append_if_absent(q):
+    orders = q("orders")
+    existing = orders.filter("o_orderstatus = 'F'").select("o_custkey", "o_orderpriority")
+    new = p.first_writer(orders.filter("o_orderstatus <> 'F'"), ["o_custkey", "o_orderpriority"], ["o_orderkey"])
+    return rec.absent(new, existing, ["o_custkey", "o_orderpriority"]).select("o_custkey", "o_orderpriority", "o_orderkey")
+
+
+@query
+def keyed_upsert_last_wins(q):
+    return p.last_writer(q("events"), ["user_id", "event_type"], ["ts", "event_id"]).select("user_id", "event_type", "event_id", "value")
+
+
+@query
+def high_water_mark(q):
+    return t.high_water_mark(q("orders"), "o_orderdate", 7)
+
+
+@query
+def band_case(q):
+    return q("part").groupBy(tx.band(F.col("p_retailprice") / 200).alias("band")).agg(F.count("*").alias("n"))
+
+
+@query
+def code_category_map(q):
+    known = q("nation").join(q("region").filter("r_regionkey < 3"), F.col("n_regionkey") == F.col("r_regionkey")).select("n_nationkey", "r_name")
+    return q("customer").join(known, F.col("c_nationkey") == F.col("n_nationkey"), "left").groupBy(F.coalesce("r_name", F.lit("Unknown")).alias("category")).agg(F.count("*").alias("n"))
+
+
+def line_edges(q) -> DataFrame:
+    return q("lineitem").select(F.col("l_suppkey").alias("a"), (F.col("l_partkey") % 100 + 1).alias("b"), F.col("l_discount").alias("score"), F.col("l_returnflag").alias("flag"), "l_orderkey", "l_linenumber")
+
+
+@query
+def canonical_edge_max(q):
+    return g.combined_edges(line_edges(q), "score", "flag", ["l_orderkey", "l_linenumber"])
+
+
+@query
+def edge_array_union(q):
+    return g.combined_edges(line_edges(q), "score", "flag", [], union=True)
+
+
+@query
+def node_coalesce_first(q):
+    e = q("events")
+    pick = lambda c: F.min_by(c, F.struct("ts", "event_id"))
+    return e.groupBy("user_id").agg(pick("event_type").alias("first_type"), F.min_by(F.when(F.col("event_type") == "purchase", F.col("value")), F.when(F.col("event_type") == "purchase", F.struct("ts", "event_id"))).alias("first_purchase"))
+
+
+def part_edges(q) -> DataFrame:
+    """Typed edges of parts: co-ordered, and of one brand and size."""
+    pairs = p.co_mentions(q("lineitem"), "l_orderkey", "l_partkey")
+    ordered = pairs.select("a", "b", F.lit("ordered").alias("rel"), (F.col("n") / (F.col("n") + 1)).alias("score"))
+    alike = p.shared_pairs(q("part").select("p_brand", "p_size", "p_partkey"), ["p_brand", "p_size"], "p_partkey").filter("a < b")
+    return ordered.unionByName(alike.select("a", "b", F.lit("alike").alias("rel"), F.lit(0.4).alias("score")))
+
+
+@query
+def graph_neighbors(q):
+    return g.neighbours(part_edges(q), 1, 25).withColumn("score", F.round("score", 6))
+
+
+@query
+def graph_two_hop(q):
+    return g.two_hops(part_edges(q), 1).select("target", "via", F.round("score", 6).alias("score"))
+
+
+@query
+def graph_mixed_topk(q):
+    own = g.both_ways(part_edges(q)).filter("a = 1").select("b", "rel", F.round("score", 6).alias("score"))
+    return g.mixed_top(own, "b", "alike", 2, 12)
+
+
+@query
+def optional_match_coalesce(q):
+    best = g.both_ways(part_edges(q)).groupBy("a").agg(F.max(F.round("score", 6)).alias("edge_score"), F.count("*").alias("degree"))
+    return q("part").join(best, F.col("p_partkey") == F.col("a"), "left").select("p_partkey", F.coalesce("edge_score", F.round(F.col("p_size") / 100, 6), F.lit(0.0)).alias("score"), F.coalesce("degree", F.lit(0)).alias("degree"))
+
+
+@query
+def tiered_lookup(q):
+    part = q("part")
+    me = part.filter("p_partkey = 7")
+    price = (F.col("p_retailprice") / 10000).alias("epss")
+    direct = g.both_ways(part_edges(q)).filter("a = 7 and rel = 'alike'").select(F.col("b").alias("key"), F.round("score", 6).alias("likelihood"))
+    second = part.join(me.select("p_type"), "p_type", "left_semi").filter("p_partkey <> 7").select(F.col("p_partkey").alias("key"), F.round(F.least(F.lit(0.6), 2 * price + 0.3), 6).alias("likelihood"))
+    third = part.join(me.select("p_brand"), "p_brand", "left_semi").filter("p_partkey <> 7").select(F.col("p_partkey").alias("key"), F.round(F.least(F.lit(0.4), price + 0.2), 6).alias("likelihood"))
+    return g.tiers(direct, second, third, "key", 12)
+
+
+@query
+def cluster_siblings(q):
+    part = q("part").select("p_brand", "p_size", "p_partkey")
+    return p.shared_pairs(part, ["p_brand", "p_size"], "p_partkey").groupBy(F.col("a").alias("p_partkey")).agg(F.countDistinct("b").alias("siblings"), F.min("b").alias("first_sibling"))
+
+
+@query
+def graph_dq_counts(q):
+    return g.quality_counts(line_edges(q).select("a", "b", F.col("flag").alias("rel")))
+
+
+@query
+def coverage_ratios(q):
+    linked = g.both_ways(part_edges(q)).groupBy("a").agg(F.max(F.when(F.col("rel") == "ordered", 1).otherwise(0)).alias("ordered"), F.max(F.when(F.col("rel") == "alike", 1).otherwise(0)).alias("alike"))
+    wide = q("part").join(linked, F.col("p_partkey") == F.col("a"), "left")
+    return wide.agg(F.count("*").alias("n"), *(F.round(F.avg(F.coalesce(c, F.lit(0))), 6).alias(c + "_share") for c in ("ordered", "alike")))
+
+
+@query
+def text_search(q):
+    found = q("part").filter(F.upper("p_name").contains("RED") | F.upper("p_type").contains("BRASS"))
+    return found.select("p_partkey", "p_name", "p_retailprice").orderBy(F.desc("p_retailprice"), "p_partkey").limit(20)
+
+
+PATTERNS = {"emails": r"[a-z0-9._]+@[a-z0-9.]+\.com", "urls": r"https?://[a-zA-Z0-9./_-]+", "numbers": r"[0-9]{4,}"}
+
+
+@query
+def regex_extract_ids(q):
+    return q("documents").select("doc_id", *(F.array_join(tx.find_all(F.col("text"), x), "|").alias(name) for name, x in PATTERNS.items()))
+
+
+def unit_ids(q, separator: str) -> DataFrame:
+    parts = q("documents").select("doc_id", F.posexplode(F.split("text", separator)).alias("pos", "part"))
+    return parts.withColumn("ids", F.array_distinct(F.regexp_extract_all("part", F.lit(r"[0-9]{2,}"), F.lit(0)))).filter("size(ids) >= 2")
+
+
+@query
+def sentence_pairs(q):
+    """The first two ids of each sentence that has two."""
+    return unit_ids(q, r"[.\n]").select("doc_id", "pos", F.col("ids")[0].alias("a"), F.col("ids")[1].alias("b"))
+
+
+@query
+def paragraph_pairs(q):
+    ids = unit_ids(q, r"\n").withColumn("ids", F.array_sort("ids"))
+    return ids.select("doc_id", p.combinations("ids").alias("x")).groupBy("x.a", "x.b").agg(F.countDistinct("doc_id").alias("n_docs"))
+
+
+@query
+def html_strip(q):
+    plain = tx.strip_html(F.col("html"))
+    return q("pages").select("page_id", F.length(plain).alias("n_chars"), F.md5(plain).alias("plain_md5"))
+
+
+@query
+def text_clean(q):
+    return q("documents").select("doc_id", F.md5(tx.clean(F.col("text"))).alias("clean_md5"), F.length(tx.clean(F.col("text"))).alias("n_clean"))
+
+
+@query
+def fixed_chunks(q):
+    return tx.fixed_chunks(q("documents").select("doc_id", "text"), "text", 900, 780).select("doc_id", F.col("chunk_no").alias("chunk_no"), F.md5("chunk").alias("chunk_md5"))
+
+
+@query
+def boundary_chunks(q):
+    return tx.boundary_chunks(q("documents"), "doc_id", "text")
+
+
+@query
+def group_consecutive(q):
+    rows = rec.consecutive_groups(q("documents").select("doc_id", "source", "n_chars"), "source", "doc_id", 10)
+    return rows.groupBy("source", "group_no").agg(F.count("*").alias("n"), F.sum("n_chars").alias("chars"), F.min("doc_id").alias("first_doc"))
+
+
+@query
+def source_quota(q):
+    return rec.quota(q("documents"), "source", ["doc_id"], 5).select("doc_id", "source")
+
+
+@query
+def sha_id(q):
+    return q("documents").select("doc_id", tx.short_id(F.col("source"), F.col("lang"), F.col("text")).alias("chunk_id"))
+
+
+def queries_of(q) -> DataFrame:
+    return q("embeddings").filter("vec_id % 100 = 0")
+
+
+@query
+def vector_topk(q):
+    """The ten nearest vectors of every stated query vector."""
+    return vec.nearest(q("embeddings"), queries_of(q), "vec_id", "embedding", 10).select("query", "vec_id", "cosine")
+
+
+@query
+def hybrid_fusion(q):
+    return fused(q)
+
+
+def fused(q) -> DataFrame:
+    edges = part_edges(q).filter("rel = 'ordered'")
+    hop1 = g.neighbours(edges, 1, 25).select(F.col("b").alias("key"), F.round(g.unit(F.col("score")), 6).alias("graph_score"), F.lit(1).alias("hop"))
+    hop2 = g.two_hops(edges, 1).select(F.col("target").alias("key"), F.round("score", 6).alias("graph_score"), F.lit(2).alias("hop"))
+    near = vec.nearest(q("embeddings"), q("embeddings").filter("vec_id = 0"), "vec_id", "embedding", 20).select((F.col("vec_id") + 1).alias("key"), F.greatest(F.lit(0.0), F.col("cosine")).alias("vector_score"))
+    return g.fuse(hop1.unionByName(hop2), near, "key")
+
+
+@query
+def confidence_top5(q):
+    top = fused(q).orderBy(F.desc("likelihood"), "key").limit(5)
+    return top.agg(F.round(F.avg("likelihood"), 3).alias("confidence"))
+
+
+@query
+def review_policy(q):
+    lines = q("lineitem").groupBy(F.col("l_suppkey").alias("entity"))
+    stats = lines.agg(F.count_if(F.col("l_returnflag") == "R").alias("direct"), F.count_if(F.col("l_returnflag") == "N").alias("inferred"), F.round(F.avg("l_discount") * 9, 3).alias("overall"), F.round(F.max("l_discount") * 6, 3).alias("top3"))
+    return g.review(stats)
+
+
+def turns(q) -> DataFrame:
+    """Instruction and response: a user's turn and the assistant's next one."""
+    c = q("conversations")
+    left = c.filter("role = 'user'").select("conv_id", (F.col("turn") + 1).alias("turn"), F.col("text").alias("instruction"))
+    return left.join(c.filter("role = 'assistant'").select("conv_id", "turn", F.col("text").alias("output")), ["conv_id", "turn"])
+
+
+@query
+def template_pairs(q):
+    price = F.round(F.col("p_retailprice"), 0).cast("long").cast("string")
+    return q("part").select("p_partkey", F.concat(F.lit("What is known about "), F.col("p_name"), F.lit("?")).alias("instruction"), F.concat(F.lit("Brand "), F.col("p_brand"), F.lit(", type "), F.col("p_type"), F.lit(", price "), price, F.lit(".")).alias("output"))
+
+
+@query
+def quality_filter(q):
+    rows = turns(q)
+    return rows.filter((F.length(F.trim("output")) >= 80) & (F.col("output") != F.col("instruction")) & ~F.col("output").rlike(r"^[\sNA/.:-]*$")).select("conv_id", "turn")
+
+
+@query
+def dedup_prefix(q):
+    rows = q("documents").select("doc_id", F.substring("text", 1, 150).alias("head"), "lang")
+    return p.first_writer(rows, ["head", "lang"], ["doc_id"]).select("doc_id")
+
+
+@query
+def cap_per_output(q):
+    rows = q("documents").select("doc_id", F.substring("text", 1, 10).alias("head"))
+    return rec.quota(rows, "head", ["doc_id"], 5).select("doc_id")
+
+
+@query
+def entity_split(q):
+    sizes = q("conversations").groupBy("conv_id").agg(F.count("*").alias("n"))
+    return rec.running_split(sizes, "conv_id", "n", 0.1)
+
+
+@query
+def layer_histogram_share(q):
+    return rec.shares(q("documents"), "source").withColumn("thin", F.col("n") < 40)
+
+
+@query
+def length_stats_p95(q):
+    return rec.rank_value(q("documents").select(F.ceil(F.col("n_chars") / 2.7).alias("tokens")), "tokens", 0.95)
+
+
+@query
+def issue_counts(q):
+    rows = turns(q)
+    again = F.row_number().over(p.W.partitionBy(F.substring("instruction", 1, 120), F.substring("output", 1, 120)).orderBy("conv_id", "turn")) > 1
+    tokens = (F.length("instruction") + F.length("output")) / 2.7
+    return rows.withColumn("again", again).agg(F.count("*").alias("n"), F.count_if(F.trim("output") == "").alias("empty_output"), F.count_if(F.length("output") < 80).alias("short_output"), F.count_if(tokens > 4096).alias("over_limit"), F.count_if(tokens > 4096 * 0.9).alias("near_limit"), F.count_if("again").alias("duplicates"))
+
+
+@query
+def field_coverage(q):
+    return rec.coverage(q("documents"), ["text", "lang", "source", "n_chars"])
+
+
+def recalls(q) -> DataFrame:
+    """Hits of a query's own label among its nearest vectors."""
+    near = vec.nearest(q("embeddings"), queries_of(q), "vec_id", "embedding", 10, label="label")
+    return near.groupBy("query", "query_label").agg(*(F.round(F.count_if((F.col("label") == F.col("query_label")) & (F.col("rank") <= k)) / k, 6).alias(f"recall_{k}") for k in (3, 5, 10)))
+
+
+@query
+def recall_at_k(q):
+    return recalls(q)
+
+
+@query
+def eval_grouping_sets(q):
+    r = recalls(q)
+    return r.rollup("query_label").agg(F.count("*").alias("n"), F.round(F.avg("recall_10"), 6).alias("recall_10"), F.grouping("query_label").cast("int").alias("overall"))
+
+
+@query
+def decontaminate(q):
+    """Overlap of training and evaluation texts by their first 60 cleaned characters."""
+    head = lambda c: F.substring(F.lower(tx.clean(F.col(c))), 1, 60)
+    items = q("benchmark").select(head("text").alias("head")).distinct()
+    return q("documents").select("doc_id", head("text").alias("head")).join(items, "head", "left_anti").select("doc_id")
+
+
+@query
+def json_props(q):
+    k = F.get_json_object("props", "$.k").cast("int")
+    return q("events").groupBy("event_type").agg(F.count("*").alias("n"), F.sum(k).alias("sum_k"), F.max(k).alias("max_k"))
+
+
+@query
+def weighted_oversample(q):
+    times = F.when(F.col("quality") == 1, 3).otherwise(1)
+    return q("labels").filter("quality is not null").select("doc_id", "quality", F.explode(F.sequence(F.lit(1), times)).alias("copy"))
+
+
+@query
+def tumbling_window(q):
+    w = q("events").groupBy(F.window("ts", "1 day").alias("w"), "event_type").agg(F.count("*").alias("n"), F.round(F.sum("value"), 4).alias("total"))
+    return w.select(F.date_format("w.start", "yyyy-MM-dd").alias("day"), "event_type", "n", "total")
+
+
+@query
+def session_window(q):
+    s = t.sessions(q("events"), "user_id", "ts", "event_id", 3600)
+    return s.groupBy("user_id", "session").agg(F.count("*").alias("n"), F.min("event_id").alias("least_id"))
+
+
+@query
+def rate_limit_window(q):
+    """Users over 2 requests in a fixed minute."""
+    per = q("events").groupBy("user_id", F.date_trunc("minute", "ts").alias("minute")).agg(F.count("*").alias("n"))
+    return per.filter("n > 2").select("user_id", F.date_format("minute", "yyyy-MM-dd HH:mm").alias("minute"), "n")
+
+
+@query
+def asof_join(q):
+    e = q("events")
+    views = e.filter("event_type = 'view'").select("user_id", "ts", F.col("event_id").alias("view_id"))
+    views = p.last_writer(views, ["user_id", "ts"], ["view_id"])
+    buys = e.filter("event_type = 'purchase'").select("event_id", "user_id", "ts")
+    return t.as_of(buys, views, "user_id", "ts", "view_id").select("event_id", "as_of_view_id")
+
+
+@query
+def cube_rollup(q):
+    return q("orders").cube("o_orderstatus", "o_orderpriority").agg(F.count("*").alias("n"), F.round(F.max("o_totalprice"), 2).alias("top"))
+
+
+@query
+def approx_distinct(q):
+    return q("lineitem").groupBy("l_returnflag").agg(F.approx_count_distinct("l_partkey", 0.02).alias("parts"))
+
+
+@query
+def stream_daily_counts(q):
+    """The streaming counterpart of tumbling_window, run to the end over the table's files."""
+    return streams.daily_counts(q("events"))
+
+
+@query
+def stream_latest_per_user(q):
+    return streams.latest(q("events"))
