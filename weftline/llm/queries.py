@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, language, minhash, packing, quality, scoring, sharding, suffix_dedup, token_files, window_dedup
+from . import decontaminate, language, minhash, oracles, packing, quality, scoring, sharding, suffix_dedup, token_files, window_dedup
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -55,4 +55,4 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_token_files, op2_minhash, op3_suffix_dedup, op4_language_id, op5_lm_scoring, op6_window_dedup, op7_best_fit_packing, op8_decontamination, op9_sharding, op10_quality_rules)}
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = oracles.ORACLES
