@@ -13,7 +13,8 @@ from weftline.operators import pairs as p
 from weftline.operators import records as rec
 from weftline.operators import temporal as t
 from weftline.operators import vectors as vec
-from weftline.plans.oracles import ORACLES  # noqa: F401  (read by the entry point)
+from weftline.plans import more
+from weftline.plans.oracles import ORACLES
 from weftline.sources.readers import table
 from weftline.streaming import streams
 
@@ -534,3 +535,8 @@ def stream_daily_counts(q):
 @query
 def stream_latest_per_user(q):
     return streams.latest(q("events"))
+
+
+for _f in more.QUERIES:
+    query(_f)
+ORACLES |= more.ORACLES
