@@ -7,9 +7,11 @@ compared with one hub, the least class.  All comparisons are made on the full
 sets.  Jaccard distance is a metric, so a class that is further from the hub
 than twice the link distance cannot be linked with any class linked to the hub;
 classes between are compared with those too unless they are connected already.
-What a hub leaves over forms a bucket again with a hub of its own; buckets that
-stay large are split by the other bands of their members.  So no bucket is
-compared all with all, and none is cut.
+What a hub leaves over forms a bucket again with a hub of its own; what stays
+large is split by the other bands of its members.  In buckets of SMALL classes
+at most, what the hub leaves is compared with the bucket's other components at
+once.  After two splits members agree in three bands, and what is then still
+in different components is compared directly too; no bucket is cut.
 """
 
 from __future__ import annotations
@@ -29,6 +31,10 @@ from .tables import keyed, written
 WORDS = 5
 #: chance at most to lose a link right at the threshold
 MISS = 1e-6
+#: classes of a bucket up to which what its hub leaves over is compared directly
+SMALL = 256
+#: rounds of hubs; from the third on, buckets are split by further bands, and the last compares what is left directly
+TURNS = 4
 
 
 def bands_for(threshold: float, miss: float = MISS) -> tuple[int, int]:
@@ -130,11 +136,28 @@ def overlaps(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 
 
 def with_hubs(rows: DataFrame) -> DataFrame:
-    """Members (key, c, hub) of buckets (key, c) with at least two classes; the hub itself has no row."""
-    hubs = rows.groupBy("key").agg(F.min("c").alias("hub"), F.max("c").alias("last")).filter("hub < last").drop("last")
+    """Members (key, c, hub, n) of buckets (key, c) of n >= 2 classes; the hub itself has no row."""
+    hubs = rows.groupBy("key").agg(F.min("c").alias("hub"), F.max("c").alias("last"), F.count("*").alias("n")).filter("hub < last").drop("last")
     return rows.join(hubs, "key").filter("c <> hub")
 
 
+def open_pairs(state: DataFrame, percent: int, small: int) -> DataFrame:
+    """Pairs that the stars of a round leave to be compared, for every bucket but what `with_hubs` takes up again.
+
+    In a small bucket: what is not linked with the hub against all members of
+    other components, `small` at most for each.  In a large one: what lies between
+    link and twice the link distance from the hub, not connected with it so
+    far, against what the hub is linked with.
+    """
+    left = state.filter(~_linked(percent))
+    few = left.filter(F.col("n") <= small).select("key", F.col("c").alias("x"), F.col("component").alias("x_component"))
+    all_ = state.filter(F.col("n") <= small).select("key", F.col("c").alias("y"), F.col("component").alias("y_component"))
+    within = few.join(all_, "key").filter("x_component <> y_component")
+    near = left.filter((F.col("n") > small) & (100 * F.col("both") >= (2 * percent - 100) * F.col("either")) & (F.col("component") != F.col("hub_component"))).select("key", F.col("c").alias("x"))
+    across = near.join(state.filter(_linked(percent)).select("key", F.col("c").alias("y")), "key")
+    return within.select("x", "y").unionByName(across.select("x", "y")).select(F.greatest("x", "y").alias("c"), F.least("x", "y").alias("hub")).distinct()
+
+
 def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     """n_shingles, component_id and kept of every document; links need `percent` of the union in common.
 
@@ -148,33 +171,29 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     full = marks.filter("n_shingles > 0 and doc_id is not null")
     classes = full.groupBy("s1", "s2", "n_shingles").agg(F.min(F.struct("doc_id", "fp")).alias("rep"), F.min_by("bands", F.struct("doc_id", "fp")).alias("bands"))
     classes = written(classes.select("s1", "s2", "n_shingles", F.col("rep.doc_id").alias("node"), F.col("rep.fp").alias("fp"), "bands", F.monotonically_increasing_id().alias("c")), "minhash")
-    keys = classes.select("c", F.explode("bands").alias("key"))
+    keys = classes.select("c", F.posexplode("bands").alias("band", "key"))
     members = written(with_hubs(keys), "minhash")
     wanted = members.select("c").unionByName(members.select(F.col("hub").alias("c"))).distinct().join(classes.select("c", "node", "fp"), "c")
     texts = keyed(docs).join(wanted.withColumnRenamed("node", "id0"), ["id0", "fp"]).filter("doc_id is not null").select("c", "text").dropDuplicates(["c"])
     texts = written(texts, "minhash")
-    links, known, turn = None, None, 0
-    while True:
+    known = None  # components so far, as links of their nodes
+    for turn in range(TURNS):
+        small = SMALL if turn < TURNS - 1 else 2**62
         found = written(overlaps(members.select("c", "hub").distinct(), texts), "minhash")
-        good = found.filter(_linked(percent)).select("c", "hub")
-        links = good if links is None else links.unionByName(good)
-        known = written(components(_nodes(links, classes)), "minhash")
-        own = classes.select("c", F.col("node")).join(known, "node", "left").select("c", F.coalesce("component", "node").alias("component"))
+        known = _connected(known, found.filter(_linked(percent)), classes)
+        own = classes.select("c", "node").join(known, "node", "left").select("c", F.coalesce("component", "node").alias("component"))
         state = members.join(found, ["c", "hub"]).join(own, "c").join(own.select(F.col("c").alias("hub"), F.col("component").alias("hub_component")), "hub")
-        left = state.filter(~_linked(percent))
-        # between link and twice the link distance, and not connected so far: compare with what the hub is linked with
-        near = left.filter((100 * F.col("both") >= (2 * percent - 100) * F.col("either")) & (F.col("component") != F.col("hub_component"))).select("key", F.col("c").alias("x"))
-        across = near.join(state.filter(_linked(percent)).select("key", F.col("c").alias("y")), "key").select(F.greatest("x", "y").alias("c"), F.least("x", "y").alias("hub")).distinct()
-        more = written(overlaps(across, texts).filter(_linked(percent)).select("c", "hub"), "minhash")
+        state = written(state, "minhash")
+        more = written(overlaps(open_pairs(state, percent, small), texts).filter(_linked(percent)), "minhash")
         if not more.isEmpty():
-            links = links.unionByName(more)
-            known = written(components(_nodes(links, classes)), "minhash")
-        # buckets left over, where there is still something to connect
+            known = _connected(known, more, classes)
+        # large buckets: what their hubs leave forms buckets again, where there is still something to connect
+        left = state.filter(~_linked(percent) & (F.col("n") > small))
         open_ = left.groupBy("key").agg(F.min("component").alias("a"), F.max("component").alias("b")).filter("a < b").select("key")
-        rest = left.select("key", "c").join(open_, "key", "left_semi")
-        turn += 1
-        if turn >= 2:
-            rest = rest.join(classes.select("c", "bands"), "c").select("c", F.explode("bands").alias("other"), "key").select("c", F.xxhash64("key", "other").alias("key"))
+        rest = left.select("key", "c", "band").join(open_, "key", "left_semi")
+        if turn:
+            # members that agree in a later band too
+            rest = rest.join(classes.select("c", "bands"), "c").select("c", "key", F.col("band").alias("at"), F.posexplode("bands").alias("band", "other")).filter("band > at").select("c", F.xxhash64("key", "other").alias("key"), "band")
         members = written(with_hubs(rest), "minhash")
         if members.isEmpty():
             break
@@ -188,6 +207,14 @@ def _linked(percent: int) -> Column:
     return 100 * F.col("both") >= percent * F.col("either")
 
 
+def _connected(known: DataFrame | None, links: DataFrame, classes: DataFrame) -> DataFrame:
+    """Components of what is known and further links of classes, by their documents."""
+    edges = _nodes(links, classes)
+    if known is not None:
+        edges = edges.unionByName(known.select(F.col("node").alias("u"), F.col("component").alias("v")))
+    return written(components(edges), "minhash")
+
+
 def _nodes(links: DataFrame, classes: DataFrame) -> DataFrame:
     """Links of classes as links of their documents."""
     own = classes.select("c", "node")
