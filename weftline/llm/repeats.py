@@ -33,7 +33,9 @@ from .blocks import U64, Texts, distinct, inside_rows, mix, ragged, roll, slices
 from .tables import keyed, partitions
 
 #: bytes of text per bucket; super-k-mers that a task reduces together
-BUCKET_BYTES, FLUSH = 16 << 20, 400_000
+BUCKET_BYTES, FLUSH = 8 << 20, 400_000
+#: windows that a resolver is given at once
+TURN = 400_000
 MANY = np.uint32(2**32 - 1)
 
 
@@ -89,6 +91,12 @@ KMERS = "bucket long, ids binary, fps binary, counts binary, keys binary, place
 OWN = pa.schema([("id0", pa.int64()), ("fp", pa.int64()), ("found", pa.binary())])
 
 
+def with_ids(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows whose doc_id is not null; a filter in the plan would part the exchanges of the joins."""
+    for batch in batches:
+        yield batch.filter(batch["doc_id"].is_valid())
+
+
 def documents_of(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
     return batch["id0"].to_numpy(), batch["fp"].to_numpy()
 
@@ -120,7 +128,7 @@ def mark_minimisers(symbols: Callable[[Texts], Sequence], width: int, k: int, bu
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, n = [], 0
-        for part in slices(batches, limit=1 << 18):
+        for part in slices(with_ids(batches), limit=1 << 18):
             s = symbols(Texts(part["text"]))
             p0, _, _, keys = super_kmers(s.values, s.off, width, k)
             row = np.searchsorted(s.off, p0, "right") - 1
@@ -213,7 +221,7 @@ def send_super_kmers(symbols: Callable[[Texts], Sequence], width: int, k: int, b
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, n = [], 0
-        for part in slices(batches, limit=1 << 18):
+        for part in slices(with_ids(batches), limit=1 << 18):
             s = symbols(Texts(part["text"]))
             p0, p1, at, keys = super_kmers(s.values, s.off, width, k)
             row = np.searchsorted(s.off, p0, "right") - 1
@@ -243,6 +251,19 @@ Resolver = Callable[[Sequence, np.ndarray, np.ndarray], np.ndarray]
 def resolve(symbols: Callable[[Texts], Sequence], resolver: Resolver, width: int):
     """Step 3: the windows of a bucket that also start in a smaller document, as runs of window starts."""
 
+    def compared(own: np.ndarray, data: np.ndarray, size: np.ndarray, ids: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        off = np.append(0, np.cumsum(size))
+        s = symbols(Texts(pa.Array.from_buffers(pa.large_binary(), len(own), [None, pa.py_buffer(off), pa.py_buffer(data)])))
+        n = place[own, 1] - place[own, 0] + 1  # windows of each super-k-mer
+        start = ragged(n, s.off[:-1])
+        member = np.repeat(np.arange(len(own)), n)
+        hit = resolver(s, start, ids[own][member])
+        begin = hit & np.append(True, ~hit[:-1] | (member[1:] != member[:-1]))
+        end = hit & np.append(~hit[1:] | (member[1:] != member[:-1]), True)
+        a, b = np.flatnonzero(begin), np.flatnonzero(end)
+        shift = place[own[member[a]], 0] - s.off[:-1][member[a]]
+        return own[member[a]], np.stack([start[a] + shift, start[b] + shift + 1], 1)
+
     def run(key: tuple, table: pa.Table) -> pa.Table:
         ids, fps = entries(table)
         place = unpacked(table, "place", "<u4").reshape(-1, 3).astype(np.int64)
@@ -251,20 +272,20 @@ def resolve(symbols: Callable[[Texts], Sequence], resolver: Resolver, width: int
         own = np.flatnonzero(~through)
         if len(own):
             unpress = zstandard.ZstdDecompressor()
-            data = b"".join(unpress.decompress(x) for x in table["payload"].to_pylist() if x)
-            off = np.append(0, np.cumsum(unpacked(table, "sizes", "<u4"), dtype=np.int64))
-            texts = Texts(pa.Array.from_buffers(pa.large_binary(), len(own), [None, pa.py_buffer(off), pa.py_buffer(data)]))
-            s = symbols(texts)
-            n = place[own, 1] - place[own, 0] + 1  # windows of each super-k-mer
-            start = ragged(n, s.off[:-1])
-            member = np.repeat(np.arange(len(own)), n)
-            hit = resolver(s, start, ids[own][member])
-            begin = hit & np.append(True, ~hit[:-1] | (member[1:] != member[:-1]))
-            end = hit & np.append(~hit[1:] | (member[1:] != member[:-1]), True)
-            a, b = np.flatnonzero(begin), np.flatnonzero(end)
-            who = own[member[a]]
-            shift = place[who, 0] - s.off[:-1][member[a]]
-            out.append((ids[who], fps[who], np.stack([start[a] + shift, start[b] + shift + 1], 1)))
+            data = np.frombuffer(b"".join(unpress.decompress(x) for x in table["payload"].to_pylist() if x), np.uint8)
+            size = unpacked(table, "sizes", "<u4").astype(np.int64)
+            begin, keys = np.cumsum(size) - size, unpacked(table, "keys", "<u8")
+            windows = place[own, 1] - place[own, 0] + 1
+            # equal windows have one minimiser: turns end between keys
+            by = np.argsort(keys, kind="stable")
+            first, _ = run_lengths(keys[by])
+            upto = np.cumsum(windows[by])
+            starts = (upto[first] - windows[by][first]) // TURN
+            cuts = [*first[np.append(True, starts[1:] != starts[:-1])].tolist(), len(by)]
+            for a, b in zip(cuts, cuts[1:]):
+                some = by[a:b]
+                who, runs = compared(own[some], data[ragged(size[some], begin[some])], size[some], ids, place)
+                out.append((ids[who], fps[who], runs))
         ids, fps, found = (np.concatenate([x[j] for x in out]) for j in range(3))
         return by_document(ids, fps, found.astype("<u4"))
 
@@ -290,10 +311,10 @@ def repeated(docs: DataFrame, symbols: Callable[[Texts], Sequence], resolver: Re
     marks = keyed(docs).filter("doc_id is not null and text is not null").select("id0", "fp", F.unhex(F.sha2(F.col("text").cast("binary"), 256)).alias("digest"))
     firsts = marks.groupBy("digest").agg(F.min("id0").alias("first"), F.max("id0").alias("last")).filter("first < last")
     copies = marks.join(firsts, "digest").filter("id0 > first").select("id0", "fp").distinct().withColumn("copy", F.lit(True))
-    once = base.join(copies.hint("shuffle_hash"), ["id0", "fp"], "left_anti").filter("doc_id is not null")
-    shared = once.select("id0", "fp", "text").mapInArrow(mark_minimisers(symbols, width, k, buckets), MARKS).groupBy("bucket").applyInArrow(candidates, "id0 long, fp long, found binary")
+    once = base.join(copies.hint("shuffle_hash"), ["id0", "fp"], "left_anti")
+    shared = once.select("doc_id", "id0", "fp", "text").mapInArrow(mark_minimisers(symbols, width, k, buckets), MARKS).groupBy("bucket").applyInArrow(candidates, "id0 long, fp long, found binary")
     own = shared.groupBy("id0", "fp").agg(F.collect_list("found").alias("found"))
-    strings = base.join(own.hint("shuffle_hash"), ["id0", "fp"]).filter("doc_id is not null").select("id0", "fp", "text", "found").mapInArrow(send_super_kmers(symbols, width, k, buckets), KMERS)
+    strings = base.join(own.hint("shuffle_hash"), ["id0", "fp"]).select("doc_id", "id0", "fp", "text", "found").mapInArrow(send_super_kmers(symbols, width, k, buckets), KMERS)
     hits = strings.groupBy("bucket").applyInArrow(resolve(symbols, resolver, width), "id0 long, fp long, found binary").groupBy("id0", "fp").agg(F.collect_list("found").alias("found"))
     ends = hits.join(copies, ["id0", "fp"], "full")
     return base.join(ends.hint("shuffle_hash"), ["id0", "fp"], "left").select("doc_id", "text", *carry, F.when(F.col("doc_id").isNotNull(), F.col("found")).alias("found"), F.coalesce("copy", F.lit(False)).alias("copy"))
