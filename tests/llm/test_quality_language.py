@@ -43,13 +43,13 @@ def test_statistics_against_brute_force():
 def test_quality_keeps_clean_rows_and_finds_odd_ones(spark, frame):
     rng = random.Random(2)
     plain = lambda: " ".join("".join(rng.choice("abcdefgh") for _ in range(rng.randint(2, 8))) for _ in range(rng.randint(60, 90)))
-    junk = lambda: " ".join("".join(rng.choice("#$%1239&") for _ in range(14)) for _ in range(60))
-    rows = [(i, junk() if i % 10 == 0 else plain()) for i in range(400)]
-    labels = spark.createDataFrame([(i, int(i % 10 != 0), None) for i in range(200)] + [(None, 1, 1), (5, None, None)], "doc_id long, quality int, toxic int")
+    junk = lambda: " ".join("".join(rng.choice("#$%1239&") for _ in range(rng.randint(1, 30))) for _ in range(rng.randint(20, 90)))
+    rows = [(i, junk() if i % 20 == 0 else plain()) for i in range(800)]
+    labels = spark.createDataFrame([(i, int(i % 20 != 0), None) for i in range(400)] + [(None, 1, 1), (5, None, None)], "doc_id long, quality int, toxic int")
     got = {r.doc_id: r for r in quality.quality(frame(rows), labels).collect()}
-    assert len(got) == 400
-    assert sum(got[i].kept for i in got if i % 10) >= 354
-    assert sum(not got[i].kept for i in got if i % 10 == 0) >= 38
+    assert len(got) == 800
+    assert sum(got[i].kept for i in got if i % 20) >= 745
+    assert sum(not got[i].kept for i in got if i % 20 == 0) >= 30
 
 
 def test_quality_of_odd_rows_and_empty_tables(spark, odd, frame):

@@ -23,10 +23,11 @@ from .tables import written
 
 SYMBOLS = byte_table(b"#*$%&|<>")
 _HEAD = np.arange(256) & 0xC0 != 0x80  # first bytes of code points
-_DIGIT = byte_table(b"0123456789")
+_UPPER = byte_table(bytes(range(0x41, 0x5B)))
+_PUNCT = byte_table(bytes(b for b in range(0x21, 0x7F) if not chr(b).isalnum()))
 #: rows a tree is grown on, number of trees, score bins of the calibration: bounds of what the driver gets
 SAMPLE, TREES, BINS = 256, 128, 2048
-STATS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_digits", "n_distinct"]
+STATS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_upper", "n_punct", "n_distinct"]
 
 
 def per_row(values: np.ndarray, off: np.ndarray) -> np.ndarray:
@@ -78,8 +79,8 @@ def statistics(texts: Texts) -> dict[str, np.ndarray]:
         "n_symbols": per_row(SYMBOLS[data], off),
         "n_dup_lines": n_dup,
         "n_repeat_words": repeat,
-        "n_lines": n_lines,
-        "n_digits": per_row(_DIGIT[data], off),
+        "n_upper": per_row(_UPPER[data], off),
+        "n_punct": per_row(_PUNCT[data], off),
         "n_distinct": distinct_per_row(words.hash, row, rows),
     }
 
@@ -98,10 +99,9 @@ def rule_statistics(docs: DataFrame) -> DataFrame:
 
 
 def features(s: dict[str, np.ndarray]) -> np.ndarray:
-    """What the forest splits: shares, so that length alone does not decide."""
-    words = np.maximum(s["n_words"], 1)
-    lines = np.maximum(s["n_lines"], 1)
-    return np.stack([s["word_chars"] / words, s["n_symbols"] / words, s["n_dup_lines"] / lines, s["n_repeat_words"] / words, s["n_digits"] / words, np.log1p(s["n_words"]), s["n_distinct"] / words**0.9], 1)
+    """What the forest splits: shares, so that length does not decide; repeats have a base rule of their own."""
+    words, chars = np.maximum(s["n_words"], 1), np.maximum(s["word_chars"], 1)
+    return np.stack([s["word_chars"] / words, s["n_symbols"] / words, s["n_upper"] / chars, s["n_punct"] / chars, s["n_distinct"] / words**0.9], 1)
 
 
 def average_path(n: np.ndarray) -> np.ndarray:
@@ -156,8 +156,15 @@ class Forest:
 
 
 def sample_rows(stats: DataFrame, limit: int) -> DataFrame:
-    """At most `limit` rows, the same for the same rows: those with the least hashes."""
-    return stats.orderBy(F.xxhash64("doc_id", *STATS)).limit(limit)
+    """At most `limit` rows, the same for the same rows: those with the least hashes.
+
+    All but a share of the hashes that holds enough rows goes before the order
+    is looked at, so a task sends its part of the sample and not the whole.
+    """
+    hash_ = F.xxhash64("doc_id", *STATS)
+    share = min(1.0, 2.0 * limit / max(stats.count(), 1))
+    least = min(2**63 - 1, -(2**63) + int(share * 2**64))
+    return stats.filter(hash_ <= least).orderBy(hash_).limit(limit)
 
 
 def threshold(histogram: list, lost_good: float) -> float:
