@@ -121,10 +121,10 @@ def mark_minimisers(symbols: Callable[[Texts], Sequence], width: int, k: int, bu
         at, count = run_lengths(to[by])
         for a, n in zip(at.tolist(), count.tolist(), strict=True):
             own = by[a : a + n]
-            yield pack_rows(described(ids, fps, own) | {"bucket": [int(to[own[0]])], "keys": [np.ascontiguousarray(keys[own].view(np.uint8).reshape(-1, 8)[:, 2:]).tobytes()], "ords": [mark[own].tobytes()]}, MARK_KINDS)
+            yield pack_rows(described(ids, fps, own) | {"bucket": [int(to[own[0]])], "keys": [np.ascontiguousarray(keys[own].view(np.uint8).reshape(-1, 8)[:, 2:]).tobytes()], "ords": [planes(mark[own])]}, MARK_KINDS)
         own = np.flatnonzero(shared)
         if len(own):  # these are candidates already: they pass through
-            yield pack_rows(described(ids, fps, own) | {"bucket": [int(ids[own[0]] % buckets)], "keys": [b""], "ords": [order[own].astype("<u4").tobytes()]}, MARK_KINDS)
+            yield pack_rows(described(ids, fps, own) | {"bucket": [int(ids[own[0]] % buckets)], "keys": [b""], "ords": [planes(order[own].astype("<u4"))]}, MARK_KINDS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, n = [], 0
@@ -146,20 +146,33 @@ def mark_minimisers(symbols: Callable[[Texts], Sequence], width: int, k: int, bu
     return run
 
 
+def planes(values: np.ndarray) -> bytes:
+    """Byte planes of integers, compressed: high planes of small numbers cost next to nothing."""
+    return zstandard.ZstdCompressor(level=1).compress(values.view(np.uint8).reshape(len(values), -1).T.tobytes())
+
+
+def from_planes(data: bytes, kind: str) -> np.ndarray:
+    raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8)
+    return np.ascontiguousarray(raw.reshape(np.dtype(kind).itemsize, -1).T).view(kind).reshape(-1)
+
+
 def described(ids: np.ndarray, fps: np.ndarray, own: np.ndarray) -> dict:
     """The documents of some entries, as runs."""
     first, size = run_lengths(mix(ids[own].view(U64)) ^ fps[own].view(U64))
-    return {"ids": [ids[own][first].astype("<i8").tobytes()], "fps": [fps[own][first].astype("<i8").tobytes()], "counts": [size.astype("<u4").tobytes()]}
+    return {"ids": [planes(ids[own][first].astype("<i8"))], "fps": [fps[own][first].astype("<i8").tobytes()], "counts": [planes(size.astype("<u4"))]}
 
 
 def unpacked(table: pa.Table, column: str, kind: str) -> np.ndarray:
     return np.frombuffer(b"".join(table[column].to_pylist()), kind)
 
 
-def entries(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-    """Document ids and fingerprints of all entries of packed rows."""
-    count = unpacked(table, "counts", "<u4")
-    return np.repeat(unpacked(table, "ids", "<i8"), count), np.repeat(unpacked(table, "fps", "<i8"), count)
+def entries(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Document ids and fingerprints of all entries of packed rows, and whether an entry passes through."""
+    counts = [from_planes(x, "<u4") for x in table["counts"].to_pylist()]
+    ids = np.concatenate([from_planes(x, "<i8") for x in table["ids"].to_pylist()])
+    count = np.concatenate(counts)
+    through = np.repeat([not x for x in table["keys"].to_pylist()], [int(c.sum()) for c in counts]).astype(bool)
+    return np.repeat(ids, count), np.repeat(unpacked(table, "fps", "<i8"), count), through
 
 
 def by_document(ids: np.ndarray, fps: np.ndarray, found: np.ndarray) -> pa.Table:
@@ -176,9 +189,8 @@ def by_document(ids: np.ndarray, fps: np.ndarray, found: np.ndarray) -> pa.Table
 
 def candidates(key: tuple, table: pa.Table) -> pa.Table:
     """Step 1, second half: super-k-mers whose minimiser another document has, as ordinals in their documents."""
-    ids, fps = entries(table)
-    order = unpacked(table, "ords", "<u4")
-    through = np.repeat([not x for x in table["keys"].to_pylist()], [len(x) // 4 for x in table["ords"].to_pylist()]).astype(bool)
+    ids, fps, through = entries(table)
+    order = np.concatenate([from_planes(x, "<u4") for x in table["ords"].to_pylist()])
     raw = unpacked(table, "keys", np.uint8).reshape(-1, 6)
     wide = np.zeros((len(raw), 8), np.uint8)
     wide[:, :6] = raw
@@ -213,11 +225,11 @@ def send_super_kmers(symbols: Callable[[Texts], Sequence], width: int, k: int, b
         for a, n in zip(at.tolist(), count.tolist(), strict=True):
             own = by[a : a + n]
             place = np.stack([p0[own], p1[own], back[own]], 1).astype("<u4")
-            yield pack_rows(described(ids, fps, own) | {"bucket": [int(to[own[0]])], "keys": [keys[own].tobytes()], "place": [place.tobytes()], "sizes": [size[own].astype("<u4").tobytes()], "payload": [press.compress(data[ragged(size[own], start[own])].tobytes())]}, KMER_KINDS)
+            yield pack_rows(described(ids, fps, own) | {"bucket": [int(to[own[0]])], "keys": [keys[own].tobytes()], "place": [planes(place.reshape(-1))], "sizes": [size[own].astype("<u4").tobytes()], "payload": [press.compress(data[ragged(size[own], start[own])].tobytes())]}, KMER_KINDS)
         own = np.flatnonzero(settled)
         if len(own):
             place = np.stack([p0[own], p1[own], back[own]], 1).astype("<u4")
-            yield pack_rows(described(ids, fps, own) | {"bucket": [int(ids[own[0]] % buckets)], "keys": [b""], "place": [place.tobytes()], "sizes": [b""], "payload": [b""]}, KMER_KINDS)
+            yield pack_rows(described(ids, fps, own) | {"bucket": [int(ids[own[0]] % buckets)], "keys": [b""], "place": [planes(place.reshape(-1))], "sizes": [b""], "payload": [b""]}, KMER_KINDS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, n = [], 0
@@ -265,9 +277,8 @@ def resolve(symbols: Callable[[Texts], Sequence], resolver: Resolver, width: int
         return own[member[a]], np.stack([start[a] + shift, start[b] + shift + 1], 1)
 
     def run(key: tuple, table: pa.Table) -> pa.Table:
-        ids, fps = entries(table)
-        place = unpacked(table, "place", "<u4").reshape(-1, 3).astype(np.int64)
-        through = np.repeat([not x for x in table["keys"].to_pylist()], [len(x) // 12 for x in table["place"].to_pylist()]).astype(bool)
+        ids, fps, through = entries(table)
+        place = np.concatenate([from_planes(x, "<u4") for x in table["place"].to_pylist()]).reshape(-1, 3).astype(np.int64)
         out = [(ids[through], fps[through], place[through, :2] + [0, 1])]
         own = np.flatnonzero(~through)
         if len(own):
@@ -314,7 +325,7 @@ def repeated(docs: DataFrame, symbols: Callable[[Texts], Sequence], resolver: Re
     once = base.join(copies.hint("shuffle_hash"), ["id0", "fp"], "left_anti")
     shared = once.select("doc_id", "id0", "fp", "text").mapInArrow(mark_minimisers(symbols, width, k, buckets), MARKS).groupBy("bucket").applyInArrow(candidates, "id0 long, fp long, found binary")
     own = shared.groupBy("id0", "fp").agg(F.collect_list("found").alias("found"))
-    strings = base.join(own.hint("shuffle_hash"), ["id0", "fp"]).select("doc_id", "id0", "fp", "text", "found").mapInArrow(send_super_kmers(symbols, width, k, buckets), KMERS)
+    strings = base.join(own.hint("shuffle_hash"), ["id0", "fp"]).select("doc_id", "id0", "fp", "text", "found").mapInArrow(send_super_kmers(symbols, width, k, 2 * buckets), KMERS)
     hits = strings.groupBy("bucket").applyInArrow(resolve(symbols, resolver, width), "id0 long, fp long, found binary").groupBy("id0", "fp").agg(F.collect_list("found").alias("found"))
     ends = hits.join(copies, ["id0", "fp"], "full")
     return base.join(ends.hint("shuffle_hash"), ["id0", "fp"], "left").select("doc_id", "text", *carry, F.when(F.col("doc_id").isNotNull(), F.col("found")).alias("found"), F.coalesce("copy", F.lit(False)).alias("copy"))
