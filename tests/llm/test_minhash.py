@@ -61,6 +61,35 @@ def test_against_brute_force(frame):
     assert rows_of(minhash.near_duplicates(frame(rows), 80)) == brute(rows, 80)
 
 
+def test_large_buckets_keep_pairs_of_one_band(frame, monkeypatch):
+    rng = random.Random(2)
+    make = lambda n: " ".join(f"w{rng.randrange(10**6)}" for _ in range(n))
+    common, rows = make(300), []
+    for k in range(40):  # pairs of near copies; others share the passage and do not link
+        text = common + " " + make(60)
+        rows += [(k, text), (1000 + k, text + " " + make(4))]
+    monkeypatch.setattr(minhash, "SMALL", 2)
+    monkeypatch.setattr(minhash, "BLOCK", 16)
+    monkeypatch.setattr(minhash, "bands_for", lambda threshold: (1, 1))
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in minhash.near_duplicates(frame(rows), 85).collect()}
+    keys = {r.doc_id: r.bands[0] for r in minhash.signatures(frame(rows), 1, 1).collect()}
+    met = [k for k in range(40) if keys[k] == keys[1000 + k]]
+    assert len(met) > 30 and max(list(keys.values()).count(x) for x in keys.values()) > 20
+    assert [k for k in met if got[1000 + k][1] != k] == []
+    want = brute(rows, 85)
+    assert all(str(got[i][1]) == c or i >= 1000 and i - 1000 not in met for i, _, c, _ in ((int(w[0]), *w[1:]) for w in want))
+
+
+def test_sketches_rule_out_only_what_is_too_far(frame):
+    rng = np.random.default_rng(6)
+    for n in (1, 5, 100, 5000):
+        base = rng.integers(0, 2**63, n).astype(np.uint64)
+        other = np.concatenate((base[: n - n // 10], rng.integers(0, 2**63, n // 20).astype(np.uint64)))
+        bits = minhash.sketches(np.concatenate((base, other)), np.array([0, n, n + len(other)])).reshape(2, -1)
+        assert np.bitwise_count(bits[0] ^ bits[1]).sum() <= n // 10 + n // 20
+        assert not (minhash.sketches(base[:0], np.array([0, 0]))).any()
+
+
 def test_empty_table(frame):
     assert minhash.near_duplicates(frame([])).count() == 0
     assert rows_of(minhash.near_duplicates(frame([(1, None), (2, None)]))) == brute([(1, None), (2, None)], 85)

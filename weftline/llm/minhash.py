@@ -7,11 +7,13 @@ compared with one hub, the least class.  All comparisons are made on the full
 sets.  Jaccard distance is a metric, so a class that is further from the hub
 than twice the link distance cannot be linked with any class linked to the hub;
 classes between are compared with those too unless they are connected already.
-What a hub leaves over forms a bucket again with a hub of its own; what stays
-large is split by the other bands of its members.  In buckets of SMALL classes
-at most, what the hub leaves is compared with the bucket's other components at
-once.  After two splits members agree in three bands, and what is then still
-in different components is compared directly too; no bucket is cut.
+What a hub leaves over forms a bucket again with a hub of its own.  In buckets
+of SMALL classes at most, and in all of the last round, what the hub leaves is
+compared with the bucket's other components at once: no bucket is cut or split,
+so two classes that share a band are compared, are connected already, or are
+shown to be too far apart.  Set sizes and sketches show that: a sketch has the
+parities of the set's values in CELLS cells, and two sets differ in at least as
+many values as their sketches differ in parities.
 """
 
 from __future__ import annotations
@@ -33,8 +35,12 @@ WORDS = 5
 MISS = 1e-6
 #: classes of a bucket up to which what its hub leaves over is compared directly
 SMALL = 256
-#: rounds of hubs; from the third on, buckets are split by further bands, and the last compares what is left directly
+#: rounds of hubs; the last compares what is left directly
 TURNS = 4
+#: parities in a sketch, a multiple of 64
+CELLS = 1024
+#: members of a bucket that one task at most compares with all of the bucket
+BLOCK = 4096
 
 
 def bands_for(threshold: float, miss: float = MISS) -> tuple[int, int]:
@@ -100,8 +106,18 @@ def band_keys(low: np.ndarray, size: int) -> np.ndarray:
     return out.T
 
 
+def sketches(values: np.ndarray, off: np.ndarray) -> np.ndarray:
+    """Parities of the number of each row's values in CELLS cells, as words of 64 bits."""
+    width = CELLS // 64
+    out = np.zeros((len(off) - 1) * width, U64)
+    cell = mix(values ^ U64(0x2545F4914F6CDD1D)) % U64(CELLS)
+    row = np.repeat(np.arange(len(off) - 1), np.diff(off))
+    np.bitwise_xor.at(out, row * width + (cell >> U64(6)).astype(np.int64), U64(1) << (cell & U64(63)))
+    return out
+
+
 def signatures(docs: DataFrame, size: int, bands: int) -> DataFrame:
-    """doc_id, fp, n_shingles, the set's fingerprint s1, s2 and its band keys (none for an empty set)."""
+    """doc_id, fp, n_shingles, the set's fingerprint s1, s2, its band keys (none for an empty set) and its sketch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, limit=1 << 18):
@@ -113,9 +129,10 @@ def signatures(docs: DataFrame, size: int, bands: int) -> DataFrame:
                 keys = band_keys(minima(values, np.append(off[full], off[-1]), size * bands), size)
             lists = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum((n > 0) * bands)).astype(np.int32)), pa.array(keys.reshape(-1).view(np.int64)))
             s1, s2 = row_sums(mix(values), off), row_sums(mix(values ^ U64(0xA0761D6478BD642F)), off)
-            yield pa.RecordBatch.from_arrays([part["doc_id"], part["fp"], pa.array(n, pa.int64()), pa.array(s1.view(np.int64)), pa.array(s2.view(np.int64)), lists], ["doc_id", "fp", "n_shingles", "s1", "s2", "bands"])
+            bits = pa.ListArray.from_arrays(pa.array(np.arange(len(n) + 1, dtype=np.int32) * np.int32(CELLS // 64)), pa.array(sketches(values, off).view(np.int64)))
+            yield pa.RecordBatch.from_arrays([part["doc_id"], part["fp"], pa.array(n, pa.int64()), pa.array(s1.view(np.int64)), pa.array(s2.view(np.int64)), lists, bits], ["doc_id", "fp", "n_shingles", "s1", "s2", "bands", "bits"])
 
-    return keyed(docs).select("doc_id", "fp", "text").mapInArrow(run, "doc_id long, fp long, n_shingles long, s1 long, s2 long, bands array<bigint>")
+    return keyed(docs).select("doc_id", "fp", "text").mapInArrow(run, "doc_id long, fp long, n_shingles long, s1 long, s2 long, bands array<bigint>, bits array<bigint>")
 
 
 def overlaps(pairs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -141,21 +158,31 @@ def with_hubs(rows: DataFrame) -> DataFrame:
     return rows.join(hubs, "key").filter("c <> hub")
 
 
-def open_pairs(state: DataFrame, percent: int, small: int) -> DataFrame:
+def possible(percent: int) -> Column:
+    """Whether sets x and y can be linked: `percent` of the union bounds the values that only one of them has."""
+    total = F.col("x_n") + F.col("y_n")
+    apart = sum((F.bit_count(F.col("x_bits")[i].bitwiseXOR(F.col("y_bits")[i])) for i in range(CELLS // 64)), F.lit(0))
+    return ((100 - percent) * total >= (100 + percent) * F.abs(F.col("x_n") - F.col("y_n"))) & ((100 - percent) * total >= (100 + percent) * apart)
+
+
+def open_pairs(state: DataFrame, sets: DataFrame, percent: int, small: int) -> DataFrame:
     """Pairs that the stars of a round leave to be compared, for every bucket but what `with_hubs` takes up again.
 
     In a small bucket: what is not linked with the hub against all members of
-    other components, `small` at most for each.  In a large one: what lies between
-    link and twice the link distance from the hub, not connected with it so
-    far, against what the hub is linked with.
+    other components.  In a large one: what lies between link and twice the link
+    distance from the hub, not connected with it so far, against what the hub is
+    linked with.  Pairs that sizes or sketches (`sets`) show to be too far apart
+    are left out.  Large buckets are dealt to tasks by blocks of members.
     """
-    left = state.filter(~_linked(percent))
-    few = left.filter(F.col("n") <= small).select("key", F.col("c").alias("x"), F.col("component").alias("x_component"))
-    all_ = state.filter(F.col("n") <= small).select("key", F.col("c").alias("y"), F.col("component").alias("y_component"))
-    within = few.join(all_, "key").filter("x_component <> y_component")
-    near = left.filter((F.col("n") > small) & (100 * F.col("both") >= (2 * percent - 100) * F.col("either")) & (F.col("component") != F.col("hub_component"))).select("key", F.col("c").alias("x"))
-    across = near.join(state.filter(_linked(percent)).select("key", F.col("c").alias("y")), "key")
-    return within.select("x", "y").unionByName(across.select("x", "y")).select(F.greatest("x", "y").alias("c"), F.least("x", "y").alias("hub")).distinct()
+    near = (100 * F.col("both") >= (2 * percent - 100) * F.col("either")) & (F.col("component") != F.col("hub_component"))
+    asks, answers = ~_linked(percent) & ((F.col("n") <= small) | near), (F.col("n") <= small) | _linked(percent)
+    open_ = state.groupBy("key").agg(F.min("component").alias("a"), F.max("component").alias("b"), F.max(asks).alias("asked")).filter("a < b and asked").select("key")
+    rows = state.join(open_, "key", "left_semi").select("key", "c", "component", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"), asks.alias("asks"), answers.alias("answers")).join(sets, "c")
+    own = lambda side: [F.col("c").alias(side), F.col("component").alias(f"{side}_component"), F.col("n_shingles").alias(f"{side}_n"), F.col("bits").alias(f"{side}_bits")]
+    left = rows.filter("asks").select("key", F.expr("cast(pmod(xxhash64(c), blocks) as int)").alias("block"), *own("x"))
+    right = rows.filter("answers").select("key", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), *own("y"))
+    pairs = left.join(right, ["key", "block"]).filter((F.col("x_component") != F.col("y_component")) & possible(percent))
+    return pairs.select(F.greatest("x", "y").alias("c"), F.least("x", "y").alias("hub")).distinct()
 
 
 def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
@@ -169,9 +196,9 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     size, bands = bands_for(percent / 100)
     marks = written(signatures(docs, size, bands), "minhash")
     full = marks.filter("n_shingles > 0 and doc_id is not null")
-    classes = full.groupBy("s1", "s2", "n_shingles").agg(F.min(F.struct("doc_id", "fp")).alias("rep"), F.min_by("bands", F.struct("doc_id", "fp")).alias("bands"))
-    classes = written(classes.select("s1", "s2", "n_shingles", F.col("rep.doc_id").alias("node"), F.col("rep.fp").alias("fp"), "bands", F.monotonically_increasing_id().alias("c")), "minhash")
-    keys = classes.select("c", F.posexplode("bands").alias("band", "key"))
+    classes = full.groupBy("s1", "s2", "n_shingles").agg(F.min(F.struct("doc_id", "fp")).alias("rep"), F.min_by(F.struct("bands", "bits"), F.struct("doc_id", "fp")).alias("own"))
+    classes = written(classes.select("s1", "s2", "n_shingles", F.col("rep.doc_id").alias("node"), F.col("rep.fp").alias("fp"), "own.bands", "own.bits", F.monotonically_increasing_id().alias("c")), "minhash")
+    keys = classes.select("c", F.explode("bands").alias("key"))
     members = written(with_hubs(keys), "minhash")
     wanted = members.select("c").unionByName(members.select(F.col("hub").alias("c"))).distinct().join(classes.select("c", "node", "fp"), "c")
     texts = keyed(docs).join(wanted.withColumnRenamed("node", "id0"), ["id0", "fp"]).filter("doc_id is not null").select("c", "text").dropDuplicates(["c"])
@@ -184,17 +211,13 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
         own = classes.select("c", "node").join(known, "node", "left").select("c", F.coalesce("component", "node").alias("component"))
         state = members.join(found, ["c", "hub"]).join(own, "c").join(own.select(F.col("c").alias("hub"), F.col("component").alias("hub_component")), "hub")
         state = written(state, "minhash")
-        more = written(overlaps(open_pairs(state, percent, small), texts).filter(_linked(percent)), "minhash")
+        more = written(overlaps(open_pairs(state, classes.select("c", "n_shingles", "bits"), percent, small), texts).filter(_linked(percent)), "minhash")
         if not more.isEmpty():
             known = _connected(known, more, classes)
         # large buckets: what their hubs leave forms buckets again, where there is still something to connect
         left = state.filter(~_linked(percent) & (F.col("n") > small))
         open_ = left.groupBy("key").agg(F.min("component").alias("a"), F.max("component").alias("b")).filter("a < b").select("key")
-        rest = left.select("key", "c", "band").join(open_, "key", "left_semi")
-        if turn:
-            # members that agree in a later band too
-            rest = rest.join(classes.select("c", "bands"), "c").select("c", "key", F.col("band").alias("at"), F.posexplode("bands").alias("band", "other")).filter("band > at").select("c", F.xxhash64("key", "other").alias("key"), "band")
-        members = written(with_hubs(rest), "minhash")
+        members = written(with_hubs(left.select("key", "c").join(open_, "key", "left_semi")), "minhash")
         if members.isEmpty():
             break
     own = classes.join(known, "node", "left").select("s1", "s2", "n_shingles", F.coalesce("component", "node").alias("class_component"))
