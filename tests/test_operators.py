@@ -11,6 +11,7 @@ from weftline.operators import graph as g
 from weftline.operators import pairs as p
 from weftline.operators import records as rec
 from weftline.operators import temporal as t
+from weftline.plans import catalogue
 from weftline.sources import readers, sinks
 from weftline.streaming import streams
 
@@ -173,3 +174,14 @@ def test_streaming_interval_join(spark, tmp_path):
     left, right = (streams.as_stream(spark.read.parquet(f"{tmp_path}/{x}.parquet")) for x in "lr")
     got = streams.drain(streams.co_window(left, right, "k", 5).select(F.col("l.id").alias("a"), F.col("r.id").alias("b")))
     assert rows(got) == [(10, 20)]
+
+
+def test_turns_with_one_opening_and_different_bodies_stay(spark, tmp_path):
+    opening, rows = "An opening that many answers share. " * 5, []
+    for k in range(8):
+        rows += [(k, 0, "user", opening + " the question"), (k, 1, "assistant", f" {opening} answer {k}")]
+    rows += [(50 + k, t, r, x) for k in range(8) for t, r, x in ((0, "user", "again"), (1, "assistant", "\tthe same answer" + " " * k))]
+    spark.createDataFrame(rows, "conv_id long, turn int, role string, text string").write.parquet(f"{tmp_path}/conversations.parquet")
+    ids = lambda name: sorted(r.conv_id for r in catalogue.QUERIES[name](spark, str(tmp_path)).collect())
+    assert ids("dedup_instruction_output") == [*range(8), 50]
+    assert ids("cap_per_output_300") == [*range(8), *range(50, 55)]

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weftline.functions import text as tx
@@ -422,6 +422,25 @@ def cap_per_output(q):
     return rec.quota(rows, "head", ["doc_id"], 5).select("doc_id")
 
 
+def head(column: str, n: int) -> Column:
+    """The first n characters after white space at both ends is gone."""
+    return F.substring(F.trim(F.col(column), F.lit(" \t\n\v\f\r")), 1, n)
+
+
+@query
+def dedup_instruction_output(q):
+    """The first turn of each instruction[:150] and output[:200]."""
+    rows = turns(q).select("conv_id", "turn", head("instruction", 150).alias("asked"), head("output", 200).alias("said"))
+    return p.first_writer(rows, ["asked", "said"], ["conv_id", "turn"]).select("conv_id", "turn")
+
+
+@query
+def cap_per_output_300(q):
+    """Five turns at most of each output[:300]."""
+    rows = turns(q).select("conv_id", "turn", head("output", 300).alias("said"))
+    return rec.quota(rows, "said", ["conv_id", "turn"], 5).select("conv_id", "turn")
+
+
 @query
 def entity_split(q):
     sizes = q("conversations").groupBy("conv_id").agg(F.count("*").alias("n"))

@@ -15,6 +15,7 @@ UNION ALL SELECT p.p_partkey, r.p_partkey, 'alike', 0.4::double FROM part p JOIN
 both_ways AS (SELECT a, b, rel, score FROM edges UNION ALL SELECT b, a, rel, score FROM edges)"""
 LINE_EDGES = "rows_ AS (SELECT l_suppkey AS a, l_partkey % 100 + 1 AS b, l_discount AS score, l_returnflag AS flag, l_orderkey, l_linenumber FROM lineitem)"
 PAIRED = "paired AS (SELECT least(a, b) AS x, greatest(a, b) AS y, score, flag, l_orderkey, l_linenumber FROM rows_ WHERE a <> b)"
+SPACE = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 TURNS = "turns AS (SELECT u.conv_id, a.turn, u.text AS instruction, a.text AS output FROM conversations u JOIN conversations a ON a.conv_id = u.conv_id AND a.turn = u.turn + 1 AND a.role = 'assistant' WHERE u.role = 'user')"
 CLEAN = r"trim(regexp_replace(regexp_replace(text, '\s+', ' ', 'g'), '[^\x00-\x7F]+', '', 'g'))"
 NEAREST = """scored AS (SELECT q.vec_id AS query, q.label AS query_label, e.vec_id, e.label, round(list_cosine_similarity(e.embedding::double[], q.embedding::double[]), 6) AS cosine FROM embeddings e JOIN embeddings q ON q.vec_id % 100 = 0 AND e.vec_id <> q.vec_id),
@@ -105,6 +106,8 @@ SELECT *, inferred > direct OR overall < 0.45 OR (direct < 2 AND top3 < 0.55) AS
     "quality_filter": rf"WITH {TURNS} SELECT conv_id, turn FROM turns WHERE length(trim(output)) >= 80 AND output <> instruction AND NOT regexp_matches(output, '^[\sNA/.:-]*$')",
     "dedup_prefix": "SELECT min(doc_id) AS doc_id FROM documents GROUP BY substring(text, 1, 150), lang",
     "cap_per_output": "SELECT doc_id FROM documents QUALIFY row_number() OVER (PARTITION BY substring(text, 1, 10) ORDER BY doc_id) <= 5",
+    "dedup_instruction_output": f"WITH {TURNS} SELECT conv_id, turn FROM turns QUALIFY row_number() OVER (PARTITION BY substring(trim(instruction, {SPACE}), 1, 150), substring(trim(output, {SPACE}), 1, 200) ORDER BY conv_id, turn) = 1",
+    "cap_per_output_300": f"WITH {TURNS} SELECT conv_id, turn FROM turns QUALIFY row_number() OVER (PARTITION BY substring(trim(output, {SPACE}), 1, 300) ORDER BY conv_id, turn) <= 5",
     "entity_split": "WITH s AS (SELECT conv_id, count(*) AS n FROM conversations GROUP BY 1), r AS (SELECT *, sum(n) OVER (ORDER BY md5(conv_id::varchar), conv_id ROWS UNBOUNDED PRECEDING) - n AS before, sum(n) OVER () AS total FROM s) SELECT conv_id, n, CASE WHEN before < total * 0.1::double THEN 'eval' ELSE 'train' END AS side FROM r",
     "layer_histogram_share": "SELECT source, count(*) AS n, round(count(*) / sum(count(*)) OVER (), 6) AS share, count(*) < 40 AS thin FROM documents GROUP BY 1",
     "length_stats_p95": "WITH t AS (SELECT ceil(n_chars / 2.7::double)::bigint AS tokens FROM documents), r AS (SELECT tokens, row_number() OVER (ORDER BY tokens) AS i, count(*) OVER () AS n FROM t) SELECT max(n) AS n, round(avg(tokens), 6) AS mean, max(tokens) FILTER (WHERE i = floor(n * 0.95::double) + 1) AS at_share, max(tokens) AS most FROM r",
