@@ -185,3 +185,14 @@ def test_turns_with_one_opening_and_different_bodies_stay(spark, tmp_path):
     ids = lambda name: sorted(r.conv_id for r in catalogue.QUERIES[name](spark, str(tmp_path)).collect())
     assert ids("dedup_instruction_output") == [*range(8), 50]
     assert ids("cap_per_output_300") == [*range(8), *range(50, 55)]
+
+
+def test_reference_caps_keep_what_small_caps_cut(spark, tmp_path):
+    spark.createDataFrame([(s, k) for s in range(30) for k in range(25)], "l_suppkey int, l_partkey int").write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.createDataFrame([(k, "a source") for k in range(8)], "doc_id long, source string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(k, "a brand", "a type") for k in range(800)], "p_partkey int, p_brand string, p_type string").write.parquet(f"{tmp_path}/part.parquet")
+    rows = lambda name: catalogue.QUERIES[name](spark, str(tmp_path)).count()
+    assert rows("pairs_per_group_reference_caps") == 30 * 190
+    assert rows("bridge_pairs_reference_cap") == 300
+    assert rows("source_quota_reference") == 8
+    assert rows("group_members_reference_caps") == 1200

@@ -24,7 +24,7 @@ def group_weights(members: DataFrame, group: list[str], entity: str) -> DataFram
     return sizes.join(F.broadcast(total), F.lit(True)).withColumn("weight", idf(F.col("n"), F.col("total"))).drop("total")
 
 
-def capped(members: DataFrame, group: list[str], entity: str, cap: int) -> DataFrame:
+def capped(members: DataFrame, group: list[str], entity: str, cap: int | Column) -> DataFrame:
     """The first `cap` members of each group by entity."""
     rank = F.row_number().over(W.partitionBy(*group).orderBy(entity))
     return members.withColumn("_rank", rank).filter(F.col("_rank") <= cap).drop("_rank")

@@ -62,11 +62,26 @@ def recency_decay(q):
 
 @query
 def supplier_bridge_pairs(q):
+    return bridge_pairs(q, 20)
+
+
+@query
+def group_members_reference_caps(q):
+    """The reference's caps of a product's and of a category's members."""
+    return p.capped(part_members(q), ["signal", "key"], "entity", F.when(F.col("signal") == "brand", 500).otherwise(700))
+
+
+def bridge_pairs(q, cap: int) -> DataFrame:
     used = q("lineitem").select("l_suppkey", "l_partkey").distinct()
-    pairs = p.shared_pairs(p.capped(used, ["l_suppkey"], "l_partkey", 20), ["l_suppkey"], "l_partkey").filter("a < b")
+    pairs = p.shared_pairs(p.capped(used, ["l_suppkey"], "l_partkey", cap), ["l_suppkey"], "l_partkey").filter("a < b")
     return pairs.groupBy("a", "b").agg(F.countDistinct("l_suppkey").alias("n_suppliers"))
 
 
+@query
+def bridge_pairs_reference_cap(q):
+    return bridge_pairs(q, 400)
+
+
 def dated(q) -> DataFrame:
     return q("orders").select("o_orderkey", "o_custkey", t.day_number("o_orderdate").alias("day"))
 
@@ -110,14 +125,23 @@ def precedence_first_writer(q):
     return p.first_writer(pair_sources(q), ["a", "b"], ["prio"]).select("a", "b", "source", F.round(F.least(F.lit(1.0), F.col("confidence") + F.when(F.col("source") == "brand", 0.1).otherwise(0.0)), 3).alias("confidence"))
 
 
-@query
-def capped_pairs_per_group(q):
-    used = p.capped(q("lineitem").select("l_suppkey", "l_partkey").distinct(), ["l_suppkey"], "l_partkey", 8)
+def pairs_per_group(q, members: int, limit: int) -> DataFrame:
+    used = p.capped(q("lineitem").select("l_suppkey", "l_partkey").distinct(), ["l_suppkey"], "l_partkey", members)
     groups = used.groupBy("l_suppkey").agg((F.count("*") * (F.count("*") - 1) / 2).cast("long").alias("n_pairs"))
-    kept = p.largest_groups_within(groups, "n_pairs", "l_suppkey", 600).select("l_suppkey")
+    kept = p.largest_groups_within(groups, "n_pairs", "l_suppkey", limit).select("l_suppkey")
     return p.shared_pairs(used.join(kept, "l_suppkey"), ["l_suppkey"], "l_partkey").filter("a < b").select("l_suppkey", "a", "b")
 
 
+@query
+def capped_pairs_per_group(q):
+    return pairs_per_group(q, 8, 600)
+
+
+@query
+def pairs_per_group_reference_caps(q):
+    return pairs_per_group(q, 20, 600_000)
+
+
 @query
 def chain_adjacent_lead(q):
     return t.chain(q("orders"), "o_custkey", ["o_orderdate", "o_orderkey"], "o_orderkey").select("o_custkey", "o_orderkey", "position", "next_key", "length")
@@ -350,6 +374,11 @@ def source_quota(q):
     return rec.quota(q("documents"), "source", ["doc_id"], 5).select("doc_id", "source")
 
 
+@query
+def source_quota_reference(q):
+    return rec.quota(q("documents"), "source", ["doc_id"], 150_000).select("doc_id", "source")
+
+
 @query
 def sha_id(q):
     return q("documents").select("doc_id", tx.short_id(F.col("source"), F.col("lang"), F.col("text")).alias("chunk_id"))

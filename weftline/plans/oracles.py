@@ -41,6 +41,13 @@ SELECT a, b, score, signals, count(*) OVER (PARTITION BY a) AS candidates, row_n
     "recency_decay": "SELECT o_orderkey, CASE WHEN 2000 - year(o_orderdate) <= 1 THEN 1.0::double WHEN 2000 - year(o_orderdate) <= 3 THEN 0.85::double WHEN 2000 - year(o_orderdate) <= 5 THEN 0.65::double ELSE 0.5::double END AS decay FROM orders",
     "supplier_bridge_pairs": """WITH used AS (SELECT DISTINCT l_suppkey, l_partkey FROM lineitem), c AS (SELECT * FROM used QUALIFY row_number() OVER (PARTITION BY l_suppkey ORDER BY l_partkey) <= 20)
 SELECT x.l_partkey AS a, y.l_partkey AS b, count(DISTINCT l_suppkey) AS n_suppliers FROM c x JOIN c y USING (l_suppkey) WHERE x.l_partkey < y.l_partkey GROUP BY 1, 2""",
+    "group_members_reference_caps": f"WITH {MEMBERS} SELECT * FROM members QUALIFY row_number() OVER (PARTITION BY signal, key ORDER BY entity) <= CASE WHEN signal = 'brand' THEN 500 ELSE 700 END",
+    "bridge_pairs_reference_cap": """WITH used AS (SELECT DISTINCT l_suppkey, l_partkey FROM lineitem), c AS (SELECT * FROM used QUALIFY row_number() OVER (PARTITION BY l_suppkey ORDER BY l_partkey) <= 400)
+SELECT x.l_partkey AS a, y.l_partkey AS b, count(DISTINCT l_suppkey) AS n_suppliers FROM c x JOIN c y USING (l_suppkey) WHERE x.l_partkey < y.l_partkey GROUP BY 1, 2""",
+    "pairs_per_group_reference_caps": """WITH used AS (SELECT * FROM (SELECT DISTINCT l_suppkey, l_partkey FROM lineitem) QUALIFY row_number() OVER (PARTITION BY l_suppkey ORDER BY l_partkey) <= 20),
+sizes AS (SELECT l_suppkey, count(*) * (count(*) - 1) // 2 AS n FROM used GROUP BY 1), kept AS (SELECT l_suppkey FROM sizes QUALIFY sum(n) OVER (ORDER BY n DESC, l_suppkey ROWS UNBOUNDED PRECEDING) <= 600000)
+SELECT l_suppkey, x.l_partkey AS a, y.l_partkey AS b FROM used x JOIN used y USING (l_suppkey) JOIN kept USING (l_suppkey) WHERE x.l_partkey < y.l_partkey""",
+    "source_quota_reference": "SELECT doc_id, source FROM documents QUALIFY row_number() OVER (PARTITION BY source ORDER BY doc_id) <= 150000",
     "temporal_pairs_30d": """SELECT x.o_custkey AS "by", x.o_orderkey AS a, y.o_orderkey AS b, abs(date_diff('day', x.o_orderdate::date, y.o_orderdate::date))::int AS days FROM orders x JOIN orders y ON x.o_custkey = y.o_custkey AND x.o_orderkey < y.o_orderkey WHERE abs(date_diff('day', x.o_orderdate::date, y.o_orderdate::date)) <= 30""",
     "sliding_30d_count": "SELECT o_orderkey, count(*) OVER (PARTITION BY o_custkey ORDER BY date_diff('day', DATE '1970-01-01', o_orderdate::date) RANGE BETWEEN 30 PRECEDING AND 30 FOLLOWING) AS n_near FROM orders",
     "comention_pairs": f"WITH {COMENTIONS} SELECT * FROM co",
