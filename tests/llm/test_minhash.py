@@ -2,6 +2,7 @@ import random
 import re
 
 import numpy as np
+import pytest
 
 from weftline.llm import minhash
 from weftline.llm.components import components
@@ -68,8 +69,8 @@ def test_large_buckets_keep_pairs_of_one_band(frame, monkeypatch):
     for k in range(40):  # pairs of near copies; others share the passage and do not link
         text = common + " " + make(60)
         rows += [(k, text), (1000 + k, text + " " + make(4))]
-    monkeypatch.setattr(minhash, "SMALL", 2)
     monkeypatch.setattr(minhash, "BLOCK", 16)
+    monkeypatch.setattr(minhash, "BLOCK_SHINGLES", 3000)
     monkeypatch.setattr(minhash, "bands_for", lambda threshold: (1, 1))
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in minhash.near_duplicates(frame(rows), 85).collect()}
     keys = {r.doc_id: r.bands[0] for r in minhash.signatures(frame(rows), 1, 1).collect()}
@@ -80,6 +81,46 @@ def test_large_buckets_keep_pairs_of_one_band(frame, monkeypatch):
     assert all(str(got[i][1]) == c or i >= 1000 and i - 1000 not in met for i, _, c, _ in ((int(w[0]), *w[1:]) for w in want))
 
 
+@pytest.mark.parametrize(("block", "weight"), [(8192, 1 << 20), (100, 9000)])
+def test_many_near_copies_around_the_threshold(frame, monkeypatch, block, weight):
+    """Copies of one text with one to five words changed: most pairs lie just above or below the threshold."""
+    rng = random.Random(8)
+    base = " ".join(f"w{rng.randrange(10**6)}" for _ in range(150))
+    rows = [(k, family(rng, base, rng.choice([1, 1, 2, 2, 3, 4, 5]))) for k in range(700)]
+    monkeypatch.setattr(minhash, "BLOCK", block)
+    monkeypatch.setattr(minhash, "BLOCK_SHINGLES", weight)
+    assert rows_of(minhash.near_duplicates(frame(rows), 85)) == brute(rows, 85)
+
+
+def test_what_leaves_buckets_and_groups_grows_with_their_members(frame):
+    rng = random.Random(9)
+    base = " ".join(f"w{rng.randrange(10**6)}" for _ in range(150))
+    rows = [(k, family(rng, base, rng.choice([1, 2]))) for k in range(400)]
+    size, bands = minhash.bands_for(0.85)
+    classes = minhash.signatures(frame(rows), size, bands).selectExpr("*", "doc_id as c", "doc_id as node")
+    members = classes.selectExpr("c", "explode(bands) as grp").groupBy("grp").count().filter("count > 1").selectExpr("sum(count) - count(*) as n").first().n
+    assert minhash.candidate_links(classes, size * bands, 85).count() <= members
+    groups = classes.selectExpr("c", "0L as grp")
+    assert minhash.confirmed_links(frame(rows), classes, groups, 85).count() < len(rows)
+
+
+def test_search_finds_what_links_connect():
+    rng = np.random.default_rng(3)
+    first = np.array([0, 1, 4, 4, 40, 90])
+    group = np.repeat(np.arange(5), np.diff(first))
+    links = np.zeros((90, 90), bool)
+    for _ in range(60):
+        a, b = rng.integers(0, 90, 2)
+        links[a, b] = links[b, a] = group[a] == group[b]
+    root = np.arange(90)
+    while True:  # the least of what is connected
+        low = np.where(links, root[None, :], 90).min(1)
+        if (np.minimum(root, low) == root).all():
+            break
+        root = np.minimum(root, low)
+    assert (minhash.search(first, lambda x, y: links[x, y]) == root).all()
+
+
 def test_sketches_rule_out_only_what_is_too_far(frame):
     rng = np.random.default_rng(6)
     for n in (1, 5, 100, 5000):

@@ -2,45 +2,50 @@
 
 Every text has a set of word shingles.  Texts with equal sets form a class; the
 rest is done on classes.  Many universal hash functions give minima of each
-set; bands of minima are keys of buckets.  Within a bucket every class is
-compared with one hub, the least class.  All comparisons are made on the full
-sets.  Jaccard distance is a metric, so a class that is further from the hub
-than twice the link distance cannot be linked with any class linked to the hub;
-classes between are compared with those too unless they are connected already.
-What a hub leaves over forms a bucket again with a hub of its own.  In buckets
-of SMALL classes at most, and in all of the last round, what the hub leaves is
-compared with the bucket's other components at once: no bucket is cut or split,
-so two classes that share a band are compared, are connected already, or are
-shown to be too far apart.  Set sizes and sketches show that: a sketch has the
-parities of the set's values in CELLS cells, and two sets differ in at least as
-many values as their sketches differ in parities.
+set; bands of minima are keys of buckets.  Then, at every size alike:
+
+1. Signature verification.  Within a bucket, two classes are a candidate pair if
+   nothing rules a link out: neither their set sizes, nor their parities (a
+   number of cells, each with the parity of how many values it holds: two sets
+   differ in at least as many values as in parities), nor the agreement of all
+   their minima (DEVIATIONS standard deviations below what a pair at the
+   threshold shows).  A search over each bucket joins what candidate pairs
+   connect; one row per class leaves it, not one per pair.
+2. Those links are joined over all buckets by alternating large-star and
+   small-star: groups of classes, each of which holds whole components.
+3. Exact confirmation.  The texts of a group meet once, and the same search
+   with full shingle sets tells which classes are linked.  Again one row per
+   class leaves.  Star steps over the confirmed links give the components.
+
+A search asks each member it reaches about those not reached yet, so members
+that one neighbour connects are never compared with each other.  Buckets and
+groups beyond a bound are cut into blocks by hash, and every two blocks meet in
+one unit of work: no task holds more than two blocks, and no pair is left out.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .blocks import U64, Texts, Words, distinct, inside_rows, mix, roll, slices
+from .blocks import U64, Texts, Words, distinct, inside_rows, mix, ragged, roll, slices
 from .components import components
 from .tables import keyed, written
 
 WORDS = 5
 #: chance at most to lose a link right at the threshold
 MISS = 1e-6
-#: classes of a bucket up to which what its hub leaves over is compared directly
-SMALL = 256
-#: rounds of hubs; the last compares what is left directly
-TURNS = 4
 #: parities in a sketch, a multiple of 64
 CELLS = 1024
-#: members of a bucket that one task at most compares with all of the bucket
-BLOCK = 4096
+#: bits that are kept of a minimum, and how far below expectation the agreement of minima rules a link out
+NIBBLE, DEVIATIONS = 4, 5
+#: classes of a block of a bucket, shingles of a block of a group
+BLOCK, BLOCK_SHINGLES = 8192, 1 << 20
 
 
 def bands_for(threshold: float, miss: float = MISS) -> tuple[int, int]:
@@ -116,8 +121,25 @@ def sketches(values: np.ndarray, off: np.ndarray) -> np.ndarray:
     return out
 
 
+def nibbles(low: np.ndarray) -> np.ndarray:
+    """Four bits of each minimum, sixteen to a word of 64 bits, one row per column of `low`; the last word may have zeros."""
+    four = ((low * np.uint32(0x9E3779B1)) >> np.uint32(32 - NIBBLE)).astype(U64)
+    words = -(-len(four) // 16)
+    out = np.zeros((words, low.shape[1]), U64)
+    for j in range(len(four)):
+        out[j // 16] |= four[j] << U64(NIBBLE * (j % 16))
+    return out.T
+
+
+def binaries(rows: np.ndarray) -> pa.Array:
+    """Rows of 64-bit words as one binary value each."""
+    raw = np.ascontiguousarray(rows)
+    off = np.arange(len(raw) + 1, dtype=np.int32) * np.int32(raw.shape[1] * 8)
+    return pa.Array.from_buffers(pa.binary(), len(raw), [None, pa.py_buffer(off), pa.py_buffer(raw.tobytes())])
+
+
 def signatures(docs: DataFrame, size: int, bands: int) -> DataFrame:
-    """doc_id, fp, n_shingles, the set's fingerprint s1, s2, its band keys (none for an empty set) and its sketch."""
+    """doc_id, fp, n_shingles, the set's fingerprint s1, s2, its band keys (none for an empty set) and its sketch: parities, then minima."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, limit=1 << 18):
@@ -125,64 +147,170 @@ def signatures(docs: DataFrame, size: int, bands: int) -> DataFrame:
             n = np.diff(off)
             full = np.flatnonzero(n)
             keys = np.zeros((0, bands), U64)
+            own = np.zeros((len(n), -(-size * bands // 16)), U64)
             if len(full):
-                keys = band_keys(minima(values, np.append(off[full], off[-1]), size * bands), size)
+                low = minima(values, np.append(off[full], off[-1]), size * bands)
+                keys, own[full] = band_keys(low, size), nibbles(low)
             lists = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum((n > 0) * bands)).astype(np.int32)), pa.array(keys.reshape(-1).view(np.int64)))
             s1, s2 = row_sums(mix(values), off), row_sums(mix(values ^ U64(0xA0761D6478BD642F)), off)
-            bits = pa.ListArray.from_arrays(pa.array(np.arange(len(n) + 1, dtype=np.int32) * np.int32(CELLS // 64)), pa.array(sketches(values, off).view(np.int64)))
-            yield pa.RecordBatch.from_arrays([part["doc_id"], part["fp"], pa.array(n, pa.int64()), pa.array(s1.view(np.int64)), pa.array(s2.view(np.int64)), lists, bits], ["doc_id", "fp", "n_shingles", "s1", "s2", "bands", "bits"])
+            sketch = binaries(np.concatenate((sketches(values, off).reshape(len(n), -1), own), 1))
+            columns = [part["doc_id"], part["fp"], pa.array(n, pa.int64()), pa.array(s1.view(np.int64)), pa.array(s2.view(np.int64)), lists, sketch]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "fp", "n_shingles", "s1", "s2", "bands", "sketch"])
 
-    return keyed(docs).select("doc_id", "fp", "text").mapInArrow(run, "doc_id long, fp long, n_shingles long, s1 long, s2 long, bands array<bigint>, bits array<bigint>")
+    schema = "doc_id long, fp long, n_shingles long, s1 long, s2 long, bands array<bigint>, sketch binary"
+    return keyed(docs).select("doc_id", "fp", "text").mapInArrow(run, schema)
 
 
-def overlaps(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """Sizes of intersection and union of the full shingle sets of classes c and hub."""
+def search(first: np.ndarray, linked: Callable[[np.ndarray, np.ndarray], np.ndarray]) -> np.ndarray:
+    """The first member that each member is connected with, inside its group.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches, "text", 1 << 20):
-            (x, xo), (y, yo) = (unique_per_row(*shingles(Texts(part[c]))) for c in ("text", "hub_text"))
-            rows = np.arange(part.num_rows, dtype=np.int64)
-            row = np.concatenate((np.repeat(rows, np.diff(xo)), np.repeat(rows, np.diff(yo))))
-            values = np.concatenate((x, y)) ^ mix(row.astype(U64) + U64(1))
-            union = np.bincount(row[distinct(values)[1]], minlength=part.num_rows) if len(values) else np.zeros(part.num_rows, np.int64)
-            both = np.diff(xo) + np.diff(yo) - union
-            yield pa.RecordBatch.from_arrays([part["c"], part["hub"], pa.array(both, pa.int64()), pa.array(union, pa.int64())], ["c", "hub", "both", "either"])
+    Group g has the members first[g] to first[g + 1] - 1; linked(x, y) tells for
+    pairs of members whether they are linked, and is asked for all groups at
+    once: at a step every group names one head, a member that is reached but
+    not yet asked, or else the first not reached, and the head is tested
+    against all that are not reached.
+    """
+    n = int(first[-1])
+    root, state, live = np.arange(n), np.zeros(n, np.int8), np.arange(n)  # state: 0 not reached, 1 reached, 2 asked
+    group = np.repeat(np.arange(len(first) - 1), np.diff(first))
+    while len(live):
+        begin = np.flatnonzero(np.append(True, group[live[1:]] != group[live[:-1]]))
+        size = np.diff(np.append(begin, len(live)))
+        heads = np.minimum.reduceat(live + np.where(state[live] == 1, 0, n), begin) % n
+        state[heads] = 2
+        other = state[live] == 0
+        x, y = np.repeat(heads, size)[other], live[other]
+        hit = linked(x, y) if len(y) else np.zeros(0, bool)
+        root[y[hit]] = root[x[hit]]
+        state[y[hit]] = 1
+        open_ = np.repeat(np.logical_or.reduceat(state[live] == 0, begin), size)
+        live = live[open_ & (state[live] < 2)]
+    return root
+
+
+def sizes_allow(x: np.ndarray, y: np.ndarray, percent: int) -> np.ndarray:
+    return (100 - percent) * (x + y) >= (100 + percent) * np.abs(x - y)
+
+
+def may_link(n: np.ndarray, sketch: np.ndarray, functions: int, percent: int) -> Callable[[np.ndarray, np.ndarray], np.ndarray]:
+    """Signature verification of pairs of members: whether nothing rules a link out."""
+    width, t = CELLS // 64, percent / 100
+    agree = t + (1 - t) / 2**NIBBLE
+    most = functions * (1 - agree) + DEVIATIONS * math.sqrt(functions * agree * (1 - agree))  # minima that may differ
+    ones = U64(0x1111111111111111)
+
+    def linked(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        out = sizes_allow(n[x], n[y], percent)
+        for a in range(0, len(x), 1 << 16):
+            own = a + np.flatnonzero(out[a : a + (1 << 16)])
+            apart = sketch[x[own]] ^ sketch[y[own]]
+            parities = np.bitwise_count(apart[:, :width]).sum(1, dtype=np.int64)
+            unlike = apart[:, width:]
+            unlike |= unlike >> U64(2)
+            unlike |= unlike >> U64(1)
+            differ = np.bitwise_count(unlike & ones).sum(1, dtype=np.int64)
+            out[own] = ((100 - percent) * (n[x[own]] + n[y[own]]) >= (100 + percent) * parities) & (differ <= most)
+        return out
+
+    return linked
+
+
+def do_link(values: np.ndarray, off: np.ndarray, group: np.ndarray, percent: int) -> Callable[[np.ndarray, np.ndarray], np.ndarray]:
+    """Exact test of pairs of members of a group on their full sets; asked with one head per group at a time."""
+    n = np.diff(off)
+    code, _ = distinct(values ^ mix(np.repeat(group, n).astype(U64) + U64(1)))
+    owner = np.full(int(code.max()) + 1 if len(code) else 0, -1)
+
+    def linked(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        out = sizes_allow(n[x], n[y], percent)
+        heads = np.unique(x)  # groups share no code, so all heads can stand together
+        owner[code[ragged(n[heads], off[heads])]] = np.repeat(heads, n[heads])
+        own = np.flatnonzero(out)
+        upto = np.cumsum(n[y[own]])
+        cuts = np.searchsorted(upto, np.arange(0, int(upto[-1]) if len(upto) else 0, 1 << 22)).tolist()
+        for a, b in zip(cuts, [*cuts[1:], len(own)]):
+            some = own[a:b]
+            if len(some):
+                size = n[y[some]]
+                same = owner[code[ragged(size, off[y[some]])]] == np.repeat(x[some], size)
+                both = np.add.reduceat(same, np.cumsum(size) - size, dtype=np.int64)
+                out[some] = 100 * both >= percent * (n[x[some]] + size - both)
+        return out
+
+    return linked
+
+
+def units(members: DataFrame, group: str, weight: Column, limit: int) -> DataFrame:
+    """Members (group, c, ...) of groups of two or more, with each unit of work that they take part in.
+
+    A group of a weight up to `limit` is one unit.  A heavier one is cut into
+    blocks by hash of c, and every two of its blocks make a unit.
+    """
+    total = members.groupBy(group).agg(F.count("*").alias("of"), F.ceil(F.sum(weight) / limit).cast("int").alias("blocks")).filter("of > 1").select(group, "blocks")
+    rows = members.join(total, group).withColumn("own", F.expr("cast(pmod(xxhash64(c), blocks) as int)"))
+    others = F.expr("transform(filter(sequence(0, blocks - 1), b -> b <> own), b -> least(b, own) * cast(blocks as bigint) + greatest(b, own))")
+    return rows.withColumn("unit", F.explode(F.when(F.col("blocks") == 1, F.array(F.lit(0).cast("long"))).otherwise(others))).drop("own", "blocks")
 
-    joined = pairs.join(texts, "c").join(texts.select(F.col("c").alias("hub"), F.col("text").alias("hub_text")), "hub")
-    return joined.select("c", "hub", "text", "hub_text").mapInArrow(run, "c long, hub long, both long, either long")
 
+def whole_units(batches: Iterator[pa.RecordBatch], rows: int, size: int = 2**62) -> Iterator[pa.Table]:
+    """Rows that come sorted by (grp, unit), some units at a time: a table is given out once it has so many rows or bytes of text."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        held.append(batch)
+        if sum(x.num_rows for x in held) >= rows or sum(x.nbytes for x in held) >= size:
+            table = pa.Table.from_batches(held).combine_chunks()
+            grp, unit = table["grp"].to_numpy(), table["unit"].to_numpy()
+            cut = int(np.flatnonzero(np.append(True, (grp[1:] != grp[:-1]) | (unit[1:] != unit[:-1])))[-1])  # the last unit may go on
+            if cut:
+                yield table.slice(0, cut).combine_chunks()
+            held = [x for x in table.slice(cut).combine_chunks().to_batches() if x.num_rows]
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks()
 
-def with_hubs(rows: DataFrame) -> DataFrame:
-    """Members (key, c, hub, n) of buckets (key, c) of n >= 2 classes; the hub itself has no row."""
-    hubs = rows.groupBy("key").agg(F.min("c").alias("hub"), F.max("c").alias("last"), F.count("*").alias("n")).filter("hub < last").drop("last")
-    return rows.join(hubs, "key").filter("c <> hub")
 
+def starts(table: pa.Table) -> np.ndarray:
+    """First row of each unit, and the end."""
+    grp, unit = table["grp"].to_numpy(), table["unit"].to_numpy()
+    return np.append(np.flatnonzero(np.append(True, (grp[1:] != grp[:-1]) | (unit[1:] != unit[:-1]))), len(grp))
 
-def possible(percent: int) -> Column:
-    """Whether sets x and y can be linked: `percent` of the union bounds the values that only one of them has."""
-    total = F.col("x_n") + F.col("y_n")
-    apart = sum((F.bit_count(F.col("x_bits")[i].bitwiseXOR(F.col("y_bits")[i])) for i in range(CELLS // 64)), F.lit(0))
-    return ((100 - percent) * total >= (100 + percent) * F.abs(F.col("x_n") - F.col("y_n"))) & ((100 - percent) * total >= (100 + percent) * apart)
 
+def stars(table: pa.Table, columns: tuple[str, str], root: np.ndarray) -> pa.RecordBatch:
+    """One row for each member that is connected with an earlier one: itself and the first it is connected with."""
+    own = np.flatnonzero(root != np.arange(len(root)))
+    ids = table[columns[0]].to_numpy()
+    return pa.RecordBatch.from_arrays([pa.array(ids[own]), pa.array(ids[root[own]])], ["u", "v"])
 
-def open_pairs(state: DataFrame, sets: DataFrame, percent: int, small: int) -> DataFrame:
-    """Pairs that the stars of a round leave to be compared, for every bucket but what `with_hubs` takes up again.
 
-    In a small bucket: what is not linked with the hub against all members of
-    other components.  In a large one: what lies between link and twice the link
-    distance from the hub, not connected with it so far, against what the hub is
-    linked with.  Pairs that sizes or sketches (`sets`) show to be too far apart
-    are left out.  Large buckets are dealt to tasks by blocks of members.
-    """
-    near = (100 * F.col("both") >= (2 * percent - 100) * F.col("either")) & (F.col("component") != F.col("hub_component"))
-    asks, answers = ~_linked(percent) & ((F.col("n") <= small) | near), (F.col("n") <= small) | _linked(percent)
-    open_ = state.groupBy("key").agg(F.min("component").alias("a"), F.max("component").alias("b"), F.max(asks).alias("asked")).filter("a < b and asked").select("key")
-    rows = state.join(open_, "key", "left_semi").select("key", "c", "component", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"), asks.alias("asks"), answers.alias("answers")).join(sets, "c")
-    own = lambda side: [F.col("c").alias(side), F.col("component").alias(f"{side}_component"), F.col("n_shingles").alias(f"{side}_n"), F.col("bits").alias(f"{side}_bits")]
-    left = rows.filter("asks").select("key", F.expr("cast(pmod(xxhash64(c), blocks) as int)").alias("block"), *own("x"))
-    right = rows.filter("answers").select("key", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), *own("y"))
-    pairs = left.join(right, ["key", "block"]).filter((F.col("x_component") != F.col("y_component")) & possible(percent))
-    return pairs.select(F.greatest("x", "y").alias("c"), F.least("x", "y").alias("hub")).distinct()
+def candidate_links(classes: DataFrame, functions: int, percent: int) -> DataFrame:
+    """Links u, v of classes that join all candidate pairs of each bucket."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in whole_units(batches, 1 << 14):
+            sketch = np.frombuffer(b"".join(table["sketch"].to_pylist()), U64)
+            test = may_link(table["n_shingles"].to_numpy(), sketch.reshape(table.num_rows, -1), functions, percent)
+            yield stars(table, ("c", "c"), search(starts(table), test))
+
+    members = units(classes.select("c", F.explode("bands").alias("grp")), "grp", F.lit(1), BLOCK)
+    rows = members.join(classes.select("c", "n_shingles", "sketch"), "c").select("grp", "unit", "c", "n_shingles", "sketch")
+    return rows.repartition("grp", "unit").sortWithinPartitions("grp", "unit", "c").mapInArrow(run, "u long, v long")
+
+
+def confirmed_links(docs: DataFrame, classes: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
+    """Links u, v of documents that join all linked pairs of classes of each group, by full sets."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in whole_units(batches, 1 << 14, 4 << 20):
+            values, off = unique_per_row(*shingles(Texts(table["text"].combine_chunks())))
+            first = starts(table)
+            group = np.repeat(np.arange(len(first) - 1), np.diff(first))
+            yield stars(table, ("node", "node"), search(first, do_link(values, off, group, percent)))
+
+    members = units(groups.join(classes.select("c", "node", "fp", "n_shingles"), "c"), "grp", F.col("n_shingles"), BLOCK_SHINGLES)
+    wanted = members.groupBy(F.col("node").alias("id0"), "fp").agg(F.collect_list(F.struct("grp", "unit", "node")).alias("at"))
+    # rows equal in doc_id and text come out of the join next to each other: one of them stays
+    texts = keyed(docs).filter("doc_id is not null").select("id0", "fp", "text").join(wanted, ["id0", "fp"]).groupBy("id0", "fp").agg(F.first("text").alias("text"), F.first("at").alias("at"))
+    rows = texts.select("text", F.inline("at"))
+    return rows.select("grp", "unit", "node", "text").repartition("grp", "unit").sortWithinPartitions("grp", "unit", "node").mapInArrow(run, "u long, v long")
 
 
 def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
@@ -196,49 +324,12 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     size, bands = bands_for(percent / 100)
     marks = written(signatures(docs, size, bands), "minhash")
     full = marks.filter("n_shingles > 0 and doc_id is not null")
-    classes = full.groupBy("s1", "s2", "n_shingles").agg(F.min(F.struct("doc_id", "fp")).alias("rep"), F.min_by(F.struct("bands", "bits"), F.struct("doc_id", "fp")).alias("own"))
-    classes = written(classes.select("s1", "s2", "n_shingles", F.col("rep.doc_id").alias("node"), F.col("rep.fp").alias("fp"), "own.bands", "own.bits", F.monotonically_increasing_id().alias("c")), "minhash")
-    keys = classes.select("c", F.explode("bands").alias("key"))
-    members = written(with_hubs(keys), "minhash")
-    wanted = members.select("c").unionByName(members.select(F.col("hub").alias("c"))).distinct().join(classes.select("c", "node", "fp"), "c")
-    texts = keyed(docs).join(wanted.withColumnRenamed("node", "id0"), ["id0", "fp"]).filter("doc_id is not null").select("c", "text").dropDuplicates(["c"])
-    texts = written(texts, "minhash")
-    known = None  # components so far, as links of their nodes
-    for turn in range(TURNS):
-        small = SMALL if turn < TURNS - 1 else 2**62
-        found = written(overlaps(members.select("c", "hub").distinct(), texts), "minhash")
-        known = _connected(known, found.filter(_linked(percent)), classes)
-        own = classes.select("c", "node").join(known, "node", "left").select("c", F.coalesce("component", "node").alias("component"))
-        state = members.join(found, ["c", "hub"]).join(own, "c").join(own.select(F.col("c").alias("hub"), F.col("component").alias("hub_component")), "hub")
-        state = written(state, "minhash")
-        more = written(overlaps(open_pairs(state, classes.select("c", "n_shingles", "bits"), percent, small), texts).filter(_linked(percent)), "minhash")
-        if not more.isEmpty():
-            known = _connected(known, more, classes)
-        # large buckets: what their hubs leave forms buckets again, where there is still something to connect
-        left = state.filter(~_linked(percent) & (F.col("n") > small))
-        open_ = left.groupBy("key").agg(F.min("component").alias("a"), F.max("component").alias("b")).filter("a < b").select("key")
-        members = written(with_hubs(left.select("key", "c").join(open_, "key", "left_semi")), "minhash")
-        if members.isEmpty():
-            break
+    classes = full.groupBy("s1", "s2", "n_shingles").agg(F.min(F.struct("doc_id", "fp")).alias("rep"), F.min_by(F.struct("bands", "sketch"), F.struct("doc_id", "fp")).alias("own"))
+    classes = classes.select("s1", "s2", "n_shingles", F.col("rep.doc_id").alias("node"), F.col("rep.fp").alias("fp"), "own.bands", "own.sketch", F.monotonically_increasing_id().alias("c"))
+    classes = written(classes, "minhash")
+    groups = components(candidate_links(classes, size * bands, percent)).select(F.col("node").alias("c"), F.col("component").alias("grp"))
+    known = components(confirmed_links(docs, classes, groups, percent))
     own = classes.join(known, "node", "left").select("s1", "s2", "n_shingles", F.coalesce("component", "node").alias("class_component"))
     out = marks.select("doc_id", "n_shingles", "s1", "s2").join(own, ["s1", "s2", "n_shingles"], "left")
     component = F.when(F.col("doc_id").isNull() | (F.col("n_shingles") == 0), F.col("doc_id")).otherwise(F.col("class_component"))
     return out.select("doc_id", "n_shingles", component.alias("component_id")).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
-
-
-def _linked(percent: int) -> Column:
-    return 100 * F.col("both") >= percent * F.col("either")
-
-
-def _connected(known: DataFrame | None, links: DataFrame, classes: DataFrame) -> DataFrame:
-    """Components of what is known and further links of classes, by their documents."""
-    edges = _nodes(links, classes)
-    if known is not None:
-        edges = edges.unionByName(known.select(F.col("node").alias("u"), F.col("component").alias("v")))
-    return written(components(edges), "minhash")
-
-
-def _nodes(links: DataFrame, classes: DataFrame) -> DataFrame:
-    """Links of classes as links of their documents."""
-    own = classes.select("c", "node")
-    return links.join(own, "c").withColumnRenamed("node", "u").join(own.select(F.col("c").alias("hub"), F.col("node").alias("v")), "hub").select("u", "v")
