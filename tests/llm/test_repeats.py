@@ -5,7 +5,7 @@ import re
 import numpy as np
 import pytest
 
-from weftline.llm import repeats, suffix_dedup, window_dedup
+from weftline.llm import blocks, repeats, suffix_dedup, window_dedup
 
 from .conftest import ODD
 
@@ -62,19 +62,22 @@ def cases(seed):
         rows.append((k, rng.choice([" ", "\n", "  "]).join(parts)))
     rows += [(200 + k, shared[0] * 2) for k in range(30)] + [(300 + k, "abcab" * 40) for k in range(3)] + [(7, rows[3][1]), (400, "x" * 300), (401, "x" * 310)]
     rng.shuffle(rows)
-    return rows + ODD[:8] + [(None, rows[0][1])]
+    return rows + ODD + [(None, rows[0][1])]
 
 
-@pytest.mark.parametrize("seed", [1, 2])
-def test_bytes_against_brute_force(frame, seed, monkeypatch):
+@pytest.mark.parametrize(("seed", "fan"), [(1, 1024), (2, 3)])
+def test_bytes_against_brute_force(frame, seed, fan, monkeypatch):
     monkeypatch.setattr(repeats, "FLUSH", 200)
+    monkeypatch.setattr(repeats, "GATHER", 50)
+    monkeypatch.setattr(repeats, "FAN", fan)  # of 3: 8 and 16 buckets take two and three exchanges
     rows = cases(seed)
     got = suffix_dedup.suffix_dedup(frame(rows).repartition(5)).collect()
     assert sorted((str(r.doc_id), r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got) == brute_bytes(rows, 50)
 
 
-@pytest.mark.parametrize("seed", [1, 2])
-def test_words_against_brute_force(frame, seed):
+@pytest.mark.parametrize(("seed", "fan"), [(1, 1024), (2, 3)])
+def test_words_against_brute_force(frame, seed, fan, monkeypatch):
+    monkeypatch.setattr(repeats, "FAN", fan)
     rows = cases(seed)
     got = window_dedup.window_dedup(frame(rows).repartition(5), width=12, kmer=4).collect()
     assert sorted((str(r.doc_id), r.n_words, r.n_removed, r.kept_sha256) for r in got) == brute_words(rows, 12)
@@ -86,6 +89,29 @@ def test_words_of_the_contract_width(frame):
     assert sorted((str(r.doc_id), r.n_words, r.n_removed, r.kept_sha256) for r in got) == brute_words(rows, 50)
 
 
+def test_rows_of_an_exchange_follow_the_entries(monkeypatch):
+    """Five times the entries and buckets make five times the rows, once there are more buckets than a task sends to."""
+    monkeypatch.setattr(repeats, "FAN", 16)
+    rng, count = np.random.default_rng(4), []
+    for times in (1, 5, 25):
+        rows, buckets = 0, 100 * times
+        span = repeats.steps(buckets)[0]
+        assert -(-buckets // span) <= 16
+        for _ in range(times):  # one flush of a task each
+            n = 5000
+            e = repeats.Entries(np.sort(rng.integers(0, 99, n)), np.ones(n, np.int64), rng.integers(0, 2**63, n).astype(np.uint64) * np.uint64(2), np.zeros((n, 1), np.int64))
+            rows += sum(b.num_rows for b in repeats.packed(e, np.zeros(n, bool), buckets, span))
+        count.append(rows)
+    assert count[1] <= 5 * 16 and count[2] <= 25 * 16
+
+
+def test_equal_hashes_of_different_words_do_not_count():
+    data = np.frombuffer(b"oneTWOone", np.uint8)
+    start, end = np.array([0, 3, 6]), np.array([3, 6, 9])
+    code = blocks.exact_codes(data, start, end, np.zeros(3, np.uint64))
+    assert code[0] == code[2] != code[1]
+
+
 def test_odd_rows_and_empty_tables(odd, frame):
     assert suffix_dedup.suffix_dedup(frame([])).count() == 0
     assert window_dedup.window_dedup(frame([])).count() == 0

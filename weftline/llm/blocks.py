@@ -104,6 +104,27 @@ def span_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndar
         at, left = at[more] + 8, left[more] - 8
 
 
+def same_spans(data: np.ndarray, start: np.ndarray, end: np.ndarray, other: np.ndarray) -> np.ndarray:
+    """Whether the byte string of each span is that of the span numbered `other`, byte by byte."""
+    size = end - start
+    same = size == size[other]
+    own = np.flatnonzero(same & (other != np.arange(len(other))) & (size > 0))
+    for a in range(0, len(own), 1 << 16):
+        some = own[a : a + (1 << 16)]
+        at = ragged(size[some], start[some])
+        alike = data[at] == data[ragged(size[some], start[other[some]])]
+        same[some] = np.logical_and.reduceat(alike, np.cumsum(size[some]) - size[some])
+    return same
+
+
+def exact_codes(data: np.ndarray, start: np.ndarray, end: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """A code for each span, equal for equal byte strings only: by hash, and by bytes should hashes ever collide."""
+    code, first = distinct(hashes)
+    if same_spans(data, start, end, first[code]).all():
+        return code
+    return pd.factorize(pd.Series([data[a:b].tobytes() for a, b in zip(start.tolist(), end.tolist(), strict=True)], dtype=object))[0]
+
+
 def spans(texts: Texts, member: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Start and end byte of each maximal run of member bytes within a row, and the first run of each row."""
     inside = member[texts.data]

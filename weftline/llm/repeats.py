@@ -9,13 +9,17 @@ Consecutive windows with one minimiser form a super-k-mer, one string.
    are candidates.  2. Only candidate super-k-mers travel, packed, to the bucket
    of their minimiser.  3. A resolver there compares their windows exactly and
    tells which also start in a document with a smaller id.  4. Hits go back to
-   their documents.
+   their documents, merged in the task that found them.
 
 Before each exchange a task reduces what it holds: of a minimiser or string that
 several of its documents have one goes on, so a passage that very many
 documents share puts one row per task into its bucket.  Copies of whole texts
 are settled by their digests and skip all this.  Texts are dealt by document
 once; the three joins read the same exchange.
+
+A task packs FLUSH entries into at most FAN rows.  Where there are more buckets
+than FAN, rows go to coarser ones first and are packed anew there, so rows stay
+large and their number grows with the entries, not with tasks times buckets.
 """
 
 from __future__ import annotations
@@ -29,13 +33,13 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .blocks import U64, Texts, distinct, inside_rows, mix, ragged, roll, slices, span_hashes
-from .tables import keyed, partitions
+from .blocks import U64, Texts, distinct, inside_rows, mix, ragged, roll, same_spans, slices, span_hashes
+from .tables import keyed, partitions, written
 
-#: bytes of text per bucket; super-k-mers that a task reduces together
-BUCKET_BYTES, FLUSH = 8 << 20, 400_000
-#: windows that a resolver is given at once
-TURN = 400_000
+#: bytes of text per bucket; entries that a task packs together; rows at most that it packs them into
+BUCKET_BYTES, FLUSH, FAN = 8 << 20, 400_000, 1024
+#: windows that a resolver is given at once; hits that a task gathers before it passes them on
+TURN, GATHER = 400_000, 1_000_000
 MANY = np.uint32(2**32 - 1)
 
 
@@ -72,10 +76,6 @@ def super_kmers(values: np.ndarray, off: np.ndarray, width: int, k: int) -> tupl
     return p0, p1, at[p0].astype(np.int64), h[at[p0]]
 
 
-def pack_rows(row: dict, kinds: dict) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(row[c], t) for c, t in kinds.items()], list(kinds))
-
-
 def run_lengths(doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """First place and length of each run of equal values."""
     if not len(doc):
@@ -84,13 +84,139 @@ def run_lengths(doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return first, np.diff(np.append(first, len(doc)))
 
 
-MARK_KINDS = {"bucket": pa.int64(), "ids": pa.binary(), "fps": pa.binary(), "counts": pa.binary(), "keys": pa.binary(), "ords": pa.binary()}
-MARKS = "bucket long, ids binary, fps binary, counts binary, keys binary, ords binary"
-KMER_KINDS = {"bucket": pa.int64(), "ids": pa.binary(), "fps": pa.binary(), "counts": pa.binary(), "keys": pa.binary(), "place": pa.binary(), "sizes": pa.binary(), "payload": pa.binary()}
-KMERS = "bucket long, ids binary, fps binary, counts binary, keys binary, place binary, sizes binary, payload binary"
+def planes(values: np.ndarray) -> bytes:
+    """Byte planes of integers or rows of them, compressed: high planes of small numbers cost next to nothing."""
+    return zstandard.ZstdCompressor(level=1).compress(values.view(np.uint8).reshape(len(values), -1).T.tobytes())
+
+
+def from_planes(data: bytes, kind: str, width: int = 1) -> np.ndarray:
+    raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8)
+    return np.ascontiguousarray(raw.reshape(np.dtype(kind).itemsize * width, -1).T).view(kind).reshape(-1)
+
+
+PACKED = "bucket long, ids binary, fps binary, counts binary, keys binary, numbers binary, payload binary"
+PACKED_KINDS = [pa.int64()] + [pa.binary()] * 6
 OWN = pa.schema([("id0", pa.int64()), ("fp", pa.int64()), ("found", pa.binary())])
 
 
+class Entries:
+    """Documents, minimisers (their upper 48 bits) and numbers of entries; `data` has their strings, whose sizes are the last numbers.
+
+    Settled entries need no bucket: they go back to their documents as they are.
+    """
+
+    def __init__(self, ids: np.ndarray, fps: np.ndarray, keys: np.ndarray, numbers: np.ndarray, data: np.ndarray | None = None):
+        self.ids, self.fps, self.keys, self.numbers, self.data = ids, fps, keys & ~U64(0xFFFF), numbers, data
+        if data is not None:
+            self.size = numbers[:, -1].astype(np.int64)
+            self.start = np.cumsum(self.size) - self.size
+
+    def __len__(self) -> int:
+        return len(self.ids)
+
+    def strings(self, own: np.ndarray) -> np.ndarray:
+        return self.data[ragged(self.size[own], self.start[own])]
+
+    def pack(self, own: np.ndarray, bucket: int, settled: bool = False) -> list:
+        first, size = run_lengths(mix(self.ids[own].view(U64)) ^ self.fps[own].view(U64))
+        keys = b"" if settled else planes(np.ascontiguousarray(self.keys[own].view("<u2").reshape(-1, 4)[:, 1:]))
+        payload = b"" if settled or self.data is None else zstandard.ZstdCompressor(level=1).compress(self.strings(own).tobytes())
+        docs = [planes(self.ids[own][first].astype("<i8")), self.fps[own][first].astype("<i8").tobytes(), planes(size.astype("<u4"))]
+        return [bucket, *docs, keys, planes(np.ascontiguousarray(self.numbers[own].astype("<u4"))), payload]
+
+    @staticmethod
+    def unpack(table: pa.Table, width: int) -> tuple[Entries, np.ndarray]:
+        """The entries of packed rows with `width` numbers each, and which are settled; settled ones have no string."""
+        counts = [from_planes(x, "<u4") for x in table["counts"].to_pylist()]
+        ids = np.concatenate([from_planes(x, "<i8") for x in table["ids"].to_pylist()])
+        fps = np.frombuffer(b"".join(table["fps"].to_pylist()), "<i8")
+        count = np.concatenate(counts)
+        packed = table["keys"].to_pylist()
+        settled = np.repeat([not x for x in packed], [int(c.sum()) for c in counts]).astype(bool)
+        wide = np.zeros((len(settled), 4), "<u2")
+        if not settled.all():
+            wide[~settled, 1:] = np.concatenate([from_planes(x, "<u2", 3).reshape(-1, 3) for x in packed if x])
+        numbers = np.concatenate([from_planes(x, "<u4", width) for x in table["numbers"].to_pylist()]).reshape(-1, width)
+        strings = [x for x in table["payload"].to_pylist() if x]
+        data = None
+        if strings or width > 1:
+            unpress = zstandard.ZstdDecompressor()
+            data = np.frombuffer(b"".join(unpress.decompress(x) for x in strings), np.uint8)
+            numbers = numbers.copy()
+            numbers[settled, -1] = 0
+        return Entries(np.repeat(ids, count), np.repeat(fps, count), wide.reshape(-1).view("<u8"), numbers, data), settled
+
+
+def record_batch(rows: list[list]) -> Iterator[pa.RecordBatch]:
+    if rows:
+        names = [x.split()[0] for x in PACKED.split(", ")]
+        yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows), PACKED_KINDS, strict=True)], names)
+
+
+def packed(entries: Entries, settled: np.ndarray, buckets: int, span: int) -> Iterator[pa.RecordBatch]:
+    """Rows of entries by bucket, of which `span` form one row's bucket; settled ones in one row of any bucket."""
+    to = ((entries.keys >> U64(32)) * U64(buckets) >> U64(32)).astype(np.int64) // span
+    left, rows = np.flatnonzero(~settled), []
+    by = left[np.argsort(to[left], kind="stable")]
+    at, count = run_lengths(to[by])
+    for a, n in zip(at.tolist(), count.tolist(), strict=True):
+        rows.append(entries.pack(by[a : a + n], int(to[by[a]])))
+        if len(rows) == 64:
+            yield from record_batch(rows)
+            rows = []
+    own = np.flatnonzero(settled)
+    if len(own):
+        rows.append(entries.pack(own, int(mix(entries.ids[own[:1]].view(U64))[0] % U64(-(-buckets // span))), True))
+    yield from record_batch(rows)
+
+
+def steps(buckets: int) -> list[int]:
+    """How many buckets make one bucket of each exchange, coarsest first; the last is 1."""
+    out = [1]
+    while out[0] * FAN < buckets:
+        out.insert(0, out[0] * FAN)
+    return out
+
+
+def by_bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """The rows of each bucket, of rows that come sorted by bucket."""
+    held, last = [], None
+    for batch in batches:
+        for a, n in zip(*(x.tolist() for x in run_lengths(batch["bucket"].to_numpy())), strict=True):
+            bucket = batch["bucket"][a].as_py()
+            if held and bucket != last:
+                yield pa.Table.from_batches(held)
+                held = []
+            held.append(batch.slice(a, n))
+            last = bucket
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def dealt(rows: DataFrame, width: int, buckets: int) -> DataFrame:
+    """Packed rows, brought to their buckets and sorted by them in each partition."""
+    spans = steps(buckets)
+
+    def again(span: int):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for table in by_bucket(batches):
+                a, n, size = 0, 0, 0
+                ends = np.cumsum([len(x) for x in table["ids"].to_pylist()])
+                while a < table.num_rows:  # rows with about FLUSH entries together
+                    b = max(a + 1, int(np.searchsorted(ends, (ends[a - 1] if a else 0) + FLUSH)))
+                    entries, settled = Entries.unpack(table.slice(a, b - a), width)
+                    yield from packed(entries, settled, buckets, span)
+                    a = b
+
+        return run
+
+    spark = rows.sparkSession
+    for span in spans[1:]:
+        salt = F.pmod(F.xxhash64("counts", "keys"), F.lit(max(1, partitions(spark) // FAN)))
+        rows = rows.repartition("bucket", salt).sortWithinPartitions("bucket").mapInArrow(again(span), PACKED)
+    return rows.repartition("bucket").sortWithinPartitions("bucket")
+
+
 def with_ids(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows whose doc_id is not null; a filter in the plan would part the exchanges of the joins."""
     for batch in batches:
@@ -103,28 +229,22 @@ def documents_of(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
 
 def mark_minimisers(symbols: Callable[[Texts], Sequence], width: int, k: int, buckets: int):
     """Task code of step 1, first half: minimisers by bucket, in order of documents."""
+    span = steps(buckets)[0]
 
     def flush(held: list) -> Iterator[pa.RecordBatch]:
         ids, fps, order, keys = (np.concatenate([x[j] for x in held]) for j in range(4))
         sort = np.argsort(keys, kind="stable")
         first, size = run_lengths(keys[sort])
         low, high = np.minimum.reduceat(ids[sort], first), np.maximum.reduceat(ids[sort], first)
-        many = np.repeat(low != high, size)
-        shared, send = np.zeros(len(keys), bool), np.ones(len(keys), bool)
-        shared[sort] = many
-        head = np.zeros(len(keys), bool)
+        shared, head = np.zeros(len(keys), bool), np.zeros(len(keys), bool)
+        shared[sort] = np.repeat(low != high, size)
         head[sort[first]] = True
-        send = ~shared | head  # of a minimiser that several documents here have, one goes on, marked
-        mark = np.where(shared, MANY, order.astype(np.uint32)).astype("<u4")
-        to = (keys % U64(buckets)).astype(np.int64)
-        by = np.flatnonzero(send)[np.argsort(to[send], kind="stable")]
-        at, count = run_lengths(to[by])
-        for a, n in zip(at.tolist(), count.tolist(), strict=True):
-            own = by[a : a + n]
-            yield pack_rows(described(ids, fps, own) | {"bucket": [int(to[own[0]])], "keys": [np.ascontiguousarray(keys[own].view(np.uint8).reshape(-1, 8)[:, 2:]).tobytes()], "ords": [planes(mark[own])]}, MARK_KINDS)
+        # of a minimiser that several documents here have, one goes on, marked; all of them are candidates already
+        own = np.flatnonzero(~shared | head)
+        mark = np.where(shared, MANY, order.astype(np.uint32))
+        yield from packed(Entries(ids[own], fps[own], keys[own], mark[own, None]), np.zeros(len(own), bool), buckets, span)
         own = np.flatnonzero(shared)
-        if len(own):  # these are candidates already: they pass through
-            yield pack_rows(described(ids, fps, own) | {"bucket": [int(ids[own[0]] % buckets)], "keys": [b""], "ords": [planes(order[own].astype("<u4"))]}, MARK_KINDS)
+        yield from packed(Entries(ids[own], fps[own], keys[own], order[own, None]), np.ones(len(own), bool), buckets, span)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, n = [], 0
@@ -135,7 +255,7 @@ def mark_minimisers(symbols: Callable[[Texts], Sequence], width: int, k: int, bu
             first, size = run_lengths(row)
             order = np.arange(len(row)) - np.repeat(first, size)
             ids, fps = documents_of(part)
-            held.append((ids[row], fps[row], order, keys))
+            held.append((ids[row], fps[row], order, keys & ~U64(0xFFFF)))
             n += len(row)
             if n >= FLUSH:
                 yield from flush(held)
@@ -146,90 +266,61 @@ def mark_minimisers(symbols: Callable[[Texts], Sequence], width: int, k: int, bu
     return run
 
 
-def planes(values: np.ndarray) -> bytes:
-    """Byte planes of integers, compressed: high planes of small numbers cost next to nothing."""
-    return zstandard.ZstdCompressor(level=1).compress(values.view(np.uint8).reshape(len(values), -1).T.tobytes())
-
-
-def from_planes(data: bytes, kind: str) -> np.ndarray:
-    raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8)
-    return np.ascontiguousarray(raw.reshape(np.dtype(kind).itemsize, -1).T).view(kind).reshape(-1)
-
-
-def described(ids: np.ndarray, fps: np.ndarray, own: np.ndarray) -> dict:
-    """The documents of some entries, as runs."""
-    first, size = run_lengths(mix(ids[own].view(U64)) ^ fps[own].view(U64))
-    return {"ids": [planes(ids[own][first].astype("<i8"))], "fps": [fps[own][first].astype("<i8").tobytes()], "counts": [planes(size.astype("<u4"))]}
-
-
-def unpacked(table: pa.Table, column: str, kind: str) -> np.ndarray:
-    return np.frombuffer(b"".join(table[column].to_pylist()), kind)
-
-
-def entries(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Document ids and fingerprints of all entries of packed rows, and whether an entry passes through."""
-    counts = [from_planes(x, "<u4") for x in table["counts"].to_pylist()]
-    ids = np.concatenate([from_planes(x, "<i8") for x in table["ids"].to_pylist()])
-    count = np.concatenate(counts)
-    through = np.repeat([not x for x in table["keys"].to_pylist()], [int(c.sum()) for c in counts]).astype(bool)
-    return np.repeat(ids, count), np.repeat(unpacked(table, "fps", "<i8"), count), through
-
-
-def by_document(ids: np.ndarray, fps: np.ndarray, found: np.ndarray) -> pa.Table:
+def by_document(ids: np.ndarray, fps: np.ndarray, found: np.ndarray) -> pa.RecordBatch:
     """One row per document with its entries of `found` as bytes."""
-    if not len(ids):
-        return OWN.empty_table()
     order = np.lexsort((fps, ids))
     ids, fps, found = ids[order], fps[order], np.ascontiguousarray(found[order])
     first = np.flatnonzero(np.append(True, (ids[1:] != ids[:-1]) | (fps[1:] != fps[:-1])))
     off = np.append(first, len(ids)) * found[0].nbytes
-    packed = pa.Array.from_buffers(pa.binary(), len(first), [None, pa.py_buffer(off.astype(np.int32)), pa.py_buffer(found.tobytes())])
-    return pa.table([pa.array(ids[first]), pa.array(fps[first]), packed], schema=OWN)
+    texts = pa.Array.from_buffers(pa.binary(), len(first), [None, pa.py_buffer(off.astype(np.int32)), pa.py_buffer(found.tobytes())])
+    return pa.RecordBatch.from_arrays([pa.array(ids[first]), pa.array(fps[first]), texts], schema=OWN)
+
+
+def gathered(work: Callable[[pa.Table], tuple[np.ndarray, np.ndarray, np.ndarray]]):
+    """Task code: hits of bucket after bucket, merged by document before they leave the task."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, n = [], 0
+        for table in by_bucket(batches):
+            held.append(work(table))
+            n += len(held[-1][0])
+            if n >= GATHER:
+                yield by_document(*(np.concatenate([x[j] for x in held]) for j in range(3)))
+                held, n = [], 0
+        if n:
+            yield by_document(*(np.concatenate([x[j] for x in held]) for j in range(3)))
+
+    return run
 
-def candidates(key: tuple, table: pa.Table) -> pa.Table:
+
+def candidates(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Step 1, second half: super-k-mers whose minimiser another document has, as ordinals in their documents."""
-    ids, fps, through = entries(table)
-    order = np.concatenate([from_planes(x, "<u4") for x in table["ords"].to_pylist()])
-    raw = unpacked(table, "keys", np.uint8).reshape(-1, 6)
-    wide = np.zeros((len(raw), 8), np.uint8)
-    wide[:, :6] = raw
-    keys, own = wide.reshape(-1).view("<u8"), np.flatnonzero(~through)
-    good = through.copy()
+    e, settled = Entries.unpack(table, 1)
+    order, good, own = e.numbers[:, 0], settled.copy(), np.flatnonzero(~settled)
     if len(own):
-        sort = np.argsort(keys, kind="stable")
-        first, size = run_lengths(keys[sort])
+        sort = np.argsort(e.keys[own], kind="stable")
+        first, size = run_lengths(e.keys[own][sort])
         mine = own[sort]
-        shared = (np.minimum.reduceat(ids[mine], first) != np.maximum.reduceat(ids[mine], first)) | (np.maximum.reduceat(order[mine], first) == MANY)
-        good[mine] = np.repeat(shared, size)
+        several = np.minimum.reduceat(e.ids[mine], first) != np.maximum.reduceat(e.ids[mine], first)
+        good[mine] = np.repeat(several | (np.maximum.reduceat(order[mine], first) == MANY), size)
     good &= order != MANY
-    return by_document(ids[good], fps[good], order[good])
+    return e.ids[good], e.fps[good], order[good]
 
 
 def send_super_kmers(symbols: Callable[[Texts], Sequence], width: int, k: int, buckets: int):
     """Task code of step 2: candidate super-k-mers as packed strings, by bucket."""
+    span = steps(buckets)[0]
 
     def flush(held: list) -> Iterator[pa.RecordBatch]:
-        ids, fps, keys, p0, p1, back, size = (np.concatenate([x[j] for x in held]) for j in range(7))
-        data = np.concatenate([x[7] for x in held])
-        start = np.cumsum(size) - size
-        code, _ = distinct(span_hashes(data, start, start + size) ^ mix(keys))
-        least = np.full(int(code.max()) + 1, np.iinfo(np.int64).max)
+        ids, fps, keys, numbers = (np.concatenate([x[j] for x in held]) for j in range(4))
+        e = Entries(ids, fps, keys, numbers, np.concatenate([x[4] for x in held]))
+        end = e.start + e.size
+        code, first = distinct(span_hashes(e.data, e.start, end) ^ mix(keys))
+        least = np.full(len(first), np.iinfo(np.int64).max)
         np.minimum.at(least, code, ids)
-        settled = ids > least[code]  # an earlier document of this task has the same string
-        to = (keys % U64(buckets)).astype(np.int64)
-        press = zstandard.ZstdCompressor(level=1)
-        left = np.flatnonzero(~settled)
-        by = left[np.argsort(to[left], kind="stable")]
-        at, count = run_lengths(to[by])
-        for a, n in zip(at.tolist(), count.tolist(), strict=True):
-            own = by[a : a + n]
-            place = np.stack([p0[own], p1[own], back[own]], 1).astype("<u4")
-            yield pack_rows(described(ids, fps, own) | {"bucket": [int(to[own[0]])], "keys": [keys[own].tobytes()], "place": [planes(place.reshape(-1))], "sizes": [size[own].astype("<u4").tobytes()], "payload": [press.compress(data[ragged(size[own], start[own])].tobytes())]}, KMER_KINDS)
-        own = np.flatnonzero(settled)
-        if len(own):
-            place = np.stack([p0[own], p1[own], back[own]], 1).astype("<u4")
-            yield pack_rows(described(ids, fps, own) | {"bucket": [int(ids[own[0]] % buckets)], "keys": [b""], "place": [planes(place.reshape(-1))], "sizes": [b""], "payload": [b""]}, KMER_KINDS)
+        # an earlier document of this task has the same string
+        settled = (ids > least[code]) & same_spans(e.data, e.start, end, first[code])
+        yield from packed(e, settled, buckets, span)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, n = [], 0
@@ -242,10 +333,11 @@ def send_super_kmers(symbols: Callable[[Texts], Sequence], width: int, k: int, b
             own = np.unique(np.concatenate([x.astype(np.int64) + first[i] for i, x in enumerate(lists)]))
             if not len(own):
                 continue
-            p0, p1, at, keys, row = p0[own], p1[own], at[own], keys[own], row[own]
+            p0, p1, keys, row = p0[own], p1[own], keys[own], row[own]
             begin, end = s.start[p0], s.end[p1 + width - 1]
             ids, fps = documents_of(part)
-            held.append((ids[row], fps[row], keys, p0 - s.off[row], p1 - s.off[row], at - p0, end - begin, s.data[ragged(end - begin, begin)]))
+            numbers = np.stack([p0 - s.off[row], p1 - s.off[row], end - begin], 1)
+            held.append((ids[row], fps[row], keys, numbers, s.data[ragged(end - begin, begin)]))
             n += len(own)
             if n >= FLUSH // 4:
                 yield from flush(held)
@@ -256,49 +348,41 @@ def send_super_kmers(symbols: Callable[[Texts], Sequence], width: int, k: int, b
     return run
 
 
-#: tells for windows (first place in the payload's sequence, minimiser's place behind it, key, document) which have an equal one in a smaller document
+#: tells for windows (first place in the payload's sequence, document) which have an equal one in a smaller document
 Resolver = Callable[[Sequence, np.ndarray, np.ndarray], np.ndarray]
 
 
-def resolve(symbols: Callable[[Texts], Sequence], resolver: Resolver, width: int):
+def resolve(symbols: Callable[[Texts], Sequence], resolver: Resolver):
     """Step 3: the windows of a bucket that also start in a smaller document, as runs of window starts."""
 
-    def compared(own: np.ndarray, data: np.ndarray, size: np.ndarray, ids: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        off = np.append(0, np.cumsum(size))
-        s = symbols(Texts(pa.Array.from_buffers(pa.large_binary(), len(own), [None, pa.py_buffer(off), pa.py_buffer(data)])))
-        n = place[own, 1] - place[own, 0] + 1  # windows of each super-k-mer
+    def compared(e: Entries, own: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        off = np.append(0, np.cumsum(e.size[own]))
+        s = symbols(Texts(pa.Array.from_buffers(pa.large_binary(), len(own), [None, pa.py_buffer(off), pa.py_buffer(e.strings(own))])))
+        place = e.numbers[own].astype(np.int64)
+        n = place[:, 1] - place[:, 0] + 1  # windows of each super-k-mer
         start = ragged(n, s.off[:-1])
         member = np.repeat(np.arange(len(own)), n)
-        hit = resolver(s, start, ids[own][member])
+        hit = resolver(s, start, e.ids[own][member])
         begin = hit & np.append(True, ~hit[:-1] | (member[1:] != member[:-1]))
         end = hit & np.append(~hit[1:] | (member[1:] != member[:-1]), True)
         a, b = np.flatnonzero(begin), np.flatnonzero(end)
-        shift = place[own[member[a]], 0] - s.off[:-1][member[a]]
+        shift = place[member[a], 0] - s.off[:-1][member[a]]
         return own[member[a]], np.stack([start[a] + shift, start[b] + shift + 1], 1)
 
-    def run(key: tuple, table: pa.Table) -> pa.Table:
-        ids, fps, through = entries(table)
-        place = np.concatenate([from_planes(x, "<u4") for x in table["place"].to_pylist()]).reshape(-1, 3).astype(np.int64)
-        out = [(ids[through], fps[through], place[through, :2] + [0, 1])]
-        own = np.flatnonzero(~through)
+    def run(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        e, settled = Entries.unpack(table, 3)
+        out = [(np.flatnonzero(settled), e.numbers[settled, :2].astype(np.int64) + [0, 1])]
+        own = np.flatnonzero(~settled)
         if len(own):
-            unpress = zstandard.ZstdDecompressor()
-            data = np.frombuffer(b"".join(unpress.decompress(x) for x in table["payload"].to_pylist() if x), np.uint8)
-            size = unpacked(table, "sizes", "<u4").astype(np.int64)
-            begin, keys = np.cumsum(size) - size, unpacked(table, "keys", "<u8")
-            windows = place[own, 1] - place[own, 0] + 1
             # equal windows have one minimiser: turns end between keys
-            by = np.argsort(keys, kind="stable")
-            first, _ = run_lengths(keys[by])
-            upto = np.cumsum(windows[by])
-            starts = (upto[first] - windows[by][first]) // TURN
+            by = own[np.argsort(e.keys[own], kind="stable")]
+            first, _ = run_lengths(e.keys[by])
+            windows = e.numbers[by, 1].astype(np.int64) - e.numbers[by, 0] + 1
+            starts = (np.cumsum(windows)[first] - windows[first]) // TURN
             cuts = [*first[np.append(True, starts[1:] != starts[:-1])].tolist(), len(by)]
-            for a, b in zip(cuts, cuts[1:]):
-                some = by[a:b]
-                who, runs = compared(own[some], data[ragged(size[some], begin[some])], size[some], ids, place)
-                out.append((ids[who], fps[who], runs))
-        ids, fps, found = (np.concatenate([x[j] for x in out]) for j in range(3))
-        return by_document(ids, fps, found.astype("<u4"))
+            out += [compared(e, by[a:b]) for a, b in zip(cuts, cuts[1:])]
+        who, runs = (np.concatenate([x[j] for x in out]) for j in range(2))
+        return e.ids[who], e.fps[who], runs.astype("<u4")
 
     return run
 
@@ -315,17 +399,20 @@ def covered(found: list, width: int, n: int) -> np.ndarray:
 def repeated(docs: DataFrame, symbols: Callable[[Texts], Sequence], resolver: Resolver, width: int, k: int, carry: tuple[str, ...] = ()) -> DataFrame:
     """doc_id, text, carried columns, `found` (packed runs of hit windows, null: none) and `copy` (all windows are hit) of every row."""
     spark = docs.sparkSession
-    base = keyed(docs, carry)
+    # every reader of the texts has the same columns, so all read one exchange
+    texts = keyed(docs, carry)
+    columns = ["doc_id", "id0", "fp", "text", *carry]
     total = docs.agg(F.sum(F.octet_length(F.col("text").cast("string")))).first()[0] or 0
     buckets = max(partitions(spark), math.ceil(total / BUCKET_BYTES))
     # whole copies, by digest
     marks = keyed(docs).filter("doc_id is not null and text is not null").select("id0", "fp", F.unhex(F.sha2(F.col("text").cast("binary"), 256)).alias("digest"))
-    firsts = marks.groupBy("digest").agg(F.min("id0").alias("first"), F.max("id0").alias("last")).filter("first < last")
-    copies = marks.join(firsts, "digest").filter("id0 > first").select("id0", "fp").distinct().withColumn("copy", F.lit(True))
-    once = base.join(copies.hint("shuffle_hash"), ["id0", "fp"], "left_anti")
-    shared = once.select("doc_id", "id0", "fp", "text").mapInArrow(mark_minimisers(symbols, width, k, buckets), MARKS).groupBy("bucket").applyInArrow(candidates, "id0 long, fp long, found binary")
-    own = shared.groupBy("id0", "fp").agg(F.collect_list("found").alias("found"))
-    strings = base.join(own.hint("shuffle_hash"), ["id0", "fp"]).select("doc_id", "id0", "fp", "text", "found").mapInArrow(send_super_kmers(symbols, width, k, 2 * buckets), KMERS)
-    hits = strings.groupBy("bucket").applyInArrow(resolve(symbols, resolver, width), "id0 long, fp long, found binary").groupBy("id0", "fp").agg(F.collect_list("found").alias("found"))
+    firsts = written(marks.groupBy("digest").agg(F.min("id0").alias("first"), F.max("id0").alias("last")).filter("first < last").select("digest", "first"), "copies")
+    copies = written(marks.join(firsts, "digest").filter("id0 > first").select("id0", "fp").distinct().withColumn("copy", F.lit(True)), "copies")
+    once = texts.join(copies.hint("shuffle_hash"), ["id0", "fp"], "left_anti").select(*columns)
+    minimisers = dealt(once.mapInArrow(mark_minimisers(symbols, width, k, buckets), PACKED), 1, buckets)
+    own = minimisers.mapInArrow(gathered(candidates), "id0 long, fp long, found binary").groupBy("id0", "fp").agg(F.collect_list("found").alias("found"))
+    found = texts.join(own.hint("shuffle_hash"), ["id0", "fp"]).select(*columns, "found")
+    strings = dealt(found.mapInArrow(send_super_kmers(symbols, width, k, 2 * buckets), PACKED), 3, 2 * buckets)
+    hits = strings.mapInArrow(gathered(resolve(symbols, resolver)), "id0 long, fp long, found binary").groupBy("id0", "fp").agg(F.collect_list("found").alias("found"))
     ends = hits.join(copies, ["id0", "fp"], "full")
-    return base.join(ends.hint("shuffle_hash"), ["id0", "fp"], "left").select("doc_id", "text", *carry, F.when(F.col("doc_id").isNotNull(), F.col("found")).alias("found"), F.coalesce("copy", F.lit(False)).alias("copy"))
+    return texts.join(ends.hint("shuffle_hash"), ["id0", "fp"], "left").select("doc_id", "text", *carry, F.when(F.col("doc_id").isNotNull(), F.col("found")).alias("found"), F.coalesce("copy", F.lit(False)).alias("copy"))

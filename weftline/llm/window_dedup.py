@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .blocks import Texts, Words, distinct, slices
+from .blocks import Texts, Words, distinct, exact_codes, slices
 from .repeats import Sequence, covered, repeated
 
 WIDTH, KMER = 50, 10
@@ -26,9 +26,9 @@ def word_symbols(texts: Texts) -> Sequence:
     return Sequence(words.hash, words.off, texts.data, words.start, words.end)
 
 
-def window_ranks(values: np.ndarray, start: np.ndarray, width: int) -> np.ndarray:
-    """A number for each window from `start`, equal for equal windows."""
-    rank, size = distinct(values)[0].astype(np.int64), 1
+def window_ranks(codes: np.ndarray, start: np.ndarray, width: int) -> np.ndarray:
+    """A number for each window from `start`, equal for equal windows only."""
+    rank, size = codes.astype(np.int64), 1
     while size * 2 <= width:
         n = len(rank) - size
         rank = distinct(rank[:n] * (int(rank.max()) + 1) + rank[size : size + n])[0].astype(np.int64)
@@ -41,7 +41,7 @@ def window_ranks(values: np.ndarray, start: np.ndarray, width: int) -> np.ndarra
 
 def count_resolver(width: int):
     def run(s: Sequence, start: np.ndarray, docs: np.ndarray) -> np.ndarray:
-        rank = window_ranks(s.values, start, width)
+        rank = window_ranks(exact_codes(s.data, s.start, s.end, s.values), start, width)
         order = np.lexsort((docs, rank))
         first = np.flatnonzero(np.append(True, rank[order][1:] != rank[order][:-1]))
         count = np.diff(np.append(first, len(order)))
