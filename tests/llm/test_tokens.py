@@ -1,17 +1,25 @@
+import functools
 import random
 from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
 import pytest
+from tokenizers import Tokenizer
 
 from weftline.llm import packing, token_files
 from weftline.llm.blocks import Texts
-from weftline.llm.tokens import Encoder
+from weftline.llm.tokens import Encoder, tokenizer_path
 
 from .conftest import ODD
 
-PARTS = ["a", "B", " ", "  ", "\n", "\t", "'s", "'", "don't", ".", "<|endoftext|>", "é", "É", " ", "中", "1", "23", "ß", "İ", "\x1c", "$$$", "-", "word", "\r\n", "̀", "Ω", "😀"]
+PARTS = ["a", "B", " ", "  ", "\n", "\t", "'s", "'", "don't", ".", "<|endoftext|>", "<|EndOfText|>", "<|startoftext|>", "é", "É", " ", "中", "1", "23", "ß", "İ", "\x1c", "$$$", "-", "word", "\r\n", "̀", "Ω", "😀"]
+
+
+@functools.cache
+def untouched(name):
+    """The library's own tokenizer of the file, with nothing set on it."""
+    return Tokenizer.from_file(tokenizer_path(name))
 
 
 @pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
@@ -22,13 +30,14 @@ def test_cut_texts_have_the_ids_of_whole_texts(name):
     assert enc.cuttable
     ids, counts = enc.encode(Texts(pa.array(texts)))
     off = np.append(0, np.cumsum(counts))
-    want = [e.ids for e in enc.tokenizer.encode_batch([t or "" for t in texts], add_special_tokens=False)]
+    want = [e.ids for e in untouched(name).encode_batch([t or "" for t in texts], add_special_tokens=False)]
+    special = untouched(name).token_to_id("<|endoftext|>")
+    assert any(special in x for x in want)
     assert [ids[a:b].tolist() for a, b in zip(off, off[1:])] == want
 
 
 def expected(rows, name, end_id):
-    enc = Encoder(name)
-    return [(i, enc.tokenizer.encode(t or "", add_special_tokens=False).ids + [end_id]) for i, t in rows]
+    return [(i, untouched(name).encode(t or "", add_special_tokens=False).ids + [end_id]) for i, t in rows]
 
 
 def test_token_files_round_trip(spark, odd):

@@ -3,8 +3,8 @@
 A text is cut where the tokenizer's own pre-splitting pattern always cuts and
 where the ids on the right do not depend on the left; every distinct piece is
 encoded once and its ids are gathered.  The ids are those of encoding the whole
-text; `tests/llm/test_tokens.py` compares both.  Strings of special tokens in a
-text are ordinary text.
+text; `tests/llm/test_tokens.py` compares both.  Texts that contain the string
+of one of the tokenizer's added tokens are encoded whole.
 """
 
 from __future__ import annotations
@@ -57,7 +57,6 @@ class Encoder:
 
         path = tokenizer_path(name)
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         kinds = json.dumps([spec.get("normalizer"), spec.get("pre_tokenizer")])
@@ -68,6 +67,7 @@ class Encoder:
         self.cuttable = byte_mode or word_mode
         self.drops_space = bool(word_mode)
         self.characters = str.maketrans({chr(b): c for b, c in _byte_characters().items()})
+        self.added = [t["content"].encode() for t in spec.get("added_tokens", [])]
         self.wide = self.tokenizer.get_vocab_size() > 1 << 16
         self.clear()
 
@@ -88,12 +88,37 @@ class Encoder:
             piece = piece.lstrip(" ")
         return [t.id for t in self.tokenizer.model.tokenize(piece.encode().decode("latin-1").translate(self.characters))]
 
+    def with_added(self, texts: Texts) -> np.ndarray:
+        """Rows that contain the string of an added token, in any case of A-Z."""
+        raw, rows = LOWER[texts.data].tobytes(), set()
+        for token in {t.lower() for t in self.added if t}:
+            at = raw.find(token)
+            while at >= 0:
+                rows.add(int(np.searchsorted(texts.off, at, "right")) - 1)
+                at = raw.find(token, at + 1)
+        return np.array(sorted(rows), np.int64)
+
+    def whole(self, texts: list[bytes]) -> list[np.ndarray]:
+        said = self.tokenizer.encode_batch_fast([t.decode("utf-8", "replace") for t in texts], add_special_tokens=False)
+        return [np.array(e.ids, np.uint32) for e in said]
+
     def encode(self, texts: Texts) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts, one after another, and the number of ids of each text."""
-        rows = len(texts)
         if not self.cuttable:
-            out = [e.ids for e in self.tokenizer.encode_batch_fast([t.decode("utf-8", "replace") for t in texts.array.to_pylist()], add_special_tokens=False)]
-            return np.array([i for ids in out for i in ids], np.uint32), np.array([len(ids) for ids in out], np.int64)
+            out = self.whole(texts.array.to_pylist())
+            return np.concatenate(out or [np.zeros(0, np.uint32)]), np.array([len(ids) for ids in out], np.int64)
+        ids, counts = self.pieces(texts)
+        odd = self.with_added(texts)
+        if not len(odd):
+            return ids, counts
+        rows = np.split(ids, np.cumsum(counts)[:-1])
+        for i, own in zip(odd.tolist(), self.whole([texts.array[i].as_py() for i in odd.tolist()]), strict=True):
+            rows[i] = own
+        return np.concatenate(rows), np.array([len(x) for x in rows], np.int64)
+
+    def pieces(self, texts: Texts) -> tuple[np.ndarray, np.ndarray]:
+        """Ids as `encode` gives them, for texts without the string of an added token."""
+        rows = len(texts)
         data, n = texts.data, len(texts.data)
         if not n:
             return np.zeros(0, np.uint32), np.zeros(rows, np.int64)
