@@ -10,9 +10,11 @@ from pyspark.sql import functions as F
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """`spark.checkpoint.dir` of the session; a temporary folder only where that is unset (tests, local mode)."""
+    """`spark.checkpoint.dir` of the session; a temporary folder only where that is unset in local mode, as in tests."""
     own = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not own:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         own = tempfile.mkdtemp(prefix="weftline-")
         spark.conf.set("spark.checkpoint.dir", own)
     return own.rstrip("/")
