@@ -172,23 +172,20 @@ def distinct(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return code, first
 
 
+def _runs(values: np.ndarray, size: int) -> np.ndarray:
+    if size == 1:
+        return values
+    left = _runs(values, (size + 1) // 2)
+    right = left if size % 2 == 0 else _runs(values, size // 2)
+    m = len(values) - size + 1
+    out = left[:m] * U64(0x9E3779B97F4A7C15 + 2 * size)
+    out += right[(size + 1) // 2 :][:m]
+    return out
+
+
 def roll(values: np.ndarray, k: int) -> np.ndarray:
     """Hashes of all runs of k consecutive 64-bit values, each made from runs of half the length."""
-    n = len(values) - k + 1
-    if n <= 0:
-        return np.zeros(0, U64)
-
-    def runs(size: int) -> np.ndarray:
-        if size == 1:
-            return values
-        left = runs((size + 1) // 2)
-        right = left if size % 2 == 0 else runs(size // 2)
-        m = len(values) - size + 1
-        out = left[:m] * U64(0x9E3779B97F4A7C15 + 2 * size)
-        out += right[(size + 1) // 2 :][:m]
-        return out
-
-    return mix(runs(k))
+    return mix(_runs(values, k)) if len(values) >= k else np.zeros(0, U64)
 
 
 def inside_rows(off: np.ndarray, width: int) -> np.ndarray:
