@@ -38,7 +38,7 @@ from .tables import keyed, partitions, written
 
 #: bytes of text per bucket; entries that a task packs together; rows at most that it packs them into
 BUCKET_BYTES, FLUSH, FAN = 8 << 20, 400_000, 1024
-#: windows that a resolver is given at once; hits that a task gathers before it passes them on
+#: windows that a resolver is given at once; documents' hits that a task gathers before it passes them on
 TURN, GATHER = 400_000, 1_000_000
 MANY = np.uint32(2**32 - 1)
 
@@ -86,10 +86,12 @@ def run_lengths(doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def planes(values: np.ndarray) -> bytes:
     """Byte planes of integers or rows of them, compressed: high planes of small numbers cost next to nothing."""
-    return zstandard.ZstdCompressor(level=1).compress(values.view(np.uint8).reshape(len(values), -1).T.tobytes())
+    return zstandard.ZstdCompressor(level=1).compress(values.view(np.uint8).reshape(len(values), -1).T.tobytes()) if len(values) else b""
 
 
 def from_planes(data: bytes, kind: str, width: int = 1) -> np.ndarray:
+    if not data:
+        return np.zeros(0, kind)
     raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8)
     return np.ascontiguousarray(raw.reshape(np.dtype(kind).itemsize * width, -1).T).view(kind).reshape(-1)
 
@@ -194,7 +196,7 @@ def by_bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
 
 
 def dealt(rows: DataFrame, width: int, buckets: int) -> DataFrame:
-    """Packed rows, brought to their buckets and sorted by them in each partition."""
+    """Packed rows whose bucket is the last one; those of coarser buckets are brought together and packed anew."""
     spans = steps(buckets)
 
     def again(span: int):
@@ -214,7 +216,7 @@ def dealt(rows: DataFrame, width: int, buckets: int) -> DataFrame:
     for span in spans[1:]:
         salt = F.pmod(F.xxhash64("counts", "keys"), F.lit(max(1, partitions(spark) // FAN)))
         rows = rows.repartition("bucket", salt).sortWithinPartitions("bucket").mapInArrow(again(span), PACKED)
-    return rows.repartition("bucket").sortWithinPartitions("bucket")
+    return rows
 
 
 def with_ids(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -266,31 +268,55 @@ def mark_minimisers(symbols: Callable[[Texts], Sequence], width: int, k: int, bu
     return run
 
 
-def by_document(ids: np.ndarray, fps: np.ndarray, found: np.ndarray) -> pa.RecordBatch:
-    """One row per document with its entries of `found` as bytes."""
-    order = np.lexsort((fps, ids))
-    ids, fps, found = ids[order], fps[order], np.ascontiguousarray(found[order])
-    first = np.flatnonzero(np.append(True, (ids[1:] != ids[:-1]) | (fps[1:] != fps[:-1])))
-    off = np.append(first, len(ids)) * found[0].nbytes
-    texts = pa.Array.from_buffers(pa.binary(), len(first), [None, pa.py_buffer(off.astype(np.int32)), pa.py_buffer(found.tobytes())])
-    return pa.RecordBatch.from_arrays([pa.array(ids[first]), pa.array(fps[first]), texts], schema=OWN)
+HITS = "ids binary, fps binary, sizes binary, found binary"
 
 
-def gathered(work: Callable[[pa.Table], tuple[np.ndarray, np.ndarray, np.ndarray]]):
-    """Task code: hits of bucket after bucket, merged by document before they leave the task."""
+def hits_of(work: Callable[[pa.Table], tuple[np.ndarray, np.ndarray, np.ndarray]]):
+    """Task code: the hits of one bucket as one row, its documents in order, each with the bytes of its entries."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, n = [], 0
-        for table in by_bucket(batches):
-            held.append(work(table))
-            n += len(held[-1][0])
+    def run(key: tuple, table: pa.Table) -> pa.Table:
+        ids, fps, found = work(table)
+        order = np.lexsort((fps, ids))
+        ids, fps, found = ids[order], fps[order], np.ascontiguousarray(found[order])
+        first = np.flatnonzero(np.append(True, (ids[1:] != ids[:-1]) | (fps[1:] != fps[:-1]))) if len(ids) else np.zeros(0, np.int64)
+        size = np.diff(np.append(first, len(ids))) * (found[:1].nbytes if len(ids) else 0)
+        row = [planes(ids[first].astype("<i8")), fps[first].astype("<i8").tobytes(), planes(size.astype("<u4")), zstandard.ZstdCompressor(level=1).compress(found.tobytes())]
+        return pa.table([pa.array([x], pa.binary()) for x in row], names=[x.split()[0] for x in HITS.split(", ")])
+
+    return run
+
+
+def merged_hits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Hits of the buckets of a task, merged by document before they leave it."""
+
+    def merge(held: list) -> pa.RecordBatch:
+        ids, fps, size, data = (np.concatenate([x[j] for x in held]) for j in range(4))
+        start = np.cumsum(size) - size
+        order = np.lexsort((fps, ids))
+        ids, fps = ids[order], fps[order]
+        first = np.flatnonzero(np.append(True, (ids[1:] != ids[:-1]) | (fps[1:] != fps[:-1])))
+        off = np.append(0, np.cumsum(np.add.reduceat(size[order], first)))
+        found = data[ragged(size[order], start[order])]
+        texts = pa.Array.from_buffers(pa.binary(), len(first), [None, pa.py_buffer(off.astype(np.int32)), pa.py_buffer(found)])
+        return pa.RecordBatch.from_arrays([pa.array(ids[first]), pa.array(fps[first]), texts], schema=OWN)
+
+    held, n, unpress = [], 0, zstandard.ZstdDecompressor()
+    for batch in batches:
+        for ids, fps, size, found in zip(*(batch[c].to_pylist() for c in ("ids", "fps", "sizes", "found")), strict=True):
+            ids = from_planes(ids, "<i8")
+            if len(ids):
+                held.append((ids, np.frombuffer(fps, "<i8"), from_planes(size, "<u4").astype(np.int64), np.frombuffer(unpress.decompress(found), np.uint8)))
+                n += len(ids)
             if n >= GATHER:
-                yield by_document(*(np.concatenate([x[j] for x in held]) for j in range(3)))
+                yield merge(held)
                 held, n = [], 0
-        if n:
-            yield by_document(*(np.concatenate([x[j] for x in held]) for j in range(3)))
+    if n:
+        yield merge(held)
 
-    return run
+
+def found_in(rows: DataFrame, work: Callable[[pa.Table], tuple[np.ndarray, np.ndarray, np.ndarray]]) -> DataFrame:
+    """Hits of all buckets, one row per document and task, then gathered by document."""
+    return rows.groupBy("bucket").applyInArrow(hits_of(work), HITS).mapInArrow(merged_hits, "id0 long, fp long, found binary").groupBy("id0", "fp").agg(F.collect_list("found").alias("found"))
 
 
 def candidates(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -410,9 +436,9 @@ def repeated(docs: DataFrame, symbols: Callable[[Texts], Sequence], resolver: Re
     copies = written(marks.join(firsts, "digest").filter("id0 > first").select("id0", "fp").distinct().withColumn("copy", F.lit(True)), "copies")
     once = texts.join(copies.hint("shuffle_hash"), ["id0", "fp"], "left_anti").select(*columns)
     minimisers = dealt(once.mapInArrow(mark_minimisers(symbols, width, k, buckets), PACKED), 1, buckets)
-    own = minimisers.mapInArrow(gathered(candidates), "id0 long, fp long, found binary").groupBy("id0", "fp").agg(F.collect_list("found").alias("found"))
+    own = found_in(minimisers, candidates)
     found = texts.join(own.hint("shuffle_hash"), ["id0", "fp"]).select(*columns, "found")
     strings = dealt(found.mapInArrow(send_super_kmers(symbols, width, k, 2 * buckets), PACKED), 3, 2 * buckets)
-    hits = strings.mapInArrow(gathered(resolve(symbols, resolver)), "id0 long, fp long, found binary").groupBy("id0", "fp").agg(F.collect_list("found").alias("found"))
+    hits = found_in(strings, resolve(symbols, resolver))
     ends = hits.join(copies, ["id0", "fp"], "full")
     return texts.join(ends.hint("shuffle_hash"), ["id0", "fp"], "left").select("doc_id", "text", *carry, F.when(F.col("doc_id").isNotNull(), F.col("found")).alias("found"), F.coalesce("copy", F.lit(False)).alias("copy"))
