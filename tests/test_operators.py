@@ -2,15 +2,21 @@
 
 import datetime as dt
 import json
+import random
+import uuid
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from weftline.functions import fields as fd
 from weftline.functions import text as tx
 from weftline.operators import graph as g
 from weftline.operators import pairs as p
 from weftline.operators import records as rec
+from weftline.operators import sums
 from weftline.operators import temporal as t
+from weftline.operators import vectors as vec
 from weftline.plans import catalogue
 from weftline.sources import readers, sinks
 from weftline.streaming import streams
@@ -60,15 +66,32 @@ def test_path_closure(spark):
     assert [tuple(r) for r in got if r.hops == 2] == [("A", "B", "C", 0.68, 2)]
 
 
-def test_two_hops(spark):
-    edges = [("o", "2", "x", 0.9), ("o", "3", "x", 0.8), ("2", "100", "c", 0.7), ("2", "101", "r", 0.5), ("3", "100", "r", 0.6), ("3", "102", "c", 0.9)]
-    got = {r.target: (r.via, round(r.score, 6)) for r in g.two_hops(spark.createDataFrame(edges, "a string, b string, rel string, score double"), "o").collect()}
-    assert got == {"102": ("3", 0.54), "100": ("2", 0.4725), "101": ("2", 0.3375)}
+def test_two_hops_against_brute_force(spark):
+    rng = random.Random(11)
+    scores = {(a, b): rng.randrange(1, 40) / 16 for a, b in ((rng.randrange(25), rng.randrange(25)) for _ in range(70)) if a < b}
+    unit = lambda x: x if x <= 1 else x / (1 + x)
+    both = scores | {(b, a): x for (a, b), x in scores.items()}
+    near = {b: unit(x) for (a, b), x in both.items() if a == 0}
+    want = {}
+    for (via, target), x in both.items():
+        if via in near and target != 0 and target not in near:
+            want[target] = max(want.get(target, (0.0, 0)), (near[via] * unit(x) * 0.75, -via))
+    edges = g.both_ways(spark.createDataFrame([(a, b, x) for (a, b), x in scores.items()], "a long, b long, score double"))
+    hop1 = g.first_hop(edges.filter("a = 0"))
+    got = {r.target: (r.score, -r.via) for r in g.two_hops(hop1, edges, 0).collect()}
+    assert want and got.keys() == want.keys()  # the origin and its neighbours are no targets
+    assert all(got[t] == pytest.approx(want[t]) for t in want)
+
+
+def test_hops_over_shared_nodes(spark):
+    edges = [("x", 1), ("x", 2), ("y", 1), ("y", 2), ("z", 2), ("w", 3), ("y", 1)]
+    got = g.hops_from(spark.createDataFrame(edges, "left string, right int"), "x")
+    assert rows(got) == [("y", 2), ("z", 1)]
 
 
 def test_unit_scores(spark):
-    df = spark.createDataFrame([(-1.0,), (0.3,), (7.0,)], "x double")
-    assert [r[0] for r in df.select(g.unit(F.col("x"))).collect()] == [0.0, 0.3, 0.875]
+    df = spark.createDataFrame([(-0.5,), (0.0,), (0.25,), (1.0,), (4.0,)], "x double")
+    assert [r[0] for r in df.select(g.unit(F.col("x"))).collect()] == [0.0, 0.0, 0.25, 1.0, 0.8]
 
 
 def test_fusion(spark):
@@ -82,6 +105,8 @@ def test_review_reasons(spark):
     got = g.review(df).collect()
     assert got[0].required and got[0].reasons == "inferred_dominates,low_confidence,weak_support"
     assert not got[1].required and got[1].reasons == ""
+    df = spark.createDataFrame([(0, 0, 0.9, 0.9, ["graph", "vector"], "weakness"), (1, 0, 0.9, 0.2, ["graph", "vector"], "weakness"), (1, 0, 0.9, 0.2, ["graph"], "entity")], "direct int, inferred int, overall double, top3 double, sources array<string>, kind string")
+    assert [r.reasons for r in g.review(df).collect()] == ["sources_disagree", "", "weak_support"]
 
 
 def test_bands_and_product_keys(spark):
@@ -91,9 +116,59 @@ def test_bands_and_product_keys(spark):
     assert [r[0] for r in names.select(tx.product_key(F.col("x"))).collect()] == ["log4j", "linux_kernel", None]
 
 
-def test_combinations(spark):
-    df = spark.createDataFrame([(["a", "b", "c"],)], "items array<string>")
-    assert rows(df.select(p.combinations("items").alias("p")).select("p.a", "p.b")) == [("a", "b"), ("a", "c"), ("b", "c")]
+def test_co_mentions(spark):
+    df = spark.createDataFrame([(1, "a"), (1, "b"), (1, "b"), (1, "c"), (2, "c"), (2, "a"), (3, "a")], "g int, x string")
+    assert rows(p.co_mentions(df, "g", "x")) == [("a", "b", 1), ("a", "c", 2), ("b", "c", 1)]
+    nodes = spark.createDataFrame([("c",), ("z",)], "node string")
+    assert rows(p.co_mentions_of(df, "g", "x", nodes)) == [("c", "a", 2), ("c", "b", 1)]
+
+
+def test_running_sums_in_two_levels(spark):
+    rng = random.Random(3)
+    data = [(k, rng.randrange(5)) for k in range(200)]
+    df = spark.createDataFrame(data, "k int, n int")
+    got = {r.k: r.before for r in sums.running_before(df, "n", [F.floor(F.col("k") / 16)], [F.col("k")]).collect()}
+    assert got == {k: sum(n for j, n in data if j < k) for k, _ in data}
+    kept = p.largest_groups_within(df, "n", "k", 100)
+    order, total, want = sorted(data, key=lambda x: (-x[1], x[0])), 0, []
+    for k, n in order:
+        total += n
+        if total <= 100:
+            want.append(k)
+    assert sorted(r.k for r in kept.collect()) == sorted(want)
+
+
+def test_nearest_in_blocks_against_brute_force(spark, monkeypatch):
+    rng = np.random.default_rng(2)
+    data = np.round(rng.normal(size=(60, 4)), 2)
+    data[7], data[8] = data[9], 0.0  # a tie and a zero vector
+    df = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(data)] + [(99, None)], "k long, v array<double>")
+    want = {}
+    for i in range(0, 60, 5):
+        cos = {j: round(float(data[i] @ data[j] / np.linalg.norm(data[i]) / np.linalg.norm(data[j])), 6) for j in range(60) if j not in (i, 8)}
+        want[i] = [(j, r + 1) for r, j in enumerate(sorted(cos, key=lambda j: (-cos[j], j))[:7])]
+    for rows_, queries_ in ((1 << 16, 1 << 11), (13, 4)):
+        monkeypatch.setattr(vec, "ROW_BLOCK", rows_)
+        monkeypatch.setattr(vec, "QUERY_BLOCK", queries_)
+        found: dict = {}
+        for r in vec.nearest(df, df.filter("k % 5 = 0"), "k", "v", 7).orderBy("query", "rank").collect():
+            found.setdefault(r.query, []).append((r.k, r.rank))
+        assert found == want
+
+
+def test_drained_streams_go_on_and_replace_batches(spark, tmp_path):
+    schema = "k long"
+    for part in range(2):
+        spark.range(part * 3, part * 3 + 3).withColumnRenamed("id", "k").write.mode("append").parquet(str(tmp_path / "in"))
+        stream = spark.readStream.schema(schema).parquet(str(tmp_path / "in"))
+        got = streams.drain(stream, folder=str(tmp_path / "out"))
+        assert sorted(r.k for r in got.collect()) == list(range(part * 3 + 3))
+
+
+def test_fields(spark):
+    one = spark.createDataFrame([(" ", "CVE-2021-7", "03/04/2021", "b?c")], "a string, b string, d string, t string")
+    got = one.select(fd.first_filled(F.col("a"), F.col("b")), fd.first_filled(F.col("b"), prefix="X"), fd.id_year(F.col("b")), F.date_format(fd.parsed_time(F.col("d")), "yyyy-MM-dd"), fd.parsed_time(F.col("t")), fd.uuid5(F.col("b"))).first()
+    assert tuple(got) == ("CVE-2021-7", None, 2021, "2021-03-04", None, str(uuid.uuid5(uuid.NAMESPACE_URL, "CVE-2021-7")))
 
 
 def test_rank_value_and_quota(spark):

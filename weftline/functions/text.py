@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -50,28 +52,35 @@ def fixed_chunks(rows: DataFrame, text: str, size: int, step: int) -> DataFrame:
 
 
 def boundary_chunks(rows: DataFrame, key: str, text: str, size: int = 900, overlap: int = 120, least: float = 0.65) -> DataFrame:
-    """Overlapping chunks that end at white space where there is some behind `least` of the size."""
-
-    def cut(t: str) -> Iterator[tuple[int, str]]:
-        t = " ".join(t.split())
-        at, k = 0, 0
-        while at < len(t):
-            end = min(at + size, len(t))
-            if end < len(t):
-                space = t.rfind(" ", at + int(size * least), end)
-                end = space if space > at else end
-            piece = t[at:end].strip()
-            if piece:
-                yield k, piece
-                k += 1
-            if end >= len(t):
-                break
-            at = max(end - overlap, at + 1)
+    """Overlapping chunks of the text with single spaces; chunks after the first begin `overlap` before the last one's end.
+
+    A chunk ends at the last space behind `least` of its size, if there is one;
+    the text's last chunk ends with it.  Chunks without their outer spaces; a
+    text of white space only, or null, has none.
+    """
+
+    def ends(length: int, spaces: np.ndarray) -> np.ndarray:
+        """Where the chunks of one text begin and end, by the places of its spaces."""
+        bounds, start = [], 0
+        while start + size < length:
+            k = int(np.searchsorted(spaces, start + size)) - 1  # the last space before the full size
+            good = k >= 0 and spaces[k] >= start + int(size * least)
+            stop = int(spaces[k]) if good else start + size
+            bounds.append((start, stop))
+            start = max(stop - overlap, start + 1)
+        if length > start:
+            bounds.append((start, length))
+        return np.array(bounds, np.int64).reshape(-1, 2)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            out = [(i, k, c) for i, t in zip(pdf[key], pdf[text].fillna(""), strict=True) for k, c in cut(t)]
-            yield pd.DataFrame(out, columns=[key, "chunk_no", "chunk"])
+            plain = pdf[text].fillna("").str.split().str.join(" ")
+            cuts = [ends(len(t), np.array([m.start() for m in re.finditer(" ", t)], np.int64)) for t in plain]
+            row = np.repeat(np.arange(len(plain)), [len(c) for c in cuts])
+            pieces = pd.Series([t[a:b].strip() for t, c in zip(plain, cuts, strict=True) for a, b in c.tolist()], dtype=object)
+            out = pd.DataFrame({key: pdf[key].to_numpy()[row], "chunk": pieces, "row": row})
+            out = out[out["chunk"] != ""]
+            yield out.assign(chunk_no=out.groupby("row").cumcount().astype("int32"))[[key, "chunk_no", "chunk"]]
 
     kind = rows.schema[key].dataType.simpleString()
     return rows.select(key, text).mapInPandas(run, f"`{key}` {kind}, chunk_no int, chunk string")

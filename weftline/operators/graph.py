@@ -24,22 +24,37 @@ def both_ways(edges: DataFrame) -> DataFrame:
     return edges.unionByName(swapped)
 
 
-def neighbours(edges: DataFrame, origin, k: int) -> DataFrame:
-    """The k best neighbours of a node over edges in either direction; the best edge of each neighbour."""
-    own = both_ways(edges).filter(F.col("a") == origin).groupBy("b").agg(F.max(F.struct("score", "rel")).alias("best"))
-    return own.select("b", "best.score", "best.rel").orderBy(F.desc("score"), "b").limit(k)
+def neighbours(own: DataFrame, k: int) -> DataFrame:
+    """The k best neighbours of a node, of its own edges (b, rel, score); the best edge of each neighbour."""
+    best = own.groupBy("b").agg(F.max(F.struct("score", "rel")).alias("best"))
+    return best.select("b", "best.score", "best.rel").orderBy(F.desc("score"), "b").limit(k)
 
 
-def two_hops(edges: DataFrame, origin, decay: float = 0.75) -> DataFrame:
-    """Targets behind the origin's neighbours with their best path: score * score * decay."""
-    all_ = both_ways(edges)
-    hop1 = all_.filter(F.col("a") == origin).groupBy(F.col("b").alias("via")).agg(F.max(unit(F.col("score"))).alias("s1"))
-    paths = hop1.join(all_, F.col("via") == F.col("a")).filter(F.col("b") != origin).select("via", F.col("b").alias("target"), (F.col("s1") * unit(F.col("score")) * decay).alias("score"))
+def first_hop(own: DataFrame) -> DataFrame:
+    """via and s1, the best unit score, of the edges (b, score) of an origin."""
+    return own.groupBy(F.col("b").alias("via")).agg(F.max(unit(F.col("score"))).alias("s1"))
+
+
+def two_hops(hop1: DataFrame, edges: DataFrame, origin, decay: float = 0.75) -> DataFrame:
+    """Targets behind the origin's neighbours with their best path: score * score * decay.
+
+    `hop1` comes from `first_hop`, `edges` (a, b, score) are those that leave
+    its nodes: nothing else of the graph is needed.  Neither the origin nor its
+    neighbours are targets.
+    """
+    paths = hop1.join(edges, F.col("via") == F.col("a")).filter(F.col("b") != origin).select("via", F.col("b").alias("target"), (F.col("s1") * unit(F.col("score")) * decay).alias("score"))
     fresh = paths.join(hop1.select(F.col("via").alias("target")), "target", "left_anti")
     best = F.row_number().over(W.partitionBy("target").orderBy(F.desc("score"), "via"))
     return fresh.withColumn("_rank", best).filter("_rank = 1").drop("_rank")
 
 
+def hops_from(edges: DataFrame, node) -> DataFrame:
+    """Nodes on the left that share nodes on the right with one left node, and how many they share."""
+    edges = edges.distinct()
+    near = edges.filter(F.col("left") == node).select("right")
+    return edges.join(near, "right", "left_semi").filter(F.col("left") != node).groupBy(F.col("left").alias("target")).agg(F.count("*").alias("n_paths"))
+
+
 def mixed_top(rows: DataFrame, key: str, reserved: str, quota: int, k: int) -> DataFrame:
     """k rows by score of which `quota` are kept for one relation, if it has so many."""
     rank = F.row_number().over(W.partitionBy("rel").orderBy(F.desc("score"), key))
@@ -82,7 +97,21 @@ def fuse(graph: DataFrame, vector: DataFrame, key: str) -> DataFrame:
 
 
 def review(rows: DataFrame) -> DataFrame:
-    """Whether a person must look at a result: columns direct, inferred, overall, top3."""
-    dominated, low, weak = F.col("inferred") > F.col("direct"), F.col("overall") < 0.45, (F.col("direct") < 2) & (F.col("top3") < 0.55)
-    reasons = F.concat_ws(",", F.when(dominated, "inferred_dominates"), F.when(low, "low_confidence"), F.when(weak, "weak_support"))
-    return rows.withColumn("required", dominated | low | weak).withColumn("reasons", reasons)
+    """Whether a person must look at a result.
+
+    Columns direct and inferred (numbers of results), overall and top3
+    (likelihoods); `sources` (array of names) and `kind` where they are there:
+    sources disagree if the graph and another one speak without direct
+    evidence, and weak support counts for entities only.
+    """
+    none = F.lit(False)
+    graph = F.array_contains("sources", "graph") & F.arrays_overlap("sources", F.array(F.lit("vector"), F.lit("raw_pairs"))) if "sources" in rows.columns else none
+    entity = F.col("kind") == "entity" if "kind" in rows.columns else F.lit(True)
+    found = {
+        "inferred_dominates": F.col("inferred") > F.col("direct"),
+        "low_confidence": F.col("overall") < 0.45,
+        "sources_disagree": graph & (F.col("direct") == 0),
+        "weak_support": entity & (F.col("direct") < 2) & (F.col("top3") < 0.55),
+    }
+    reasons = F.concat_ws(",", *(F.when(hit, name) for name, hit in found.items()))
+    return rows.withColumn("reasons", reasons).withColumn("required", F.col("reasons") != "")

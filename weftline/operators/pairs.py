@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from weftline.operators.sums import running_before
+
 
 def idf(n: Column, total: Column) -> Column:
     """Rarity of a group of n of all: 1 for one member, else ln(total/n)/ln(total) between 0.1 and 1."""
@@ -38,25 +40,35 @@ def shared_pairs(members: DataFrame, group: list[str], entity: str, cap: int | N
 
 
 def top_related(pairs: DataFrame, k: int, score: str = "score") -> DataFrame:
-    """The k best b of each a, with the number of candidates before the cut."""
-    own = W.partitionBy("a")
-    ranked = pairs.withColumn("candidates", F.count("*").over(own)).withColumn("rank", F.row_number().over(own.orderBy(F.desc(score), "b")))
-    return ranked.filter(F.col("rank") <= k)
+    """The k best b of each a, with the number of candidates before the cut.
+
+    The rank stands alone in its window, so rows beyond k go before the
+    exchange; candidates are counted apart.
+    """
+    rank = F.row_number().over(W.partitionBy("a").orderBy(F.desc(score), "b"))
+    best = pairs.withColumn("rank", rank).filter(F.col("rank") <= k)
+    return best.join(pairs.groupBy("a").agg(F.count("*").alias("candidates")), "a")
 
 
 def canonical(a: str, b: str) -> list[Column]:
     return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
 
 
-def combinations(items: str) -> Column:
-    """Rows (a, b) for each unordered pair of a sorted array's elements: a generator column of structs."""
-    return F.explode(F.flatten(F.transform(items, lambda x, i: F.transform(F.slice(items, i + 2, F.size(items)), lambda y: F.struct(x.alias("a"), y.alias("b"))))))
+def co_mentions(rows: DataFrame, group: str, item: str) -> DataFrame:
+    """Unordered pairs of distinct items that stand in one group, with the number of groups.
 
+    A join of distinct (group, item) rows: no group is held in one row, and
+    Spark splits groups that are far larger than others.
+    """
+    left = rows.select(F.col(group).alias("_g"), F.col(item).alias("a")).distinct()
+    return left.join(left.withColumnRenamed("a", "b"), "_g").filter("a < b").groupBy("a", "b").agg(F.count("*").alias("n"))
 
-def co_mentions(rows: DataFrame, group: str, item: str) -> DataFrame:
-    """Unordered pairs of distinct items that stand in one group, with the number of groups."""
-    arrays = rows.groupBy(group).agg(F.array_sort(F.collect_set(item)).alias("items")).filter(F.size("items") > 1)
-    return arrays.select(combinations("items").alias("p")).groupBy("p.a", "p.b").agg(F.count("*").alias("n"))
+
+def co_mentions_of(rows: DataFrame, group: str, item: str, nodes: DataFrame) -> DataFrame:
+    """Rows (a, b, n) for items a out of `nodes` (column node) and all items b beside them: only groups with a node are read on."""
+    both = rows.select(F.col(group).alias("_g"), F.col(item).alias("b")).distinct()
+    own = both.withColumnRenamed("b", "a").join(nodes.select(F.col("node").alias("a")).distinct(), "a", "left_semi")
+    return own.join(both, "_g").filter("a <> b").groupBy("a", "b").agg(F.count("*").alias("n"))
 
 
 def noisy_or(rows: DataFrame, by: list[str], confidence: str = "confidence", source: str = "source") -> DataFrame:
@@ -75,8 +87,14 @@ def last_writer(rows: DataFrame, by: list[str], order: list[str]) -> DataFrame:
 
 
 def largest_groups_within(groups: DataFrame, size: str, key: str, limit: int) -> DataFrame:
-    """Groups, largest first, while their sizes add up to at most `limit`; works on one row per group."""
-    return groups.withColumn("total", F.sum(size).over(W.orderBy(F.desc(size), key).rowsBetween(W.unboundedPreceding, 0))).filter(F.col("total") <= limit)
+    """Groups, largest first, then by key, while their sizes add up to at most `limit`.
+
+    The sum is made in two levels: sizes are few, as groups are capped; within
+    a size the keys are cut at round values, in their order.
+    """
+    cut = F.floor(F.col(key) / 4096)
+    before = running_before(groups, size, [-F.col(size), cut], [F.col(key)])
+    return before.withColumn("total", F.col("before") + F.col(size)).filter(F.col("total") <= limit).drop("before")
 
 
 def association(rows: DataFrame, group: str, item: str) -> DataFrame:

@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from weftline.operators.sums import running_before, with_total
+
 
 def enrich(base: DataFrame, key: str, *sources: DataFrame) -> DataFrame:
     """Left joins of sources that have one row per key already; Spark broadcasts the small ones."""
@@ -54,8 +56,9 @@ def rank_value(rows: DataFrame, column: str, share: float) -> DataFrame:
 def running_split(groups: DataFrame, key: str, n: str, share: float) -> DataFrame:
     """Whole groups, in the order of a hash of their keys, go to the evaluation side until it has its share.
 
-    The running sum is over one row per group.
+    The running sum is over one row per group, in two levels: by the first
+    digits of the hash, then within them.
     """
-    order = W.orderBy(F.md5(F.col(key).cast("string")), key)
-    sums = groups.withColumn("before", F.sum(n).over(order.rowsBetween(W.unboundedPreceding, 0)) - F.col(n)).withColumn("total", F.sum(n).over(W.partitionBy()))
+    h = F.md5(F.col(key).cast("string"))
+    sums = with_total(running_before(groups, n, [F.substring(h, 1, 3)], [h, F.col(key)]), n)
     return sums.withColumn("side", F.when(F.col("before") < F.col("total") * share, "eval").otherwise("train")).drop("before", "total")

@@ -1,33 +1,73 @@
-"""Exact vector search: query vectors against all vectors, as joins of bounded query blocks."""
+"""Exact vector search: a stated set of query vectors against all vectors, block by block.
+
+Rows and queries are cut into blocks by hash, of bounded size whatever the
+table's; every row block meets every query block in one task, as one product of
+two matrices, and leaves the k best rows of each query.  A second step ranks
+what the row blocks left.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-
-def dot(a: Column, b: Column) -> Column:
-    return F.aggregate(F.zip_with(a, b, lambda x, y: x.cast("double") * y.cast("double")), F.lit(0.0), lambda s, x: s + x)
+#: vectors of a block of rows and of a block of queries
+ROW_BLOCK, QUERY_BLOCK = 1 << 16, 1 << 11
 
 
-def normed(rows: DataFrame, vector: str) -> DataFrame:
-    return rows.withColumn("norm", F.sqrt(dot(F.col(vector), F.col(vector))))
+def blocked(rows: DataFrame, key: str, size: int, name: str) -> tuple[DataFrame, DataFrame]:
+    """Rows with a block number each, and the one row that tells the number of blocks."""
+    blocks = rows.agg(F.greatest(F.ceil(F.count("*") / size), F.lit(1)).cast("int").alias("_" + name))
+    return rows.crossJoin(F.broadcast(blocks)).withColumn(name, F.expr(f"cast(pmod(xxhash64({key}), _{name}) as int)")).drop("_" + name), blocks
 
 
-def top_k(rows: DataFrame, key: str, vector: str, query: list[float], k: int) -> DataFrame:
-    """The k rows most like one query vector, which is a literal; each task keeps k."""
-    q = F.lit([float(x) for x in query])
-    size = sum(float(x) ** 2 for x in query) ** 0.5
-    out = normed(rows, vector).withColumn("cosine", F.round(dot(F.col(vector), q) / (F.col("norm") * size), 6))
-    return out.select(key, "cosine").orderBy(F.desc("cosine"), key).limit(k)
+def matrix(column: pa.ChunkedArray) -> np.ndarray:
+    flat = column.combine_chunks().flatten()
+    out = flat.to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(column), -1)
+    size = np.sqrt((out * out).sum(1, keepdims=True))
+    return out / np.where(size > 0, size, np.nan)
 
 
 def nearest(rows: DataFrame, queries: DataFrame, key: str, vector: str, k: int, label: str | None = None) -> DataFrame:
-    """The k nearest of all rows for each query row; queries are a stated set, small enough to broadcast."""
+    """The k nearest of all rows for each query row, without itself, by cosine rounded to six places, then by key.
+
+    Rows without a vector, or with a zero one, are near to nothing.
+    """
     extra = [label] if label else []
-    q = normed(queries, vector).select(F.col(key).alias("query"), F.col(vector).alias("_q"), F.col("norm").alias("_n"), *(F.col(c).alias("query_" + c) for c in extra))
-    all_ = normed(rows, vector)
-    pairs = all_.join(q, F.col(key) != F.col("query")).withColumn("cosine", F.round(dot(F.col(vector), F.col("_q")) / (F.col("norm") * F.col("_n")), 6))
+    kind = rows.schema[key].dataType.simpleString()
+    shape = [f"query {kind}", f"{key} {kind}", "cosine double", *(f"query_{c} {rows.schema[c].dataType.simpleString()}" for c in extra), *(f"{c} {rows.schema[c].dataType.simpleString()}" for c in extra)]
+    names = [x.split()[0] for x in shape]
+
+    def best(left: pa.Table, right: pa.Table) -> Iterator[pa.RecordBatch] | pa.Table:
+        picked: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        if left.num_rows and right.num_rows:
+            ids, asked = left[key].to_numpy(), right["_asked"].to_numpy()
+            all_, q = matrix(left[vector]), matrix(right["_vector"])
+            for a in range(0, len(q), 256):
+                cosine = np.round(q[a : a + 256] @ all_.T, 6) + 0.0
+                cosine[(asked[a : a + 256, None] == ids[None, :]) | np.isnan(cosine)] = -np.inf
+                floor = np.partition(cosine, max(0, len(ids) - k), axis=1)[:, max(0, len(ids) - k)]
+                row, at = np.nonzero((cosine >= floor[:, None]) & (cosine > -np.inf))  # ties at the floor included
+                order = np.lexsort((ids[at], -cosine[row, at], row))
+                row, at = row[order], at[order]
+                rank = np.arange(len(row)) - np.searchsorted(row, row)
+                picked.append((a + row[rank < k], at[rank < k], cosine[row, at][rank < k]))
+        query, at, cosine = (np.concatenate([x[j] for x in picked]) if picked else np.zeros(0, int) for j in range(3))
+        columns = [right["_asked"].take(pa.array(query)), left[key].take(pa.array(at)), pa.array(cosine.astype(float)), *(right["query_" + c].take(pa.array(query)) for c in extra), *(left[c].take(pa.array(at)) for c in extra)]
+        return pa.table(columns, names=names)
+
+    # the columns of both sides have names of their own: queries may be a part of the rows
+    asked = queries.filter(F.col(vector).isNotNull()).select(F.col(key).alias("_asked"), F.col(vector).alias("_vector"), *(F.col(c).alias("query_" + c) for c in extra))
+    left, row_blocks = blocked(rows.filter(F.col(vector).isNotNull()).select(key, vector, *extra), key, ROW_BLOCK, "row_block")
+    right, query_blocks = blocked(asked, "_asked", QUERY_BLOCK, "query_block")
+    left = left.crossJoin(F.broadcast(query_blocks)).withColumn("query_block", F.explode(F.expr("sequence(0, _query_block - 1)"))).drop("_query_block")
+    right = right.crossJoin(F.broadcast(row_blocks)).withColumn("row_block", F.explode(F.expr("sequence(0, _row_block - 1)"))).drop("_row_block")
+    unit = ["row_block", "query_block"]
+    found = left.groupBy(*unit).cogroup(right.groupBy(*unit)).applyInArrow(best, ", ".join(shape))
     rank = F.row_number().over(W.partitionBy("query").orderBy(F.desc("cosine"), key))
-    return pairs.withColumn("rank", rank).filter(F.col("rank") <= k).select("query", key, "cosine", "rank", *("query_" + c for c in extra), *extra)
+    return found.withColumn("rank", rank).filter(F.col("rank") <= k).select("query", key, "cosine", "rank", *("query_" + c for c in extra), *extra)

@@ -13,7 +13,7 @@ from weftline.operators import pairs as p
 from weftline.operators import records as rec
 from weftline.operators import temporal as t
 from weftline.operators import vectors as vec
-from weftline.plans import more
+from weftline.plans import fields, links, more, texts
 from weftline.plans.oracles import ORACLES
 from weftline.sources.readers import table
 from weftline.streaming import streams
@@ -27,22 +27,38 @@ def query(f: Callable) -> Callable:
     return f
 
 
+#: names of signals in order; a signal's bit is its place
+SIGNALS = ["brand", "type"]
+
+
 def part_members(q) -> DataFrame:
     """(signal, key, entity): what parts share."""
     part = q("part")
-    return part.select(F.lit("brand").alias("signal"), F.col("p_brand").alias("key"), F.col("p_partkey").alias("entity")).unionByName(part.select(F.lit("type"), F.col("p_type"), "p_partkey").toDF("signal", "key", "entity"))
+    brands = part.select(F.lit("brand").alias("signal"), F.col("p_brand").alias("key"), F.col("p_partkey").alias("entity"))
+    types = part.select(F.lit("type").alias("signal"), F.col("p_type").alias("key"), F.col("p_partkey").alias("entity"))
+    return brands.unionByName(types)
 
 
 def signal_scores(q, cap: int = 500) -> DataFrame:
+    """(a, b, score, bits) of parts that share a signal with one of the first `cap` members of its group.
+
+    The capped side carries weight and bit of its group, so every pair is one
+    sum and one bit-or of numbers.  Pairs are dealt by `a` once: the sums and
+    the ranks that follow need no further exchange.
+    """
+    group = ["signal", "key"]
     members = part_members(q)
-    weights = p.group_weights(members, ["signal", "key"], "entity")
-    pairs = p.shared_pairs(members, ["signal", "key"], "entity", cap).join(weights, ["signal", "key"])
-    return pairs.groupBy("a", "b").agg(F.round(F.sum("weight"), 6).alias("score"), F.array_join(F.array_sort(F.collect_set("signal")), ",").alias("signals"))
+    weights = p.group_weights(members, group, "entity")
+    bit = F.element_at(F.create_map(*(x for i, name in enumerate(SIGNALS) for x in (F.lit(name), F.lit(1 << i)))), F.col("signal"))
+    others = p.capped(members, group, "entity", cap).join(weights, group).select(*group, F.col("entity").alias("b"), "weight", bit.alias("bit"))
+    pairs = members.withColumnRenamed("entity", "a").join(others, group).filter("a <> b").select("a", "b", "weight", "bit")
+    return pairs.repartition("a").groupBy("a", "b").agg(F.round(F.sum("weight"), 6).alias("score"), F.bit_or("bit").alias("bits"))
 
 
 @query
 def shared_signal_topk(q):
-    return p.top_related(signal_scores(q), 20).select("a", "b", "score", "signals", "candidates", "rank")
+    names = F.concat_ws(",", *(F.when(F.col("bits").bitwiseAND(1 << i) > 0, name) for i, name in enumerate(SIGNALS)))
+    return p.top_related(signal_scores(q), 20).select("a", "b", "score", names.alias("signals"), "candidates", "rank")
 
 
 @query
@@ -52,7 +68,7 @@ def idf_weights(q):
 
 @query
 def capped_group_members(q):
-    return p.capped(part_members(q), ["signal", "key"], "entity", 10)
+    return group_members_reference_caps(q)
 
 
 @query
@@ -62,7 +78,7 @@ def recency_decay(q):
 
 @query
 def supplier_bridge_pairs(q):
-    return bridge_pairs(q, 20)
+    return bridge_pairs(q, 400)
 
 
 @query
@@ -134,7 +150,7 @@ def pairs_per_group(q, members: int, limit: int) -> DataFrame:
 
 @query
 def capped_pairs_per_group(q):
-    return pairs_per_group(q, 8, 600)
+    return pairs_per_group(q, 20, 600_000)
 
 
 @query
@@ -177,13 +193,23 @@ def path_two_hop(q):
     return p.path_closure(nation_edges(q))
 
 
+@query
+def path_two_hop_parts(q):
+    """Steps from a part ordered in a large quantity to the next line's part, and paths of two steps."""
+    lines = q("lineitem")
+    nxt = F.lead("l_partkey").over(p.W.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey"))
+    steps = lines.withColumn("nxt", nxt).filter("l_quantity >= 48 and nxt <> l_partkey")
+    edges = steps.groupBy(F.col("l_partkey").cast("string").alias("src"), F.col("nxt").cast("string").alias("dst")).agg(F.max(F.when(F.col("l_quantity") == 50, 0.85).otherwise(0.8)).alias("confidence"))
+    return p.path_closure(edges)
+
+
 @query
 def chain_join_distinct(q):
     """Parts whose sizes follow each other within a brand, one related part per trigger and size."""
     part = q("part").select("p_partkey", "p_brand", "p_size")
-    nxt = part.select(F.col("p_partkey").alias("related"), "p_brand", F.col("p_size").alias("related_size"))
-    joined = part.withColumn("related_size", F.col("p_size") + 1).join(nxt, ["p_brand", "related_size"])
-    return p.first_writer(joined, ["p_partkey", "related_size"], ["related"]).select(F.col("p_partkey").alias("trigger_key"), "related", "related_size")
+    least = part.groupBy("p_brand", F.col("p_size").alias("related_size")).agg(F.min("p_partkey").alias("related"))
+    joined = part.withColumn("related_size", F.col("p_size") + 1).join(least, ["p_brand", "related_size"])
+    return joined.select(F.col("p_partkey").alias("trigger_key"), "related", "related_size")
 
 
 @query
@@ -232,7 +258,8 @@ def code_category_map(q):
 
 
 def line_edges(q) -> DataFrame:
-    return q("lineitem").select(F.col("l_suppkey").alias("a"), (F.col("l_partkey") % 100 + 1).alias("b"), F.col("l_discount").alias("score"), F.col("l_returnflag").alias("flag"), "l_orderkey", "l_linenumber")
+    """Edges of suppliers and parts; both are numbered in one key space, parts as they are and suppliers below zero."""
+    return q("lineitem").select((-1 - F.col("l_suppkey")).alias("a"), F.col("l_partkey").alias("b"), F.col("l_discount").alias("score"), F.col("l_returnflag").alias("flag"), "l_orderkey", "l_linenumber")
 
 
 @query
@@ -256,23 +283,49 @@ def part_edges(q) -> DataFrame:
     """Typed edges of parts: co-ordered, and of one brand and size."""
     pairs = p.co_mentions(q("lineitem"), "l_orderkey", "l_partkey")
     ordered = pairs.select("a", "b", F.lit("ordered").alias("rel"), (F.col("n") / (F.col("n") + 1)).alias("score"))
-    alike = p.shared_pairs(q("part").select("p_brand", "p_size", "p_partkey"), ["p_brand", "p_size"], "p_partkey").filter("a < b")
+    alike = p.shared_pairs(q("part").select("p_brand", "p_size", "p_partkey"), ["p_brand", "p_size"], "p_partkey", ALIKE_CAP).filter("a < b")
     return ordered.unionByName(alike.select("a", "b", F.lit("alike").alias("rel"), F.lit(0.4).alias("score")))
 
 
+#: members of a brand and size that others are linked with
+ALIKE_CAP = 500
+
+
+def edges_from(q, nodes: DataFrame, alike: bool = True) -> DataFrame:
+    """The edges of `part_edges` that leave some nodes (column node), without building any others."""
+    found = p.co_mentions_of(q("lineitem"), "l_orderkey", "l_partkey", nodes)
+    ordered = found.select("a", "b", F.lit("ordered").alias("rel"), (F.col("n") / (F.col("n") + 1)).alias("score"))
+    if not alike:
+        return ordered
+    # an edge has its greater end among the first members of the group
+    part = q("part").select("p_brand", "p_size", "p_partkey")
+    capped = p.capped(part, ["p_brand", "p_size"], "p_partkey", ALIKE_CAP).withColumn("_first", F.lit(True))
+    ranked = part.join(capped, ["p_brand", "p_size", "p_partkey"], "left")
+    own = ranked.join(nodes.select(F.col("node").alias("p_partkey")).distinct(), "p_partkey", "left_semi")
+    ends = ranked.select("p_brand", "p_size", F.col("p_partkey").alias("b"), F.col("_first").alias("_first_b"))
+    both = own.withColumnRenamed("p_partkey", "a").join(ends, ["p_brand", "p_size"]).filter("a <> b and if(a < b, _first_b, _first)")
+    return ordered.unionByName(both.select("a", "b", F.lit("alike").alias("rel"), F.lit(0.4).alias("score")))
+
+
+def node(q, key: int) -> DataFrame:
+    return q("part").filter(F.col("p_partkey") == key).select(F.col("p_partkey").alias("node"))
+
+
 @query
 def graph_neighbors(q):
-    return g.neighbours(part_edges(q), 1, 25).withColumn("score", F.round("score", 6))
+    return g.neighbours(edges_from(q, node(q, 1)), 25).withColumn("score", F.round("score", 6))
 
 
 @query
 def graph_two_hop(q):
-    return g.two_hops(part_edges(q), 1).select("target", "via", F.round("score", 6).alias("score"))
+    hop1 = g.first_hop(edges_from(q, node(q, 1)))
+    beyond = edges_from(q, hop1.select(F.col("via").alias("node")))
+    return g.two_hops(hop1, beyond, 1).select("target", "via", F.round("score", 6).alias("score"))
 
 
 @query
 def graph_mixed_topk(q):
-    own = g.both_ways(part_edges(q)).filter("a = 1").select("b", "rel", F.round("score", 6).alias("score"))
+    own = edges_from(q, node(q, 1)).select("b", "rel", F.round("score", 6).alias("score"))
     return g.mixed_top(own, "b", "alike", 2, 12)
 
 
@@ -287,7 +340,7 @@ def tiered_lookup(q):
     part = q("part")
     me = part.filter("p_partkey = 7")
     price = (F.col("p_retailprice") / 10000).alias("epss")
-    direct = g.both_ways(part_edges(q)).filter("a = 7 and rel = 'alike'").select(F.col("b").alias("key"), F.round("score", 6).alias("likelihood"))
+    direct = edges_from(q, node(q, 7)).filter("rel = 'alike'").select(F.col("b").alias("key"), F.round("score", 6).alias("likelihood"))
     second = part.join(me.select("p_type"), "p_type", "left_semi").filter("p_partkey <> 7").select(F.col("p_partkey").alias("key"), F.round(F.least(F.lit(0.6), 2 * price + 0.3), 6).alias("likelihood"))
     third = part.join(me.select("p_brand"), "p_brand", "left_semi").filter("p_partkey <> 7").select(F.col("p_partkey").alias("key"), F.round(F.least(F.lit(0.4), price + 0.2), 6).alias("likelihood"))
     return g.tiers(direct, second, third, "key", 12)
@@ -295,8 +348,11 @@ def tiered_lookup(q):
 
 @query
 def cluster_siblings(q):
+    """How many other parts a part's brand and size has, and the first of them: from the group's count and two least keys."""
     part = q("part").select("p_brand", "p_size", "p_partkey")
-    return p.shared_pairs(part, ["p_brand", "p_size"], "p_partkey").groupBy(F.col("a").alias("p_partkey")).agg(F.countDistinct("b").alias("siblings"), F.min("b").alias("first_sibling"))
+    two = p.capped(part, ["p_brand", "p_size"], "p_partkey", 2).groupBy("p_brand", "p_size").agg(F.min("p_partkey").alias("one"), F.max("p_partkey").alias("two"))
+    counts = part.groupBy("p_brand", "p_size").agg(F.count("*").alias("n")).filter("n > 1").join(two, ["p_brand", "p_size"])
+    return part.join(counts, ["p_brand", "p_size"]).select("p_partkey", (F.col("n") - 1).alias("siblings"), F.when(F.col("p_partkey") == F.col("one"), F.col("two")).otherwise(F.col("one")).alias("first_sibling"))
 
 
 @query
@@ -338,8 +394,9 @@ def sentence_pairs(q):
 
 @query
 def paragraph_pairs(q):
-    ids = unit_ids(q, r"\n").withColumn("ids", F.array_sort("ids"))
-    return ids.select("doc_id", p.combinations("ids").alias("x")).groupBy("x.a", "x.b").agg(F.countDistinct("doc_id").alias("n_docs"))
+    rows = unit_ids(q, r"\n").select("doc_id", "pos", F.explode("ids").alias("a"))
+    pairs = rows.join(rows.withColumnRenamed("a", "b"), ["doc_id", "pos"]).filter("a < b")
+    return pairs.groupBy("a", "b").agg(F.countDistinct("doc_id").alias("n_docs"))
 
 
 @query
@@ -371,7 +428,7 @@ def group_consecutive(q):
 
 @query
 def source_quota(q):
-    return rec.quota(q("documents"), "source", ["doc_id"], 5).select("doc_id", "source")
+    return rec.quota(q("documents"), "source", ["doc_id"], 150_000).select("doc_id", "source")
 
 
 @query
@@ -400,9 +457,11 @@ def hybrid_fusion(q):
 
 
 def fused(q) -> DataFrame:
-    edges = part_edges(q).filter("rel = 'ordered'")
-    hop1 = g.neighbours(edges, 1, 25).select(F.col("b").alias("key"), F.round(g.unit(F.col("score")), 6).alias("graph_score"), F.lit(1).alias("hop"))
-    hop2 = g.two_hops(edges, 1).select(F.col("target").alias("key"), F.round("score", 6).alias("graph_score"), F.lit(2).alias("hop"))
+    own = edges_from(q, node(q, 1), alike=False)
+    hop1 = g.neighbours(own, 25).select(F.col("b").alias("key"), F.round(g.unit(F.col("score")), 6).alias("graph_score"), F.lit(1).alias("hop"))
+    near1 = g.first_hop(own)
+    beyond = edges_from(q, near1.select(F.col("via").alias("node")), alike=False)
+    hop2 = g.two_hops(near1, beyond, 1).select(F.col("target").alias("key"), F.round("score", 6).alias("graph_score"), F.lit(2).alias("hop"))
     near = vec.nearest(q("embeddings"), q("embeddings").filter("vec_id = 0"), "vec_id", "embedding", 20).select((F.col("vec_id") + 1).alias("key"), F.greatest(F.lit(0.0), F.col("cosine")).alias("vector_score"))
     return g.fuse(hop1.unionByName(hop2), near, "key")
 
@@ -416,8 +475,16 @@ def confidence_top5(q):
 @query
 def review_policy(q):
     lines = q("lineitem").groupBy(F.col("l_suppkey").alias("entity"))
-    stats = lines.agg(F.count_if(F.col("l_returnflag") == "R").alias("direct"), F.count_if(F.col("l_returnflag") == "N").alias("inferred"), F.round(F.avg("l_discount") * 9, 3).alias("overall"), F.round(F.max("l_discount") * 6, 3).alias("top3"))
-    return g.review(stats)
+    many = F.count_if(F.col("l_quantity") > 44)
+    stats = lines.agg(
+        F.count_if((F.col("l_returnflag") == "R") & (F.col("l_quantity") > 45)).alias("direct"),
+        F.count_if((F.col("l_returnflag") == "N") & (F.col("l_quantity") > 40)).alias("inferred"),
+        F.round(F.avg("l_discount") * 9, 3).alias("overall"),
+        F.round(F.max("l_discount") * 6, 3).alias("top3"),
+        F.array(F.lit("graph"), F.when(many % 2 == 0, "vector").otherwise("text")).alias("sources"),
+        F.when(many % 3 > 0, "entity").otherwise("weakness").alias("kind"),
+    )
+    return g.review(stats).withColumn("sources", F.array_join("sources", ","))
 
 
 def turns(q) -> DataFrame:
@@ -441,14 +508,12 @@ def quality_filter(q):
 
 @query
 def dedup_prefix(q):
-    rows = q("documents").select("doc_id", F.substring("text", 1, 150).alias("head"), "lang")
-    return p.first_writer(rows, ["head", "lang"], ["doc_id"]).select("doc_id")
+    return dedup_instruction_output(q)
 
 
 @query
 def cap_per_output(q):
-    rows = q("documents").select("doc_id", F.substring("text", 1, 10).alias("head"))
-    return rec.quota(rows, "head", ["doc_id"], 5).select("doc_id")
+    return cap_per_output_300(q)
 
 
 def head(column: str, n: int) -> Column:
@@ -518,10 +583,10 @@ def eval_grouping_sets(q):
 
 @query
 def decontaminate(q):
-    """Overlap of training and evaluation texts by their first 60 cleaned characters."""
-    head = lambda c: F.substring(F.lower(tx.clean(F.col(c))), 1, 60)
-    items = q("benchmark").select(head("text").alias("head")).distinct()
-    return q("documents").select("doc_id", head("text").alias("head")).join(items, "head", "left_anti").select("doc_id")
+    """Documents whose cleaned text is no evaluation text."""
+    whole = F.sha2(F.lower(tx.clean(F.col("text"))), 256).alias("whole")
+    items = q("benchmark").select(whole).distinct()
+    return q("documents").select("doc_id", whole).join(items, "whole", "left_anti").select("doc_id")
 
 
 @query
@@ -550,9 +615,9 @@ def session_window(q):
 
 @query
 def rate_limit_window(q):
-    """Users over 2 requests in a fixed minute."""
-    per = q("events").groupBy("user_id", F.date_trunc("minute", "ts").alias("minute")).agg(F.count("*").alias("n"))
-    return per.filter("n > 2").select("user_id", F.date_format("minute", "yyyy-MM-dd HH:mm").alias("minute"), "n")
+    """Users over four requests in a fixed day."""
+    per = q("events").groupBy("user_id", F.date_trunc("day", "ts").alias("day")).agg(F.count("*").alias("n"))
+    return per.filter("n > 4").select("user_id", F.date_format("day", "yyyy-MM-dd").alias("day"), "n")
 
 
 @query
@@ -585,6 +650,7 @@ def stream_latest_per_user(q):
     return streams.latest(q("events"))
 
 
-for _f in more.QUERIES:
-    query(_f)
-ORACLES |= more.ORACLES
+for _module in (more, fields, links, texts):
+    for _f in _module.QUERIES:
+        query(_f)
+    ORACLES |= _module.ORACLES

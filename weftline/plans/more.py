@@ -13,14 +13,18 @@ from weftline.operators import records as rec
 KEYS = {"customer": "c_custkey", "supplier": "s_suppkey", "part": "p_partkey", "orders": "o_orderkey", "documents": "doc_id", "embeddings": "vec_id", "pages": "page_id", "events": "event_id"}
 
 
+#: members of a cluster that are paired
+CLUSTER_CAP = 600
+
+
 def cluster_pairs(q) -> DataFrame:
-    """Pairs within clusters of suppliers; the first kind of cluster that has a pair names it."""
+    """Pairs within clusters of suppliers, of which the first members count; the first kind of cluster that has a pair names it."""
     s = q("supplier")
     flagged = F.row_number().over(W.partitionBy("flag").orderBy("s_suppkey"))
     band = s.select(F.lit("band").alias("source"), F.concat(F.lit("b"), F.floor(F.col("s_acctbal") / 1000).cast("string")).alias("key"), "s_suppkey", F.lit(0.7).alias("confidence"), F.lit(1).alias("prio"))
     flag = s.withColumn("flag", F.col("s_acctbal") < 0).filter("flag").withColumn("_r", flagged).filter("_r <= 200").select(F.lit("flag"), F.lit("negative"), "s_suppkey", F.lit(0.65), F.lit(2)).toDF(*band.columns)
     nation = s.select(F.lit("nation"), F.col("s_nationkey").cast("string"), "s_suppkey", F.lit(0.6), F.lit(3)).toDF(*band.columns)
-    members = band.unionByName(flag).unionByName(nation)
+    members = p.capped(band.unionByName(flag).unionByName(nation), ["source", "key"], "s_suppkey", CLUSTER_CAP)
     pairs = p.shared_pairs(members, ["source", "key", "confidence", "prio"], "s_suppkey").filter("a < b")
     return p.first_writer(pairs, ["a", "b"], ["prio"]).select("a", "b", "source", "confidence")
 
@@ -55,10 +59,12 @@ def prefix_union_distinct(q) -> DataFrame:
 
 
 def train_eval_overlap(q) -> DataFrame:
-    sizes = q("conversations").groupBy("conv_id").agg(F.count("*").alias("n"))
-    split = rec.running_split(sizes, "conv_id", "n", 0.1)
-    both = split.filter("side = 'eval'").select("conv_id").intersect(split.filter("side = 'train'").select("conv_id"))
-    return both.agg(F.count("*").alias("overlap"))
+    """Opening words of user turns that stand on both sides of the split of whole conversations, of those on any."""
+    c = q("conversations")
+    split = rec.running_split(c.groupBy("conv_id").agg(F.count("*").alias("n")), "conv_id", "n", 0.1)
+    said = c.filter("role = 'user' and text is not null").select("conv_id", F.split_part("text", F.lit(" "), F.lit(1)).alias("opening")).join(split.select("conv_id", "side"), "conv_id")
+    per = said.groupBy("opening").agg(F.countDistinct("side").alias("sides"))
+    return per.agg(F.count_if(F.col("sides") == 2).alias("overlap"), F.count("*").alias("openings"))
 
 
 def node_degrees(q) -> DataFrame:
@@ -176,9 +182,9 @@ def short_ids_of_pages(q) -> DataFrame:
 
 QUERIES = [f for f in list(globals().values()) if callable(f) and getattr(f, "__module__", "") == __name__]
 
-CLUSTERS = """members AS (SELECT 'band' AS source, 'b' || floor(s_acctbal / 1000)::bigint::varchar AS key, s_suppkey, 0.7::double AS confidence, 1 AS prio FROM supplier
+CLUSTERS = """members AS (SELECT * FROM (SELECT 'band' AS source, 'b' || floor(s_acctbal / 1000)::bigint::varchar AS key, s_suppkey, 0.7::double AS confidence, 1 AS prio FROM supplier
 UNION ALL SELECT 'flag', 'negative', s_suppkey, 0.65::double, 2 FROM (SELECT * FROM supplier WHERE s_acctbal < 0 ORDER BY s_suppkey LIMIT 200)
-UNION ALL SELECT 'nation', s_nationkey::varchar, s_suppkey, 0.6::double, 3 FROM supplier),
+UNION ALL SELECT 'nation', s_nationkey::varchar, s_suppkey, 0.6::double, 3 FROM supplier) QUALIFY row_number() OVER (PARTITION BY source, key ORDER BY s_suppkey) <= 600),
 pairs AS (SELECT x.s_suppkey AS a, y.s_suppkey AS b, source, x.confidence, x.prio FROM members x JOIN members y USING (source, key) WHERE x.s_suppkey < y.s_suppkey QUALIFY row_number() OVER (PARTITION BY x.s_suppkey, y.s_suppkey ORDER BY x.prio) = 1)"""
 SPLIT = "s AS (SELECT {key}, {n} AS n FROM {table} GROUP BY 1), r AS (SELECT *, sum(n) OVER (ORDER BY md5({key}::varchar), {key} ROWS UNBOUNDED PRECEDING) - n AS before, sum(n) OVER () AS total FROM s), split AS (SELECT {key}, n::bigint AS n, CASE WHEN before < total * {share}::double THEN 'eval' ELSE 'train' END AS side FROM r)"
 
@@ -188,7 +194,7 @@ ORACLES = {
     "profile_mining": "WITH r AS (SELECT *, row_number() OVER (PARTITION BY p_brand ORDER BY p_retailprice DESC, p_partkey) AS r FROM part) SELECT p_brand, count(*) AS n, string_agg(p_partkey::varchar, ',' ORDER BY r) FILTER (WHERE r <= 5) AS dearest FROM r GROUP BY 1 HAVING count(*) >= 3",
     "cross_cluster_negatives": "WITH r AS (SELECT p_brand, p_partkey, row_number() OVER (PARTITION BY p_brand ORDER BY p_partkey) AS rank FROM part QUALIFY rank <= 3) SELECT x.p_partkey AS a, y.p_partkey AS b FROM r x JOIN r y USING (rank) WHERE x.p_brand < y.p_brand",
     "prefix_union_distinct": "WITH u AS (SELECT 1 AS prio, doc_id AS id, substring(lower(trim(text)), 1, 80) AS head FROM documents UNION ALL SELECT 2, item_id, substring(lower(trim(text)), 1, 80) FROM benchmark) SELECT prio, id FROM u QUALIFY row_number() OVER (PARTITION BY head ORDER BY prio, id) = 1",
-    "train_eval_overlap": f"WITH {SPLIT.format(key='conv_id', n='count(*)', table='conversations', share=0.1)} SELECT count(*) AS overlap FROM (SELECT conv_id FROM split WHERE side = 'eval' INTERSECT SELECT conv_id FROM split WHERE side = 'train')",
+    "train_eval_overlap": f"WITH {SPLIT.format(key='conv_id', n='count(*)', table='conversations', share=0.1)} SELECT count(*) FILTER (WHERE sides = 2) AS overlap, count(*) AS openings FROM (SELECT split_part(text, ' ', 1) AS opening, count(DISTINCT side) AS sides FROM conversations JOIN split USING (conv_id) WHERE role = 'user' AND text IS NOT NULL GROUP BY 1)",
     "node_degrees": "WITH b AS (SELECT DISTINCT l_orderkey, l_partkey FROM lineitem), co AS (SELECT x.l_partkey AS a, y.l_partkey AS b, count(*) AS n FROM b x JOIN b y ON x.l_orderkey = y.l_orderkey AND x.l_partkey <> y.l_partkey GROUP BY 1, 2) SELECT a, count(*) AS degree, sum(n)::bigint AS strength FROM co GROUP BY 1",
     "array_union_capped": "WITH u AS (SELECT o_custkey, o_orderpriority AS x FROM orders UNION SELECT o_custkey, o_orderstatus FROM orders) SELECT o_custkey, array_to_string(list_sort(list(x))[1:4], ',') AS labels FROM u GROUP BY 1",
     "seeded_sample": "SELECT doc_id, source FROM documents QUALIFY row_number() OVER (PARTITION BY source ORDER BY md5(doc_id::varchar), doc_id) <= 3",

@@ -11,9 +11,9 @@ co AS (SELECT x.l_partkey AS a, y.l_partkey AS b, count(*) AS n FROM baskets x J
 SOURCES = COMENTIONS + """, alike_ AS (SELECT a, b, p.p_brand = r.p_brand AS brand, p.p_size = r.p_size AS size FROM co JOIN part p ON p.p_partkey = a JOIN part r ON r.p_partkey = b),
 evidence AS (SELECT a, b, 'order' AS source, 0.45::double AS confidence, 3 AS prio FROM alike_ UNION ALL SELECT a, b, 'brand', 0.6::double, 1 FROM alike_ WHERE brand UNION ALL SELECT a, b, 'size', 0.4::double, 2 FROM alike_ WHERE size)"""
 EDGES = COMENTIONS + """, edges AS (SELECT a, b, 'ordered' AS rel, n / (n + 1)::double AS score FROM co
-UNION ALL SELECT p.p_partkey, r.p_partkey, 'alike', 0.4::double FROM part p JOIN part r USING (p_brand, p_size) WHERE p.p_partkey < r.p_partkey),
+UNION ALL SELECT p.p_partkey, r.p_partkey, 'alike', 0.4::double FROM part p JOIN (SELECT * FROM part QUALIFY row_number() OVER (PARTITION BY p_brand, p_size ORDER BY p_partkey) <= 500) r USING (p_brand, p_size) WHERE p.p_partkey < r.p_partkey),
 both_ways AS (SELECT a, b, rel, score FROM edges UNION ALL SELECT b, a, rel, score FROM edges)"""
-LINE_EDGES = "rows_ AS (SELECT l_suppkey AS a, l_partkey % 100 + 1 AS b, l_discount AS score, l_returnflag AS flag, l_orderkey, l_linenumber FROM lineitem)"
+LINE_EDGES = "rows_ AS (SELECT -1 - l_suppkey AS a, l_partkey AS b, l_discount AS score, l_returnflag AS flag, l_orderkey, l_linenumber FROM lineitem)"
 PAIRED = "paired AS (SELECT least(a, b) AS x, greatest(a, b) AS y, score, flag, l_orderkey, l_linenumber FROM rows_ WHERE a <> b)"
 SPACE = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 TURNS = "turns AS (SELECT u.conv_id, a.turn, u.text AS instruction, a.text AS output FROM conversations u JOIN conversations a ON a.conv_id = u.conv_id AND a.turn = u.turn + 1 AND a.role = 'assistant' WHERE u.role = 'user')"
@@ -37,9 +37,9 @@ capped AS (SELECT * FROM members QUALIFY row_number() OVER (PARTITION BY signal,
 scored AS (SELECT m.entity AS a, c.entity AS b, round(sum(weight), 6) AS score, string_agg(DISTINCT m.signal, ',' ORDER BY m.signal) AS signals FROM members m JOIN capped c USING (signal, key) JOIN weights USING (signal, key) WHERE m.entity <> c.entity GROUP BY 1, 2)
 SELECT a, b, score, signals, count(*) OVER (PARTITION BY a) AS candidates, row_number() OVER (PARTITION BY a ORDER BY score DESC, b) AS rank FROM scored QUALIFY rank <= 20""",
     "idf_weights": f"WITH {MEMBERS}, {WEIGHTS} SELECT signal, key, n, round(weight, 6) AS weight FROM weights",
-    "capped_group_members": f"WITH {MEMBERS} SELECT * FROM members QUALIFY row_number() OVER (PARTITION BY signal, key ORDER BY entity) <= 10",
+    "capped_group_members": f"WITH {MEMBERS} SELECT * FROM members QUALIFY row_number() OVER (PARTITION BY signal, key ORDER BY entity) <= CASE WHEN signal = 'brand' THEN 500 ELSE 700 END",
     "recency_decay": "SELECT o_orderkey, CASE WHEN 2000 - year(o_orderdate) <= 1 THEN 1.0::double WHEN 2000 - year(o_orderdate) <= 3 THEN 0.85::double WHEN 2000 - year(o_orderdate) <= 5 THEN 0.65::double ELSE 0.5::double END AS decay FROM orders",
-    "supplier_bridge_pairs": """WITH used AS (SELECT DISTINCT l_suppkey, l_partkey FROM lineitem), c AS (SELECT * FROM used QUALIFY row_number() OVER (PARTITION BY l_suppkey ORDER BY l_partkey) <= 20)
+    "supplier_bridge_pairs": """WITH used AS (SELECT DISTINCT l_suppkey, l_partkey FROM lineitem), c AS (SELECT * FROM used QUALIFY row_number() OVER (PARTITION BY l_suppkey ORDER BY l_partkey) <= 400)
 SELECT x.l_partkey AS a, y.l_partkey AS b, count(DISTINCT l_suppkey) AS n_suppliers FROM c x JOIN c y USING (l_suppkey) WHERE x.l_partkey < y.l_partkey GROUP BY 1, 2""",
     "group_members_reference_caps": f"WITH {MEMBERS} SELECT * FROM members QUALIFY row_number() OVER (PARTITION BY signal, key ORDER BY entity) <= CASE WHEN signal = 'brand' THEN 500 ELSE 700 END",
     "bridge_pairs_reference_cap": """WITH used AS (SELECT DISTINCT l_suppkey, l_partkey FROM lineitem), c AS (SELECT * FROM used QUALIFY row_number() OVER (PARTITION BY l_suppkey ORDER BY l_partkey) <= 400)
@@ -55,14 +55,17 @@ SELECT l_suppkey, x.l_partkey AS a, y.l_partkey AS b FROM used x JOIN used y USI
 SELECT a, b, co.n, round(co.n / x.n::double, 6) AS confidence, round(co.n * total / (x.n * y.n)::double, 6) AS lift FROM co JOIN single x ON x.l_partkey = a JOIN single y ON y.l_partkey = b, total""",
     "noisy_or_merge": f"WITH {SOURCES} SELECT a, b, CASE WHEN count(*) = 1 THEN max(confidence) ELSE round(least(1 - product(1 - confidence), 0.99::double), 3) END AS confidence, string_agg(DISTINCT source, ',' ORDER BY source) AS sources, count(*) AS n_rows FROM evidence GROUP BY 1, 2",
     "precedence_first_writer": f"WITH {SOURCES} SELECT a, b, source, round(least(1.0::double, confidence + CASE WHEN source = 'brand' THEN 0.1::double ELSE 0.0::double END), 3) AS confidence FROM evidence QUALIFY row_number() OVER (PARTITION BY a, b ORDER BY prio) = 1",
-    "capped_pairs_per_group": """WITH used AS (SELECT * FROM (SELECT DISTINCT l_suppkey, l_partkey FROM lineitem) QUALIFY row_number() OVER (PARTITION BY l_suppkey ORDER BY l_partkey) <= 8),
-sizes AS (SELECT l_suppkey, count(*) * (count(*) - 1) // 2 AS n FROM used GROUP BY 1), kept AS (SELECT l_suppkey FROM sizes QUALIFY sum(n) OVER (ORDER BY n DESC, l_suppkey ROWS UNBOUNDED PRECEDING) <= 600)
+    "capped_pairs_per_group": """WITH used AS (SELECT * FROM (SELECT DISTINCT l_suppkey, l_partkey FROM lineitem) QUALIFY row_number() OVER (PARTITION BY l_suppkey ORDER BY l_partkey) <= 20),
+sizes AS (SELECT l_suppkey, count(*) * (count(*) - 1) // 2 AS n FROM used GROUP BY 1), kept AS (SELECT l_suppkey FROM sizes QUALIFY sum(n) OVER (ORDER BY n DESC, l_suppkey ROWS UNBOUNDED PRECEDING) <= 600000)
 SELECT l_suppkey, x.l_partkey AS a, y.l_partkey AS b FROM used x JOIN used y USING (l_suppkey) JOIN kept USING (l_suppkey) WHERE x.l_partkey < y.l_partkey""",
     "chain_adjacent_lead": "SELECT o_custkey, o_orderkey, row_number() OVER w AS position, lead(o_orderkey) OVER w AS next_key, count(*) OVER (PARTITION BY o_custkey) AS length FROM orders WINDOW w AS (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey)",
     "iso_week_buckets": "SELECT isoyear(ts) || '-W' || lpad(week(ts)::varchar, 2, '0') AS week, count(*) AS n, count(DISTINCT user_id) AS users FROM events GROUP BY 1 HAVING count(*) >= 2",
     "flag_bucket": "SELECT 'error' AS bucket, count(*) AS n, count(DISTINCT user_id) AS users, min(event_id) AS first_id FROM events WHERE event_type = 'error'",
     "ordered_rule_bucket": "SELECT CASE WHEN contains(lower(p_type), 'brass') THEN 'brass' WHEN contains(lower(p_type), 'steel') THEN 'steel' WHEN contains(lower(p_type), 'small') THEN 'small' WHEN contains(lower(p_type), 'large') THEN 'large' ELSE 'type_' || substring(replace(lower(p_type), ' ', '_'), 1, 30) END AS bucket, count(*) AS n FROM part GROUP BY 1 HAVING count(*) >= 2",
     "path_two_hop": """WITH e AS (SELECT x.n_nationkey::varchar AS src, y.n_nationkey::varchar AS dst, CASE WHEN x.n_nationkey < y.n_nationkey THEN 0.8::double ELSE 0.85::double END AS confidence FROM nation x JOIN nation y USING (n_regionkey) WHERE x.n_nationkey <> y.n_nationkey AND abs(x.n_nationkey - y.n_nationkey) <= 10)
+SELECT src, NULL::varchar AS mid, dst, confidence, 1 AS hops FROM e UNION ALL SELECT a.src, a.dst, b.dst, round(a.confidence * b.confidence, 3), 2 FROM e a JOIN e b ON a.dst = b.src WHERE b.dst <> a.src""",
+    "path_two_hop_parts": """WITH l AS (SELECT l_partkey, lead(l_partkey) OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey) AS nxt, l_quantity FROM lineitem),
+e AS (SELECT l_partkey::varchar AS src, nxt::varchar AS dst, max(CASE WHEN l_quantity = 50 THEN 0.85::double ELSE 0.8::double END) AS confidence FROM l WHERE l_quantity >= 48 AND nxt <> l_partkey GROUP BY 1, 2)
 SELECT src, NULL::varchar AS mid, dst, confidence, 1 AS hops FROM e UNION ALL SELECT a.src, a.dst, b.dst, round(a.confidence * b.confidence, 3), 2 FROM e a JOIN e b ON a.dst = b.src WHERE b.dst <> a.src""",
     "chain_join_distinct": "SELECT x.p_partkey AS trigger_key, min(y.p_partkey) AS related, y.p_size AS related_size FROM part x JOIN part y ON x.p_brand = y.p_brand AND y.p_size = x.p_size + 1 GROUP BY 1, 3",
     "wide_enrichment": """WITH spend AS (SELECT o_custkey, count(*) AS n_orders, max(o_totalprice) AS max_price FROM orders GROUP BY 1), items AS (SELECT o_custkey, count(*) AS n_items, count(*) FILTER (WHERE l_returnflag = 'R') AS n_returned FROM orders JOIN lineitem ON o_orderkey = l_orderkey GROUP BY 1)
@@ -102,17 +105,18 @@ SELECT key, likelihood, tier FROM three ORDER BY tier, likelihood DESC, key LIMI
     "text_clean": f"SELECT doc_id, md5({CLEAN}) AS clean_md5, length({CLEAN})::int AS n_clean FROM documents",
     "fixed_chunks": "WITH c AS (SELECT doc_id, text, unnest(range(0, greatest(length(text), 1), 780)) AS start FROM documents) SELECT doc_id, (start // 780)::int AS chunk_no, md5(substring(text, start::bigint + 1, 900)) AS chunk_md5 FROM c",
     "group_consecutive": "WITH r AS (SELECT *, (row_number() OVER (PARTITION BY source ORDER BY doc_id) - 1) // 10 AS group_no FROM documents) SELECT source, group_no, count(*) AS n, sum(n_chars)::bigint AS chars, min(doc_id) AS first_doc FROM r GROUP BY 1, 2",
-    "source_quota": "SELECT doc_id, source FROM documents QUALIFY row_number() OVER (PARTITION BY source ORDER BY doc_id) <= 5",
+    "source_quota": "SELECT doc_id, source FROM documents QUALIFY row_number() OVER (PARTITION BY source ORDER BY doc_id) <= 150000",
     "sha_id": "SELECT doc_id, substring(sha1(concat_ws('|', source, lang, text)), 1, 20) AS chunk_id FROM documents",
     "vector_topk": f"WITH {NEAREST} SELECT query, vec_id, cosine FROM near",
     "hybrid_fusion": f"WITH {FUSED} SELECT * FROM fused",
     "confidence_top5": f"WITH {FUSED} SELECT round(avg(likelihood), 3) AS confidence FROM (SELECT likelihood FROM fused ORDER BY likelihood DESC, key LIMIT 5)",
-    "review_policy": """WITH s AS (SELECT l_suppkey AS entity, count(*) FILTER (WHERE l_returnflag = 'R') AS direct, count(*) FILTER (WHERE l_returnflag = 'N') AS inferred, round(avg(l_discount) * 9, 3) AS overall, round(max(l_discount) * 6, 3) AS top3 FROM lineitem GROUP BY 1)
-SELECT *, inferred > direct OR overall < 0.45 OR (direct < 2 AND top3 < 0.55) AS required, concat_ws(',', CASE WHEN inferred > direct THEN 'inferred_dominates' END, CASE WHEN overall < 0.45 THEN 'low_confidence' END, CASE WHEN direct < 2 AND top3 < 0.55 THEN 'weak_support' END) AS reasons FROM s""",
+    "review_policy": """WITH s AS (SELECT l_suppkey AS entity, count(*) FILTER (WHERE l_returnflag = 'R' AND l_quantity > 45) AS direct, count(*) FILTER (WHERE l_returnflag = 'N' AND l_quantity > 40) AS inferred, round(avg(l_discount) * 9, 3) AS overall, round(max(l_discount) * 6, 3) AS top3,
+CASE WHEN count(*) FILTER (WHERE l_quantity > 44) % 2 = 0 THEN 'graph,vector' ELSE 'graph,text' END AS sources, CASE WHEN count(*) FILTER (WHERE l_quantity > 44) % 3 > 0 THEN 'entity' ELSE 'weakness' END AS kind FROM lineitem GROUP BY 1),
+r AS (SELECT *, concat_ws(',', CASE WHEN inferred > direct THEN 'inferred_dominates' END, CASE WHEN overall < 0.45 THEN 'low_confidence' END, CASE WHEN sources = 'graph,vector' AND direct = 0 THEN 'sources_disagree' END, CASE WHEN kind = 'entity' AND direct < 2 AND top3 < 0.55 THEN 'weak_support' END) AS reasons FROM s) SELECT *, reasons <> '' AS required FROM r""",
     "template_pairs": "SELECT p_partkey, 'What is known about ' || p_name || '?' AS instruction, 'Brand ' || p_brand || ', type ' || p_type || ', price ' || round(p_retailprice, 0)::bigint::varchar || '.' AS output FROM part",
     "quality_filter": rf"WITH {TURNS} SELECT conv_id, turn FROM turns WHERE length(trim(output)) >= 80 AND output <> instruction AND NOT regexp_matches(output, '^[\sNA/.:-]*$')",
-    "dedup_prefix": "SELECT min(doc_id) AS doc_id FROM documents GROUP BY substring(text, 1, 150), lang",
-    "cap_per_output": "SELECT doc_id FROM documents QUALIFY row_number() OVER (PARTITION BY substring(text, 1, 10) ORDER BY doc_id) <= 5",
+    "dedup_prefix": f"WITH {TURNS} SELECT conv_id, turn FROM turns QUALIFY row_number() OVER (PARTITION BY substring(trim(instruction, {SPACE}), 1, 150), substring(trim(output, {SPACE}), 1, 200) ORDER BY conv_id, turn) = 1",
+    "cap_per_output": f"WITH {TURNS} SELECT conv_id, turn FROM turns QUALIFY row_number() OVER (PARTITION BY substring(trim(output, {SPACE}), 1, 300) ORDER BY conv_id, turn) <= 5",
     "dedup_instruction_output": f"WITH {TURNS} SELECT conv_id, turn FROM turns QUALIFY row_number() OVER (PARTITION BY substring(trim(instruction, {SPACE}), 1, 150), substring(trim(output, {SPACE}), 1, 200) ORDER BY conv_id, turn) = 1",
     "cap_per_output_300": f"WITH {TURNS} SELECT conv_id, turn FROM turns QUALIFY row_number() OVER (PARTITION BY substring(trim(output, {SPACE}), 1, 300) ORDER BY conv_id, turn) <= 5",
     "entity_split": "WITH s AS (SELECT conv_id, count(*) AS n FROM conversations GROUP BY 1), r AS (SELECT *, sum(n) OVER (ORDER BY md5(conv_id::varchar), conv_id ROWS UNBOUNDED PRECEDING) - n AS before, sum(n) OVER () AS total FROM s) SELECT conv_id, n, CASE WHEN before < total * 0.1::double THEN 'eval' ELSE 'train' END AS side FROM r",
@@ -123,13 +127,13 @@ SELECT count(*) AS n, count(*) FILTER (WHERE trim(output) = '') AS empty_output,
     "field_coverage": " UNION ALL ".join(f"SELECT '{c}' AS field, round(avg(CASE WHEN {c} IS NOT NULL AND {c}::varchar <> '' THEN 1.0::double ELSE 0.0::double END), 6) AS covered FROM documents" for c in ("text", "lang", "source", "n_chars")),
     "recall_at_k": f"WITH {RECALLS} SELECT * FROM recalls",
     "eval_grouping_sets": f"WITH {RECALLS} SELECT query_label, count(*) AS n, round(avg(recall_10), 6) AS recall_10, grouping(query_label)::int AS overall FROM recalls GROUP BY ROLLUP (query_label)",
-    "decontaminate": f"SELECT doc_id FROM documents WHERE substring(lower({CLEAN}), 1, 60) NOT IN (SELECT substring(lower({CLEAN}), 1, 60) FROM benchmark)",
+    "decontaminate": f"SELECT doc_id FROM documents d WHERE NOT EXISTS (SELECT 1 FROM benchmark b WHERE lower({CLEAN.replace('text', 'b.text')}) = lower({CLEAN.replace('text', 'd.text')}))",
     "json_props": "SELECT event_type, count(*) AS n, sum(json_extract(props, '$.k')::int)::bigint AS sum_k, max(json_extract(props, '$.k')::int) AS max_k FROM events GROUP BY 1",
     "weighted_oversample": "SELECT doc_id, quality, unnest(range(1, CASE WHEN quality = 1 THEN 4 ELSE 2 END))::int AS copy FROM labels WHERE quality IS NOT NULL",
     "tumbling_window": "SELECT strftime(ts, '%Y-%m-%d') AS day, event_type, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY 1, 2",
     "session_window": """WITH g AS (SELECT *, CASE WHEN epoch_us(ts) - epoch_us(lag(ts) OVER w) > 3600000000 THEN 1 ELSE 0 END AS new FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)),
 s AS (SELECT *, sum(new) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING)::bigint AS session FROM g) SELECT user_id, session, count(*) AS n, min(event_id) AS least_id FROM s GROUP BY 1, 2""",
-    "rate_limit_window": "SELECT user_id, strftime(date_trunc('minute', ts), '%Y-%m-%d %H:%M') AS minute, count(*) AS n FROM events GROUP BY 1, 2 HAVING count(*) > 2",
+    "rate_limit_window": "SELECT user_id, strftime(date_trunc('day', ts), '%Y-%m-%d') AS day, count(*) AS n FROM events GROUP BY 1, 2 HAVING count(*) > 4",
     "asof_join": "WITH v AS (SELECT user_id, ts, max(event_id) AS view_id FROM events WHERE event_type = 'view' GROUP BY 1, 2) SELECT b.event_id, v.view_id AS as_of_view_id FROM (SELECT * FROM events WHERE event_type = 'purchase') b ASOF LEFT JOIN v ON b.user_id = v.user_id AND b.ts >= v.ts",
     "cube_rollup": "SELECT o_orderstatus, o_orderpriority, count(*) AS n, round(max(o_totalprice), 2) AS top FROM orders GROUP BY CUBE (o_orderstatus, o_orderpriority)",
     "stream_daily_counts": "SELECT strftime(ts, '%Y-%m-%d') AS day, event_type, count(*) AS n FROM events GROUP BY 1, 2",

@@ -24,20 +24,28 @@ def as_stream(rows: DataFrame, ts: str = "ts") -> DataFrame:
 
 
 def folder_of(spark) -> str:
+    """A new folder under `spark.checkpoint.dir`; a temporary one only where that is unset in local mode."""
     own = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not own and not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
     return (own or tempfile.mkdtemp(prefix="weftline-")).rstrip("/") + f"/stream-{uuid.uuid4().hex}"
 
 
-def drain(stream: DataFrame, mode: str = "append") -> DataFrame:
-    """Run a stream to the end of its input; rows of append mode go to a table, of others the last state is kept."""
-    spark, folder = stream.sparkSession, folder_of(stream.sparkSession)
+def drain(stream: DataFrame, mode: str = "append", folder: str | None = None) -> DataFrame:
+    """Run a stream to the end of its input; rows of append mode go to a table, of others the last state is kept.
+
+    With the folder of an earlier run it goes on from there.  A batch writes a
+    folder of its own, so a batch that is run again replaces its rows.
+    """
+    spark = stream.sparkSession
+    folder = folder or folder_of(spark)
 
     def keep(batch: DataFrame, number: int) -> None:
-        batch.write.mode("append" if mode == "append" else "overwrite").parquet(f"{folder}/rows")
+        batch.write.mode("overwrite").parquet(f"{folder}/rows/" + (f"batch={number}" if mode == "append" else "last"))
 
     q = stream.writeStream.outputMode(mode).option("checkpointLocation", f"{folder}/state").trigger(availableNow=True).foreachBatch(keep).start()
     q.awaitTermination()
-    return spark.read.schema(stream.schema).parquet(f"{folder}/rows")
+    return spark.read.schema(stream.schema).option("recursiveFileLookup", True).parquet(f"{folder}/rows")
 
 
 def windowed(rows: DataFrame, ts: str, by: str, window: str, late: str = "10 minutes") -> DataFrame:
