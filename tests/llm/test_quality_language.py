@@ -7,7 +7,7 @@ import numpy as np
 import pyarrow as pa
 
 from weftline.llm import language, quality
-from weftline.llm.blocks import Texts
+from weftline.llm.blocks import Texts, Words
 
 from .conftest import ODD
 
@@ -63,6 +63,59 @@ def test_quality_of_odd_rows_and_empty_tables(spark, odd, frame):
     assert quality.quality(frame([]), none).count() == 0
 
 
+def brute_mixture(words, logs, penalised=True):
+    """Leading language and share of one text, word by word, with sets as large as pays."""
+
+    def em(allowed, rounds):
+        share = {k: 1 / len(allowed) for k in allowed}
+        for _ in range(rounds):
+            total = dict.fromkeys(allowed, 0.0)
+            for p in words:
+                whole = sum(share[k] * p[k] for k in allowed)
+                for k in allowed:
+                    total[k] += share[k] * p[k] / whole
+            share = {k: x / len(words) for k, x in total.items()}
+        return share, sum(np.log(sum(share[k] * p[k] for k in allowed)) for p in words)
+
+    every = list(range(logs))
+    share, _ = em(every, language.ITERATIONS)
+    order = sorted(every, key=lambda k: (-share[k], k))
+    best = (-np.inf, None)
+    for size in range(1, logs + 1):
+        own, value = em(order[:size], language.ITERATIONS if size > 1 else 0)
+        value -= (size - 1) * 0.5 * np.log(max(len(words), 2))
+        if value > best[0]:
+            best = (value, own)
+        elif size >= language.LEAST_SETS:
+            break
+    lead = max(best[1], key=lambda k: best[1][k])
+    return lead, best[1][lead], len(best[1])
+
+
+def test_mixtures_against_brute_force():
+    rng = np.random.default_rng(5)
+    logs = np.log(rng.dirichlet(np.full(language.FEATURES, 0.05), 6).T + 1e-9).astype(np.float32)
+    alphabets = ["abcd", "efgh", "ijkl", "mnop", "qrst", "uvwx"]
+    for k, letters in enumerate(alphabets):  # words of a language's letters are likely in it
+        probe = Words(Texts(pa.array([" ".join(a + b + c for a in letters for b in letters for c in letters)])), language.LETTERS, lower=True)
+        logs[language.word_trigrams(probe, np.arange(len(probe)))[1], k] = np.log(0.02)
+    pick = random.Random(6)
+    word = lambda k: "".join(pick.choice(alphabets[k]) for _ in range(4))
+    texts = [" ".join(word(pick.choice(mix)) for _ in range(n)) for mix in ([0], [1, 2], [0, 3, 5], [0, 1, 2, 3, 4], [2, 2, 2, 4]) for n in (1, 40, 200)] + ["long " * 60_000]
+    words = Words(Texts(pa.array(texts)), language.LETTERS, lower=True)
+    lead, score = language.mixtures(words, logs)
+    sizes = set()
+    for i, t in enumerate(texts[:-1]):
+        own = Words(Texts(pa.array([t])), language.LETTERS, lower=True)
+        number, feature = language.word_trigrams(own, np.arange(len(own)))
+        known = np.array([logs[feature[number == j]].astype(float).sum(0) for j in range(len(own))])
+        want, share, size = brute_mixture(np.exp(known - known.max(1, keepdims=True)), 6)
+        sizes.add(size)
+        assert abs(score[i] - share) < 1e-3 and (lead[i] == want or share < 0.5)
+    assert max(sizes) >= 4
+    assert 0 <= score[-1] <= 1
+
+
 def test_isolation_of_one_far_row():
     x = np.random.default_rng(4).normal(size=(1000, 3))
     x[0] = 9

@@ -5,8 +5,9 @@ sample of labelled documents.  Prediction: each word of a text comes from one
 of the languages; expectation-maximisation estimates the document's language
 proportions from the words' n-gram likelihoods.  Sets of the leading languages
 are compared by likelihood less a penalty for each language more (half the log
-of the number of words); the largest share of the chosen set is the prediction
-and its score.
+of the number of words).  Sets of up to LEAST_SETS languages are always looked
+at; larger ones as long as the last language added was worth its penalty.  The
+largest share of the chosen set is the prediction and its score.
 """
 
 from __future__ import annotations
@@ -22,7 +23,9 @@ from .blocks import U64, Texts, Words, byte_table, mix, ragged, slices
 
 #: hashed trigrams; labelled documents of a language that are learned from, about; languages at most (bounds the broadcast)
 FEATURES, PER_LANGUAGE, MOST_LANGUAGES = 1 << 16, 20_000, 256
-ITERATIONS, LARGEST_SET = 8, 3
+ITERATIONS, LEAST_SETS = 8, 3
+#: bytes of text that a task works on together, times languages: words by languages stay near the same number
+SLICE_BYTES = 32 << 20
 LETTERS = byte_table(bytes([*range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x80, 0x100)]))
 
 
@@ -93,16 +96,26 @@ def _sums(values: np.ndarray, off: np.ndarray) -> np.ndarray:
     return total[off[1:]] - total[off[:-1]]
 
 
-def expectation_maximisation(likelihood: np.ndarray, row: np.ndarray, off: np.ndarray, allowed: np.ndarray, iterations: int) -> tuple[np.ndarray, np.ndarray]:
-    """Proportions of the allowed languages in each row, and the log-likelihood they give."""
+def expectation_maximisation(likelihood: np.ndarray, uses: np.ndarray, off: np.ndarray, allowed: np.ndarray, iterations: int) -> tuple[np.ndarray, np.ndarray]:
+    """Proportions of the allowed languages in each row, and the log-likelihood they give.
+
+    Row i has the words off[i] to off[i + 1] - 1, each with its number of uses.
+    """
+    row = np.repeat(np.arange(len(off) - 1), np.diff(off))
     share = allowed / np.maximum(allowed.sum(1, keepdims=True), 1)
-    count = np.maximum(np.diff(off), 1)[:, None]
+    count = np.maximum(_sums(uses[:, None], off), 1)
     for _ in range(iterations):
         joint = likelihood * share[row].astype(np.float32)
-        joint /= np.maximum(joint.sum(1, keepdims=True), 1e-30)
+        joint *= (uses / np.maximum(joint.sum(1), 1e-30)).astype(np.float32)[:, None]
         share = _sums(joint, off) / count
     mixed = (likelihood * share[row].astype(np.float32)).sum(1)
-    return share, _sums(np.log(np.maximum(mixed, 1e-30)), off)
+    return share, _sums((uses * np.log(np.maximum(mixed, 1e-30)))[:, None], off)[:, 0]
+
+
+def some_rows(off: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The words of some rows, and where each of these rows begins among them."""
+    size = np.diff(off)[rows]
+    return ragged(size, off[:-1][rows]), np.append(0, np.cumsum(size))
 
 
 def mixtures(words: Words, logs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -112,18 +125,27 @@ def mixtures(words: Words, logs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     number, feature = word_trigrams(words, first)
     known = np.add.reduceat(logs[feature], np.searchsorted(number, np.arange(len(first))), axis=0)
     known = np.exp(known - known.max(1, keepdims=True))  # a word's own factor does not change what is best
-    likelihood, row, off = known[code], words.row(), words.off
-    share, _ = expectation_maximisation(likelihood, row, off, np.ones((rows, languages)), ITERATIONS)
+    # a word that a row has often is looked at once
+    pair, uses = np.unique(words.row() * len(first) + code, return_counts=True)
+    likelihood, off = known[pair % len(first)], np.searchsorted(pair, np.arange(rows + 1) * len(first))
+    share, _ = expectation_maximisation(likelihood, uses, off, np.ones((rows, languages)), ITERATIONS)
     order = np.argsort(-share, axis=1, kind="stable")
     best, lead, score = np.full(rows, -np.inf), order[:, 0].copy(), np.ones(rows)
-    penalty = 0.5 * np.log(np.maximum(np.diff(off), 2))
-    for size in range(1, min(LARGEST_SET, languages) + 1):
-        allowed = np.zeros((rows, languages))
-        np.put_along_axis(allowed, order[:, :size], 1.0, axis=1)
-        own, value = expectation_maximisation(likelihood, row, off, allowed, ITERATIONS if size > 1 else 0)
-        value = value - (size - 1) * penalty
-        better = value > best
-        best[better], lead[better], score[better] = value[better], own[better].argmax(1), own[better].max(1)
+    penalty = 0.5 * np.log(np.maximum(words.counts, 2))
+    live = np.arange(rows)
+    for size in range(1, languages + 1):
+        allowed = np.zeros((len(live), languages))
+        np.put_along_axis(allowed, order[live, :size], 1.0, axis=1)
+        at, starts = some_rows(off, live)
+        own, value = expectation_maximisation(likelihood[at], uses[at], starts, allowed, ITERATIONS if size > 1 else 0)
+        value = value - (size - 1) * penalty[live]
+        better = value > best[live]
+        up = live[better]
+        best[up], lead[up], score[up] = value[better], own[better].argmax(1), own[better].max(1)
+        if size >= LEAST_SETS:
+            live = up
+            if not len(live):
+                break
     return lead, np.clip(score, 0.0, 1.0)
 
 
@@ -141,7 +163,7 @@ def predict(docs: DataFrame, names: list[str], logs: np.ndarray, columns: list[s
     model = docs.sparkSession.sparkContext.broadcast(logs)  # FEATURES * MOST_LANGUAGES floats at most
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches, "text"):
+        for part in slices(batches, "text", SLICE_BYTES // max(len(names), 8)):
             texts = Texts(part["text"])
             words = Words(texts, LETTERS, lower=True)
             good = has_letter(texts, words.counts > 0) if names else np.zeros(len(texts), bool)
