@@ -47,12 +47,15 @@ SELECT doc_id, len(w)::bigint AS n_words, (len(w) - coalesce(n, 0))::bigint AS n
 
 OP8 = f"""WITH docs AS (SELECT doc_id, regexp_extract_all({LOWER}, {ALNUM}) AS w FROM documents),
 items AS (SELECT item_id, regexp_extract_all({LOWER}, {ALNUM}) AS w FROM benchmark),
-tests AS (SELECT item_id, least(len(w), 10) AS m, array_to_string(list_slice(w, i, i + least(len(w), 10) - 1), ' ') AS s FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i FROM items WHERE len(w) > 0)),
+tests AS (SELECT item_id, i, least(len(w), 10) AS m, array_to_string(list_slice(w, i, i + least(len(w), 10) - 1), ' ') AS s FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i FROM items WHERE len(w) > 0)),
 sizes AS (SELECT DISTINCT m FROM tests),
 windows AS (SELECT doc_id, p, m, array_to_string(list_slice(w, p, p + m - 1), ' ') AS s FROM (SELECT doc_id, w, m, unnest(range(1, len(w) - m + 2)) AS p FROM docs, sizes WHERE len(w) >= m)),
 hits AS (SELECT DISTINCT doc_id, p, m, item_id FROM windows JOIN tests USING (m, s)),
 words AS (SELECT doc_id, count(DISTINCT i) AS n_hit FROM (SELECT doc_id, unnest(range(p, p + m)) AS i FROM hits) GROUP BY 1),
-found AS (SELECT doc_id, count(*) AS n_items, string_agg(item_id::varchar, ',' ORDER BY item_id::varchar) AS ids FROM (SELECT DISTINCT doc_id, item_id FROM hits) GROUP BY 1)
-SELECT doc_id, len(w)::bigint AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated FROM docs LEFT JOIN words USING (doc_id) LEFT JOIN found USING (doc_id)"""
+found AS (SELECT doc_id, count(*) AS n_items, string_agg(item_id::varchar, ',' ORDER BY item_id::varchar) AS ids FROM (SELECT DISTINCT doc_id, item_id FROM hits) GROUP BY 1),
+pairs AS (SELECT DISTINCT doc_id, p, m, item_id, i FROM windows JOIN tests USING (m, s)),
+runs AS (SELECT doc_id, min(p) - 1 AS longest_at, count(*) + min(m) - 1 AS longest_match FROM (SELECT *, p - row_number() OVER (PARTITION BY doc_id, item_id, p - i ORDER BY p) AS island FROM pairs) GROUP BY doc_id, item_id, p - i, island),
+longest AS (SELECT doc_id, longest_match, longest_at FROM runs QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY longest_match DESC, longest_at) = 1)
+SELECT doc_id, coalesce(longest_match, 0)::bigint AS longest_match, coalesce(longest_at, -1)::bigint AS longest_at, len(w)::bigint AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated FROM docs LEFT JOIN words USING (doc_id) LEFT JOIN found USING (doc_id) LEFT JOIN longest USING (doc_id)"""
 
 ORACLES = {"op2_minhash": OP2, "op3_suffix_dedup": OP3, "op6_window_dedup": OP6, "op8_decontamination": OP8}
