@@ -3,6 +3,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from weftline.llm import blocks, repeats, suffix_dedup, window_dedup
@@ -105,6 +106,14 @@ def test_rows_of_an_exchange_follow_the_entries(monkeypatch):
     assert count[1] <= 5 * 16 and count[2] <= 25 * 16
 
 
+def test_minimisers_spread_evenly_over_buckets():
+    text = np.random.default_rng(2).integers(97, 123, 200_000).astype(np.uint8)
+    s = suffix_dedup.byte_symbols(blocks.Texts(pa.array([text.tobytes().decode()])))
+    keys = repeats.super_kmers(s.values, s.off, 50, 20)[3]
+    sizes = np.bincount(((keys >> np.uint64(32)) * np.uint64(50) >> np.uint64(32)).astype(int), minlength=50)
+    assert sizes.max() < 1.4 * sizes.mean()
+
+
 def test_equal_hashes_of_different_words_do_not_count():
     data = np.frombuffer(b"oneTWOone", np.uint8)
     start, end = np.array([0, 3, 6]), np.array([3, 6, 9])

@@ -73,7 +73,8 @@ def super_kmers(values: np.ndarray, off: np.ndarray, width: int, k: int) -> tupl
     last = good.copy()
     last[:-1] &= (at[1:] != at[:-1]) | ~good[1:]
     p0, p1 = np.flatnonzero(first), np.flatnonzero(last)
-    return p0, p1, at[p0].astype(np.int64), h[at[p0]]
+    # minima are small numbers: mixed once more, they spread evenly over buckets that go by upper bits
+    return p0, p1, at[p0].astype(np.int64), mix(h[at[p0]])
 
 
 def run_lengths(doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
