@@ -4,6 +4,8 @@ import re
 from collections import Counter
 from zlib import crc32
 
+import pyarrow as pa
+import pyarrow.compute
 import pytest
 
 from weftline.llm import scoring
@@ -47,11 +49,13 @@ def check(df, rows, mu=scoring.PRIOR):
         assert g[5:] == pytest.approx(w[5:], rel=1e-9)
 
 
-def test_against_brute_force(frame, monkeypatch):
+@pytest.mark.parametrize("fan", [512, 2])
+def test_against_brute_force(frame, monkeypatch, fan):
     monkeypatch.setattr(scoring, "BLOCK_BYTES", 2000)
+    monkeypatch.setattr(scoring, "FAN", fan)  # of 2: blocks ask in groups of two
     rng = random.Random(2)
     rows = [(k, " ".join(rng.choice(["a", "B", "cé", "d", "漢", f"w{rng.randrange(30)}"]) for _ in range(rng.randint(0, 60)))) for k in range(150)]
-    rows += ODD[:8] + ODD[9:] + rows[:3]
+    rows += ODD + rows[:3]
     check(scoring.scores(frame(rows)), rows)
 
 
@@ -62,6 +66,19 @@ def test_small_tables(frame):
     check(scoring.scores(frame([(held, "a b")])), [(held, "a b")])
 
 
+def test_rows_asked_follow_the_blocks(frame):
+    """Every block and every group sends to a bounded number of buckets."""
+    rng = random.Random(4)
+    text = " ".join(f"w{rng.randrange(500)}" for _ in range(400))
+    t = pa.table({"text": [text], "held_out": [False]})
+    asked = scoring.ask(8)((pa.scalar(3),), t)
+    assert asked.num_rows <= 8 and set(asked["block"].to_pylist()) == {3}
+    both = pa.concat_tables([asked, scoring.ask(8)((pa.scalar(4),), t)])
+    own = both.filter(pa.compute.equal(both["bucket"], 5))
+    group = scoring.ask_for_group(64)((pa.scalar(5), pa.scalar(0)), own)
+    assert group.num_rows <= 8 and {b // 8 for b in group["bucket"].to_pylist()} == {5}
+
+
 def test_probabilities_of_what_follows_sum_to_one():
     mu, single, double = 20.0, Counter(a=3, b=2, e=1), Counter({("a", "b"): 2, ("a", "a"): 1})
     n, v = sum(single.values()), len(single)

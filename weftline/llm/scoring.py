@@ -12,13 +12,16 @@ counts in its training documents; each n-gram's counts meet in one of many
 buckets, and the sums go back to the blocks that asked.  A block then has all
 n-grams that its documents can meet: it builds their automaton and walks its
 documents through it, one word of every document at a step.
+
+A block sends to FAN buckets at most.  Where there are more blocks than that,
+blocks form groups of FAN: a group adds up what its blocks ask in each of FAN
+slices of the keys, asks FAN finer buckets for the slice, and passes the sums
+on to its blocks.  So rows grow with the blocks, not with their square.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
-
 import numpy as np
 import pyarrow as pa
 import zstandard
@@ -32,6 +35,8 @@ from .tables import partitions, text_key
 #: bytes of text of a block on average; words of prior behind each context, the best of 20, 100, 500 and 2000 on a
 #: development fold (remainder 3) of the training documents, with the held-out documents left out altogether
 BLOCK_BYTES, PRIOR = 12 << 20, 500.0
+#: buckets that a block, or a group of so many blocks, sends to at most
+FAN = 512
 END, BEGIN = U64(0x8F1BBCDC5A827999), U64(0xCA62C1D66ED9EBA1)
 ASK = "bucket long, block long, keys binary, uses binary"
 REPLY = "block long, bucket long, sums binary, tokens long, kinds long"
@@ -76,28 +81,67 @@ def bucket_of(keys: np.ndarray, buckets: int) -> np.ndarray:
 def ask(buckets: int):
     """Distinct n-grams of a block in order, cut by bucket, with their uses in training documents."""
 
-    def run(key: tuple, table: pa.Table) -> Iterator[pa.RecordBatch] | pa.Table:
+    def run(key: tuple, table: pa.Table) -> pa.Table:
         t = Tokens(Texts(table["text"].combine_chunks()))
         learn = np.repeat(~table["held_out"].to_numpy().astype(bool), t.counts)
         keys, place = np.unique(np.concatenate((t.single, t.double)), return_inverse=True)
         uses = np.bincount(place, weights=np.concatenate((learn, learn)), minlength=len(keys)).astype(np.uint32)
-        to = bucket_of(keys, buckets)
-        cuts = np.flatnonzero(np.append(True, to[1:] != to[:-1])).tolist() + [len(keys)]
-        rows: list[list] = [[], [], [], []]
-        for a, b in zip(cuts, cuts[1:]):
-            steps = np.diff(keys[a:b], prepend=U64(0))
-            for x, v in zip(rows, (int(to[a]), key[0].as_py(), press(steps), press(uses[a:b])), strict=True):
-                x.append(v)
-        return pa.table([pa.array(rows[0], pa.int64()), pa.array(rows[1], pa.int64()), pa.array(rows[2], pa.binary()), pa.array(rows[3], pa.binary())], names=[x.split()[0] for x in ASK.split(", ")])
+        return sliced(keys, uses, buckets, key[0].as_py())
 
     return run
 
 
-def add(key: tuple, table: pa.Table) -> pa.Table:
-    """Sums of uses over all blocks, as each block asked; and the bucket's training tokens and kinds, for block -1."""
+def sliced(keys: np.ndarray, uses: np.ndarray, buckets: int, block: int) -> pa.Table:
+    """Rows of ASK: sorted keys cut by bucket, with their uses."""
+    to = bucket_of(keys, buckets)
+    cuts = np.flatnonzero(np.append(True, to[1:] != to[:-1])).tolist() + [len(keys)] if len(keys) else [0]
+    rows = [(int(to[a]), block, press(np.diff(keys[a:b], prepend=U64(0))), press(uses[a:b])) for a, b in zip(cuts, cuts[1:])]
+    kinds = [pa.int64(), pa.int64(), pa.binary(), pa.binary()]
+    return pa.table([pa.array([r[j] for r in rows], t) for j, t in enumerate(kinds)], names=[x.split()[0] for x in ASK.split(", ")])
+
+
+def added(table: pa.Table) -> tuple[list[np.ndarray], np.ndarray, np.ndarray, np.ndarray]:
+    """The keys of each row of ASK; the distinct ones in order, the place of each asked key among them, and their uses added up."""
     asked = [np.cumsum(unpress(x, "<u8"), dtype=U64) for x in table["keys"].to_pylist()]
     keys, place = np.unique(np.concatenate(asked), return_inverse=True)
-    total = np.bincount(place, weights=np.concatenate([unpress(x, "<u4") for x in table["uses"].to_pylist()]), minlength=len(keys)).astype("<u8")
+    total = np.bincount(place, weights=np.concatenate([unpress(x, table_kind(table)) for x in table["uses"].to_pylist()]), minlength=len(keys)).astype("<u8")
+    return asked, keys, place, total
+
+
+def table_kind(table: pa.Table) -> str:
+    """Uses of blocks have four bytes, those of groups eight."""
+    return "<u8" if "group" in table.column_names else "<u4"
+
+
+def ask_for_group(buckets: int):
+    """What the blocks of a group ask in a slice of the keys, asked by the group of finer buckets."""
+
+    def run(key: tuple, table: pa.Table) -> pa.Table:
+        _, keys, _, total = added(table)
+        rows = sliced(keys, total, buckets, key[1].as_py())
+        return rows.append_column("group", rows["block"])
+
+    return run
+
+
+def pass_on(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
+    """The sums of a slice, from the finer buckets to the blocks of a group as each asked."""
+    names, kinds = [x.split()[0] for x in REPLY.split(", ")], [pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64()]
+    if not left.num_rows:
+        return pa.schema(list(zip(names, kinds, strict=True))).empty_table()
+    asked, keys, place, _ = added(left)
+    replies = sorted(right.select(["bucket", "sums"]).to_pylist(), key=lambda r: r["bucket"])
+    sums = np.concatenate([unpress(r["sums"], "<u8") for r in replies])
+    assert len(sums) == len(keys), "a group's blocks differ from those it asked for"
+    off = np.append(0, np.cumsum([len(x) for x in asked]))
+    n = len(asked)
+    columns = [left["block"].to_pylist(), [key[0].as_py()] * n, [press(sums[place[a:b]]) for a, b in zip(off, off[1:])], [0] * n, [0] * n]
+    return pa.table([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=names)
+
+
+def add(key: tuple, table: pa.Table) -> pa.Table:
+    """Sums of uses over all blocks, as each block asked; and the bucket's training tokens and kinds, for block -1."""
+    asked, keys, place, total = added(table)
     single = total[(keys & U64(1)) == 0]
     off = np.append(0, np.cumsum([len(x) for x in asked]))
     bucket, n = key[0].as_py(), len(asked)
@@ -165,7 +209,7 @@ def block_scores(t: Tokens, sums: np.ndarray, keys: np.ndarray, place: np.ndarra
 SCHEMA = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 
 
-def answer(buckets: int, mu: float):
+def answer(mu: float):
     names = [x.split()[0] for x in SCHEMA.split(", ")]
 
     def run(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
@@ -199,12 +243,18 @@ def scores(docs: DataFrame, folds: int = 7, fold: int = 2, mu: float = PRIOR) ->
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     total, n = rows.agg(F.sum(F.coalesce(F.octet_length("text"), F.lit(0)) + 64), F.count("*")).first()
     blocks = max(1, math.ceil((total or 0) / BLOCK_BYTES))
-    buckets = max(partitions(spark), blocks)
     rows = rows.withColumn("held_out", remainder("doc_id", folds) == fold).withColumn("block", F.pmod(F.xxhash64("doc_id", text_key()), F.lit(blocks)))
-    asked = rows.groupBy("block").applyInArrow(ask(buckets), ASK)
-    replies = asked.groupBy("bucket").applyInArrow(add, REPLY)
+    if blocks <= FAN:
+        asked = rows.groupBy("block").applyInArrow(ask(min(FAN, max(partitions(spark), blocks))), ASK)
+        replies = asked.groupBy("bucket").applyInArrow(add, REPLY)
+        back = replies.filter("block >= 0")
+    else:
+        asked = rows.groupBy("block").applyInArrow(ask(FAN), ASK).withColumn("of", F.floor(F.col("block") / FAN))
+        groups = asked.groupBy("bucket", "of").applyInArrow(ask_for_group(FAN * FAN), ASK + ", group long")
+        replies = groups.groupBy("bucket").applyInArrow(add, REPLY)
+        sums = replies.filter("block >= 0").withColumn("slice", F.floor(F.col("bucket") / FAN))
+        back = asked.groupBy("bucket", "of").cogroup(sums.groupBy("slice", "block")).applyInArrow(pass_on, REPLY)
     whole = replies.filter("block = -1").agg(F.coalesce(F.sum("tokens"), F.lit(0)).alias("tokens"), F.coalesce(F.sum("kinds"), F.lit(0)).alias("kinds"))
     # one row with the totals for each block
     whole = whole.select(F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))).alias("block"), F.lit(-1).cast("long").alias("bucket"), F.lit(None).cast("binary").alias("sums"), "tokens", "kinds")
-    back = replies.filter("block >= 0").unionByName(whole)
-    return rows.groupBy("block").cogroup(back.groupBy("block")).applyInArrow(answer(buckets, mu), SCHEMA)
+    return rows.groupBy("block").cogroup(back.unionByName(whole).groupBy("block")).applyInArrow(answer(mu), SCHEMA)
