@@ -52,6 +52,21 @@ def test_quality_keeps_clean_rows_and_finds_odd_ones(spark, frame):
     assert sum(not got[i].kept for i in got if i % 20 == 0) >= 30
 
 
+def test_quality_finds_junk_of_one_kind(spark, frame):
+    rng = random.Random(2)
+    plain = lambda: " ".join("".join(rng.choice("abcdefgh") for _ in range(rng.randint(2, 8))) for _ in range(rng.randint(60, 90)))
+    junk = lambda: " ".join("".join(rng.choice("#$%1239&") for _ in range(14)) for _ in range(60))
+    rows = [(i, junk() if i % 10 == 0 else plain()) for i in range(400)]
+    labels = spark.createDataFrame([(i, int(i % 10 != 0), None) for i in range(200)] + [(None, 1, 1), (5, None, None)], "doc_id long, quality int, toxic int")
+    scored = quality.quality(frame(rows), labels)
+    got = {r.doc_id: r for r in scored.collect()}
+    assert sum(got[i].kept for i in got if i % 10) >= 354
+    assert sum(not got[i].kept for i in got if i % 10 == 0) >= 38
+    told = {r.quality: (r.n, r.rejected) for r in quality.unseen(scored, labels).collect()}
+    left = [i for i in range(200) if crc32(str(i).encode()) % quality.FOLDS == quality.FOLDS - 1]
+    assert told[0][0] == sum(i % 10 == 0 for i in left) and told[1][0] == sum(i % 10 != 0 for i in left)
+
+
 def test_quality_of_odd_rows_and_empty_tables(spark, odd, frame):
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     got = quality.quality(odd, none).collect()

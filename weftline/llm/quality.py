@@ -5,7 +5,8 @@ odd document is alone after few splits, so its mean path is short.  Trees are
 grown on samples of a fixed size, as the method has it; every document is
 scored.  The score from which a document goes is set on labelled rows: the one
 that catches most rows of quality 0 while at most `lost_good` of the rows of
-quality 1 go.  Without labels of both kinds the forest rejects nothing.
+quality 1 go.  Without labels of both kinds the forest rejects nothing.  One
+labelled row in FOLDS sets nothing: `unseen` tells what is caught there.
 """
 
 from __future__ import annotations
@@ -19,15 +20,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .blocks import U64, WORD, Texts, Words, byte_table, distinct, inside_rows, mix, roll, slices, span_hashes
+from .language import remainder
 from .tables import written
 
 SYMBOLS = byte_table(b"#*$%&|<>")
 _HEAD = np.arange(256) & 0xC0 != 0x80  # first bytes of code points
 _UPPER = byte_table(bytes(range(0x41, 0x5B)))
 _PUNCT = byte_table(bytes(b for b in range(0x21, 0x7F) if not chr(b).isalnum()))
-#: rows a tree is grown on, number of trees, score bins of the calibration: bounds of what the driver gets
-SAMPLE, TREES, BINS = 256, 128, 2048
-STATS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_upper", "n_punct", "n_distinct"]
+#: rows a tree is grown on, number of trees, rows that all trees draw from, score bins of the calibration: bounds of
+#: what the driver gets.  Small trees, so that odd rows that are like each other do not hide one another; the size was
+#: chosen among 8 to 256 on labelled rows with remainder 1, the threshold being set on those with remainder 0
+SAMPLE, TREES, DRAWN, BINS = 64, 256, 1 << 14, 2048
+#: labelled rows by crc32 of the doc_id; those with remainder FOLDS - 1 are left out of the calibration
+FOLDS = 3
+STATS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_upper", "n_punct", "n_distinct", "n_lines"]
 
 
 def per_row(values: np.ndarray, off: np.ndarray) -> np.ndarray:
@@ -82,6 +88,7 @@ def statistics(texts: Texts) -> dict[str, np.ndarray]:
         "n_upper": per_row(_UPPER[data], off),
         "n_punct": per_row(_PUNCT[data], off),
         "n_distinct": distinct_per_row(words.hash, row, rows),
+        "n_lines": n_lines,
     }
 
 
@@ -99,9 +106,9 @@ def rule_statistics(docs: DataFrame) -> DataFrame:
 
 
 def features(s: dict[str, np.ndarray]) -> np.ndarray:
-    """What the forest splits: shares, so that length does not decide; repeats have a base rule of their own."""
-    words, chars = np.maximum(s["n_words"], 1), np.maximum(s["word_chars"], 1)
-    return np.stack([s["word_chars"] / words, s["n_symbols"] / words, s["n_upper"] / chars, s["n_punct"] / chars, s["n_distinct"] / words**0.9], 1)
+    """What the forest splits: shares, so that length does not decide; repeats of words have a base rule of their own."""
+    words, chars, lines = np.maximum(s["n_words"], 1), np.maximum(s["word_chars"], 1), np.maximum(s["n_lines"], 1)
+    return np.stack([s["word_chars"] / words, s["n_symbols"] / words, s["n_upper"] / chars, s["n_punct"] / chars, s["n_distinct"] / words**0.9, s["n_dup_lines"] / lines], 1)
 
 
 def average_path(n: np.ndarray) -> np.ndarray:
@@ -193,7 +200,7 @@ def quality(docs: DataFrame, labels: DataFrame, lost_good: float = 0.005, trees:
     stats = written(rule_statistics(docs), "stats")
     # only rows that the base rules pass are the forest's: it looks for what those rules miss
     passed = stats.filter(~F.col("base_failed"))
-    rows = sample_rows(passed, SAMPLE * 64).select(*STATS).toPandas()
+    rows = sample_rows(passed, DRAWN).select(*STATS).toPandas()
     forest = Forest(features({c: rows[c].to_numpy(float) for c in STATS}), trees)
     model = docs.sparkSession.sparkContext.broadcast(forest)
 
@@ -205,7 +212,14 @@ def quality(docs: DataFrame, labels: DataFrame, lost_good: float = 0.005, trees:
     kinds = "doc_id long, " + ", ".join(f"{c} long" for c in STATS) + ", base_failed boolean"
     scored = stats.mapInArrow(run, kinds + ", anomaly double")
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("quality")).filter("doc_id is not null and quality in (0, 1)").groupBy("doc_id").agg(F.min("quality").alias("quality"))
-    marked = scored.filter(~F.col("base_failed")).join(known, "doc_id")
+    marked = scored.filter(~F.col("base_failed")).join(known, "doc_id").filter(remainder("doc_id", FOLDS) != FOLDS - 1)
     histogram = marked.groupBy("quality", F.floor(F.col("anomaly") * BINS).alias("bin")).count().collect()  # at most 2 * (BINS + 1) rows
     limit = threshold([tuple(r) for r in histogram], lost_good)
     return scored.withColumn("kept", ~F.col("base_failed") & (F.floor(F.col("anomaly") * BINS) < limit * BINS))
+
+
+def unseen(rows: DataFrame, labels: DataFrame) -> DataFrame:
+    """Of the labelled rows that the base rules pass and that set nothing: their number by quality, and how many the forest rejects."""
+    known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), "quality").filter("doc_id is not null and quality in (0, 1)")
+    marked = rows.filter(~F.col("base_failed")).join(known, "doc_id").filter(remainder("doc_id", FOLDS) == FOLDS - 1)
+    return marked.groupBy("quality").agg(F.count("*").alias("n"), F.count_if(~F.col("kept")).alias("rejected"))
