@@ -42,12 +42,12 @@ def shared_pairs(members: DataFrame, group: list[str], entity: str, cap: int | N
 def top_related(pairs: DataFrame, k: int, score: str = "score") -> DataFrame:
     """The k best b of each a, with the number of candidates before the cut.
 
-    The rank stands alone in its window, so rows beyond k go before the
-    exchange; candidates are counted apart.
+    Number and rank are read off one sort: the count runs over the rows of `a`
+    in the order of the ranks.
     """
-    rank = F.row_number().over(W.partitionBy("a").orderBy(F.desc(score), "b"))
-    best = pairs.withColumn("rank", rank).filter(F.col("rank") <= k)
-    return best.join(pairs.groupBy("a").agg(F.count("*").alias("candidates")), "a")
+    own = W.partitionBy("a").orderBy(F.desc(score), "b")
+    ranked = pairs.withColumn("rank", F.row_number().over(own)).withColumn("candidates", F.count("*").over(own.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)))
+    return ranked.filter(F.col("rank") <= k)
 
 
 def canonical(a: str, b: str) -> list[Column]:

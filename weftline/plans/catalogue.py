@@ -13,7 +13,7 @@ from weftline.operators import pairs as p
 from weftline.operators import records as rec
 from weftline.operators import temporal as t
 from weftline.operators import vectors as vec
-from weftline.plans import fields, links, more, texts
+from weftline.plans import fields, links, more, stores, texts
 from weftline.plans.oracles import ORACLES
 from weftline.sources.readers import table
 from weftline.streaming import streams
@@ -29,6 +29,8 @@ def query(f: Callable) -> Callable:
 
 #: names of signals in order; a signal's bit is its place
 SIGNALS = ["brand", "type"]
+#: bytes of a capped member in memory, and up to which all of them are broadcast
+PAIR_BYTES, BROADCAST_BYTES = 128, 64 << 20
 
 
 def part_members(q) -> DataFrame:
@@ -43,16 +45,21 @@ def signal_scores(q, cap: int = 500) -> DataFrame:
     """(a, b, score, bits) of parts that share a signal with one of the first `cap` members of its group.
 
     The capped side carries weight and bit of its group, so every pair is one
-    sum and one bit-or of numbers.  Pairs are dealt by `a` once: the sums and
-    the ranks that follow need no further exchange.
+    sum and one bit-or of numbers.  It has `cap` rows a group at most; where
+    that is known to be small it is broadcast, and members are dealt by entity
+    beforehand, so that pairs, sums and ranks need no exchange.  Beyond that
+    size pairs are joined by their groups and dealt by `a` once.
     """
     group = ["signal", "key"]
     members = part_members(q)
     weights = p.group_weights(members, group, "entity")
     bit = F.element_at(F.create_map(*(x for i, name in enumerate(SIGNALS) for x in (F.lit(name), F.lit(1 << i)))), F.col("signal"))
     others = p.capped(members, group, "entity", cap).join(weights, group).select(*group, F.col("entity").alias("b"), "weight", bit.alias("bit"))
-    pairs = members.withColumnRenamed("entity", "a").join(others, group).filter("a <> b").select("a", "b", "weight", "bit")
-    return pairs.repartition("a").groupBy("a", "b").agg(F.round(F.sum("weight"), 6).alias("score"), F.bit_or("bit").alias("bits"))
+    own = members.withColumnRenamed("entity", "a")
+    small = weights.count() * cap * PAIR_BYTES <= BROADCAST_BYTES
+    pairs = own.repartition("a").join(F.broadcast(others), group) if small else own.join(others, group).repartition("a")
+    pairs = pairs.filter("a <> b").select("a", "b", "weight", "bit")
+    return pairs.groupBy("a", "b").agg(F.round(F.sum("weight"), 6).alias("score"), F.bit_or("bit").alias("bits"))
 
 
 @query
@@ -650,7 +657,7 @@ def stream_latest_per_user(q):
     return streams.latest(q("events"))
 
 
-for _module in (more, fields, links, texts):
+for _module in (more, fields, links, texts, stores):
     for _f in _module.QUERIES:
         query(_f)
     ORACLES |= _module.ORACLES

@@ -35,6 +35,18 @@ def json_lines(spark: SparkSession, path: str, schema: StructType, limit: int |
     return rows.limit(limit) if limit is not None else rows
 
 
+def schema_of(ddl: str) -> StructType:
+    return StructType.fromDDL(ddl)
+
+
+def json_lines_of_arrays(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """Records of files with one JSON array a line; no rows where the files are missing."""
+    if not exists(spark, path):
+        return empty(spark, schema_of(schema))
+    rows = spark.read.text(path).select(F.from_json("value", f"array<struct<{', '.join(f'{f.name}:{f.dataType.simpleString()}' for f in schema_of(schema))}>>").alias("r"))
+    return rows.select(F.explode("r").alias("r")).select("r.*")
+
+
 def json_within(spark: SparkSession, path: str, keys: list[str], schema: StructType) -> DataFrame:
     """Records of an array that is wrapped in an object under the first of some keys that is there."""
     fields = ", ".join(f"`{k}` array<{schema.simpleString()}>" for k in keys)

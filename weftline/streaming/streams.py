@@ -6,12 +6,11 @@ there and returns its rows; queries use it to run streams to their end.
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from weftline.sources.folders import new_folder
+
 
 def as_stream(rows: DataFrame, ts: str = "ts") -> DataFrame:
     """The files of a table as a stream; its time column gets the type that watermarks ask for."""
@@ -23,14 +22,6 @@ def as_stream(rows: DataFrame, ts: str = "ts") -> DataFrame:
     return stream.withColumn(ts, F.col(ts).cast("timestamp"))
 
 
-def folder_of(spark) -> str:
-    """A new folder under `spark.checkpoint.dir`; a temporary one only where that is unset in local mode."""
-    own = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not own and not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
-    return (own or tempfile.mkdtemp(prefix="weftline-")).rstrip("/") + f"/stream-{uuid.uuid4().hex}"
-
-
 def drain(stream: DataFrame, mode: str = "append", folder: str | None = None) -> DataFrame:
     """Run a stream to the end of its input; rows of append mode go to a table, of others the last state is kept.
 
@@ -38,7 +29,7 @@ def drain(stream: DataFrame, mode: str = "append", folder: str | None = None) ->
     folder of its own, so a batch that is run again replaces its rows.
     """
     spark = stream.sparkSession
-    folder = folder or folder_of(spark)
+    folder = folder or new_folder(spark, "stream")
 
     def keep(batch: DataFrame, number: int) -> None:
         batch.write.mode("overwrite").parquet(f"{folder}/rows/" + (f"batch={number}" if mode == "append" else "last"))
