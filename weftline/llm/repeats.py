@@ -9,7 +9,7 @@ Consecutive windows with one minimiser form a super-k-mer, one string.
    are candidates.  2. Only candidate super-k-mers travel, packed, to the bucket
    of their minimiser.  3. A resolver there compares their windows exactly and
    tells which also start in a document with a smaller id.  4. Hits go back to
-   their documents, merged in the task that found them.
+   their documents, packed like what went out, and are merged there.
 
 Before each exchange a task reduces what it holds: of a minimiser or string that
 several of its documents have one goes on, so a passage that very many
@@ -269,55 +269,97 @@ def mark_minimisers(symbols: Callable[[Texts], Sequence], width: int, k: int, bu
     return run
 
 
-HITS = "ids binary, fps binary, sizes binary, found binary"
+HITS = "part long, ids binary, fps binary, sizes binary, found binary"
+
+
+class Hits:
+    """Documents, each with the bytes of its entries, of some rows of HITS or of the entries themselves; in order of documents."""
+
+    def __init__(self, ids: np.ndarray, fps: np.ndarray, size: np.ndarray, data: np.ndarray):
+        start = np.cumsum(size) - size
+        order = np.lexsort((fps, ids))
+        ids, fps, size = ids[order], fps[order], size[order]
+        first = np.flatnonzero(np.append(True, (ids[1:] != ids[:-1]) | (fps[1:] != fps[:-1]))) if len(ids) else np.zeros(0, np.int64)
+        self.ids, self.fps = ids[first], fps[first]
+        self.size = np.add.reduceat(size, first) if len(first) else size
+        self.data = data[ragged(size, start[order])]
+
+    @staticmethod
+    def of_rows(columns: dict[str, list]) -> Hits:
+        unpress = zstandard.ZstdDecompressor()
+        ids = np.concatenate([from_planes(x, "<i8") for x in columns["ids"]])
+        size = np.concatenate([from_planes(x, "<u4") for x in columns["sizes"]]).astype(np.int64)
+        data = np.frombuffer(b"".join(unpress.decompress(x) for x in columns["found"]), np.uint8)
+        return Hits(ids, np.frombuffer(b"".join(columns["fps"]), "<i8"), size, data)
+
+    def row(self, own: np.ndarray, part: int) -> list:
+        start = np.cumsum(self.size) - self.size
+        data = self.data[ragged(self.size[own], start[own])]
+        return [part, planes(self.ids[own].astype("<i8")), self.fps[own].astype("<i8").tobytes(), planes(self.size[own].astype("<u4")), zstandard.ZstdCompressor(level=1).compress(data.tobytes())]
+
+
+def hit_rows(rows: list[list]) -> list[pa.Array]:
+    kinds = [pa.int64()] + [pa.binary()] * 4
+    return [pa.array([r[j] for r in rows], t) for j, t in enumerate(kinds)]
+
+
+HIT_NAMES = [x.split()[0] for x in HITS.split(", ")]
 
 
 def hits_of(work: Callable[[pa.Table], tuple[np.ndarray, np.ndarray, np.ndarray]]):
-    """Task code: the hits of one bucket as one row, its documents in order, each with the bytes of its entries."""
+    """Task code: the hits of one bucket as one row."""
 
     def run(key: tuple, table: pa.Table) -> pa.Table:
         ids, fps, found = work(table)
-        order = np.lexsort((fps, ids))
-        ids, fps, found = ids[order], fps[order], np.ascontiguousarray(found[order])
-        first = np.flatnonzero(np.append(True, (ids[1:] != ids[:-1]) | (fps[1:] != fps[:-1]))) if len(ids) else np.zeros(0, np.int64)
-        size = np.diff(np.append(first, len(ids))) * (found[:1].nbytes if len(ids) else 0)
-        row = [planes(ids[first].astype("<i8")), fps[first].astype("<i8").tobytes(), planes(size.astype("<u4")), zstandard.ZstdCompressor(level=1).compress(found.tobytes())]
-        return pa.table([pa.array([x], pa.binary()) for x in row], names=[x.split()[0] for x in HITS.split(", ")])
+        found = np.ascontiguousarray(found)
+        hits = Hits(ids, fps, np.full(len(ids), found[:1].nbytes, np.int64), found.reshape(-1).view(np.uint8))
+        return pa.table(hit_rows([hits.row(np.arange(len(hits.ids)), 0)]), names=HIT_NAMES)
 
     return run
 
 
-def merged_hits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Hits of the buckets of a task, merged by document before they leave it."""
+def by_part(parts: int):
+    """Task code: the hits of the buckets of a task, put together and cut by parts of the documents."""
 
-    def merge(held: list) -> pa.RecordBatch:
-        ids, fps, size, data = (np.concatenate([x[j] for x in held]) for j in range(4))
-        start = np.cumsum(size) - size
-        order = np.lexsort((fps, ids))
-        ids, fps = ids[order], fps[order]
-        first = np.flatnonzero(np.append(True, (ids[1:] != ids[:-1]) | (fps[1:] != fps[:-1])))
-        off = np.append(0, np.cumsum(np.add.reduceat(size[order], first)))
-        found = data[ragged(size[order], start[order])]
-        texts = pa.Array.from_buffers(pa.binary(), len(first), [None, pa.py_buffer(off.astype(np.int32)), pa.py_buffer(found)])
-        return pa.RecordBatch.from_arrays([pa.array(ids[first]), pa.array(fps[first]), texts], schema=OWN)
-
-    held, n, unpress = [], 0, zstandard.ZstdDecompressor()
-    for batch in batches:
-        for ids, fps, size, found in zip(*(batch[c].to_pylist() for c in ("ids", "fps", "sizes", "found")), strict=True):
-            ids = from_planes(ids, "<i8")
-            if len(ids):
-                held.append((ids, np.frombuffer(fps, "<i8"), from_planes(size, "<u4").astype(np.int64), np.frombuffer(unpress.decompress(found), np.uint8)))
-                n += len(ids)
-            if n >= GATHER:
-                yield merge(held)
-                held, n = [], 0
-    if n:
-        yield merge(held)
+    def cut(held: dict[str, list]) -> pa.RecordBatch:
+        hits = Hits.of_rows(held)
+        to = (mix(hits.ids.view(U64) ^ mix(hits.fps.view(U64))) % U64(parts)).astype(np.int64)
+        by = np.argsort(to, kind="stable")
+        at, count = run_lengths(to[by])
+        return pa.RecordBatch.from_arrays(hit_rows([hits.row(by[a : a + n], int(to[by[a]])) for a, n in zip(at.tolist(), count.tolist(), strict=True)]), HIT_NAMES)
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[str, list] = {c: [] for c in HIT_NAMES}
+        for batch in batches:
+            for row in zip(*(batch[c].to_pylist() for c in HIT_NAMES), strict=True):
+                for c, x in zip(HIT_NAMES, row, strict=True):
+                    held[c].append(x)
+                if sum(map(len, held["fps"])) >= 8 * GATHER:
+                    yield cut(held)
+                    held = {c: [] for c in HIT_NAMES}
+        if held["fps"]:
+            yield cut(held)
 
-def found_in(rows: DataFrame, work: Callable[[pa.Table], tuple[np.ndarray, np.ndarray, np.ndarray]]) -> DataFrame:
-    """Hits of all buckets, one row per document and task, then gathered by document."""
-    return rows.groupBy("bucket").applyInArrow(hits_of(work), HITS).mapInArrow(merged_hits, "id0 long, fp long, found binary").groupBy("id0", "fp").agg(F.collect_list("found").alias("found"))
+    return run
+
+
+def by_document(key: tuple, table: pa.Table) -> pa.Table:
+    """The hits of each document of a part, as one row."""
+    hits = Hits.of_rows({c: table[c].to_pylist() for c in HIT_NAMES})
+    off = np.append(0, np.cumsum(hits.size))
+    found = pa.Array.from_buffers(pa.binary(), len(hits.ids), [None, pa.py_buffer(off.astype(np.int32)), pa.py_buffer(np.ascontiguousarray(hits.data))])
+    return pa.table([pa.array(hits.ids), pa.array(hits.fps), found], schema=OWN)
+
+
+def found_in(rows: DataFrame, work: Callable[[pa.Table], tuple[np.ndarray, np.ndarray, np.ndarray]], buckets: int) -> DataFrame:
+    """Hits of all buckets, one row per document.
+
+    They come out by bucket, travel packed by parts of the documents (eight
+    buckets' worth of text each), and are put together there.
+    """
+    parts = max(partitions(rows.sparkSession), -(-buckets // 8))
+    cut = rows.groupBy("bucket").applyInArrow(hits_of(work), HITS).mapInArrow(by_part(parts), HITS)
+    return cut.groupBy("part").applyInArrow(by_document, "id0 long, fp long, found binary").withColumn("found", F.array("found"))
 
 
 def candidates(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -437,9 +479,9 @@ def repeated(docs: DataFrame, symbols: Callable[[Texts], Sequence], resolver: Re
     copies = written(marks.join(firsts, "digest").filter("id0 > first").select("id0", "fp").distinct().withColumn("copy", F.lit(True)), "copies")
     once = texts.join(copies.hint("shuffle_hash"), ["id0", "fp"], "left_anti").select(*columns)
     minimisers = dealt(once.mapInArrow(mark_minimisers(symbols, width, k, buckets), PACKED), 1, buckets)
-    own = found_in(minimisers, candidates)
+    own = found_in(minimisers, candidates, buckets)
     found = texts.join(own.hint("shuffle_hash"), ["id0", "fp"]).select(*columns, "found")
     strings = dealt(found.mapInArrow(send_super_kmers(symbols, width, k, 2 * buckets), PACKED), 3, 2 * buckets)
-    hits = found_in(strings, resolve(symbols, resolver))
+    hits = found_in(strings, resolve(symbols, resolver), buckets)
     ends = hits.join(copies, ["id0", "fp"], "full")
     return texts.join(ends.hint("shuffle_hash"), ["id0", "fp"], "left").select("doc_id", "text", *carry, F.when(F.col("doc_id").isNotNull(), F.col("found")).alias("found"), F.coalesce("copy", F.lit(False)).alias("copy"))
