@@ -245,7 +245,7 @@ def generated_pairs(q) -> DataFrame:
     rows = standard_pairs(q).unionByName(confirmed_pairs(q)).unionByName(raw_pair_texts(q)).unionByName(negative_pairs(q))
     rows = rows.withColumn("head", F.substring("instruction", 1, 100))
     once = p.first_writer(rows, ["head"], ["layer", "key", "variant", "output"]).withColumn("h", F.md5(F.concat_ws("|", "layer", "key", F.col("variant").cast("string"))))
-    return once.orderBy("h", "layer", "key", "variant").limit(5000).select("layer", "key", "variant", "output")
+    return once.orderBy("h", "layer", "key", "variant", "output").limit(5000).select("layer", "key", "variant", "output")
 
 
 def positive_variants(q) -> DataFrame:
@@ -367,4 +367,4 @@ SELECT source_type, key, chunk_no, substring(sha1(source_type || '|' || key || '
     "calibration": f"WITH {RULES}, r AS (SELECT *, round(forward * 0.9::double + 0.02::double, 6) AS stated FROM rules), per AS (SELECT p_brand, round(avg(abs(stated - forward)), 6) AS error, round(avg(((stated > back) = (forward > back))::int), 6) AS direction FROM r GROUP BY 1), base AS (SELECT p_brand, round(avg(p_size) / 1000, 6) AS baseline FROM part GROUP BY 1) SELECT *, round(error - baseline, 6) AS delta FROM per LEFT JOIN base USING (p_brand)",
     "turns_without_faults": "SELECT conv_id, turn FROM (SELECT *, row_number() OVER (PARTITION BY sha256(text) ORDER BY conv_id, turn) AS first FROM conversations WHERE role = 'assistant') WHERE trim(coalesce(text, '')) <> '' AND length(text) >= 80 AND length(text) / 2.7 <= 4096 AND first = 1",
 }
-ORACLES["generated_pairs"] = "WITH u AS (" + " UNION ALL ".join(f"SELECT * FROM ({ORACLES[n]})" for n in ("standard_pairs", "confirmed_pairs", "raw_pair_texts", "negative_pairs")) + "), o AS (SELECT * FROM u QUALIFY row_number() OVER (PARTITION BY substring(instruction, 1, 100) ORDER BY layer, key, variant, output) = 1) SELECT layer, key, variant, output FROM o ORDER BY md5(layer || '|' || key || '|' || variant), layer, key, variant LIMIT 5000"
+ORACLES["generated_pairs"] = "WITH u AS (" + " UNION ALL ".join(f"SELECT * FROM ({ORACLES[n]})" for n in ("standard_pairs", "confirmed_pairs", "raw_pair_texts", "negative_pairs")) + "), o AS (SELECT * FROM u QUALIFY row_number() OVER (PARTITION BY substring(instruction, 1, 100) ORDER BY layer, key, variant, output) = 1) SELECT layer, key, variant, output FROM o ORDER BY md5(layer || '|' || key || '|' || variant), layer, key, variant, output LIMIT 5000"
