@@ -122,6 +122,10 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int, end_id: int, with_ids
 def pack(items: DataFrame, capacity: int, per_task: int = PIECES_PER_TASK, rounds: int = ROUNDS) -> DataFrame:
     """Put rows with a `length` of 1 to `capacity` into sequences.
 
+    Partitions whose number of bins lies above their bound exchange what is in
+    unfilled bins, `rounds` times at most; after the last round a partition may
+    keep its gap.  No row is lost by that, only some room.
+
     Adds sequence_id, offset, and of the partition that made the sequence
     `bins` and `bound`.  All other columns are kept.
     """
