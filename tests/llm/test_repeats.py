@@ -69,7 +69,6 @@ def cases(seed):
 @pytest.mark.parametrize(("seed", "fan"), [(1, 1024), (2, 3)])
 def test_bytes_against_brute_force(frame, seed, fan, monkeypatch):
     monkeypatch.setattr(repeats, "FLUSH", 200)
-    monkeypatch.setattr(repeats, "GATHER", 50)
     monkeypatch.setattr(repeats, "FAN", fan)  # of 3: 8 and 16 buckets take two and three exchanges
     rows = cases(seed)
     got = suffix_dedup.suffix_dedup(frame(rows).repartition(5)).collect()

@@ -38,8 +38,8 @@ from .tables import keyed, partitions, written
 
 #: bytes of text per bucket; entries that a task packs together; rows at most that it packs them into
 BUCKET_BYTES, FLUSH, FAN = 8 << 20, 400_000, 1024
-#: windows that a resolver is given at once; documents' hits that a task gathers before it passes them on
-TURN, GATHER = 400_000, 1_000_000
+#: windows that a resolver is given at once
+TURN = 400_000
 MANY = np.uint32(2**32 - 1)
 
 
@@ -306,39 +306,17 @@ def hit_rows(rows: list[list]) -> list[pa.Array]:
 HIT_NAMES = [x.split()[0] for x in HITS.split(", ")]
 
 
-def hits_of(work: Callable[[pa.Table], tuple[np.ndarray, np.ndarray, np.ndarray]]):
-    """Task code: the hits of one bucket as one row."""
+def hits_of(work: Callable[[pa.Table], tuple[np.ndarray, np.ndarray, np.ndarray]], parts: int):
+    """Task code: the hits of one bucket, cut by parts of the documents."""
 
     def run(key: tuple, table: pa.Table) -> pa.Table:
         ids, fps, found = work(table)
         found = np.ascontiguousarray(found)
         hits = Hits(ids, fps, np.full(len(ids), found[:1].nbytes, np.int64), found.reshape(-1).view(np.uint8))
-        return pa.table(hit_rows([hits.row(np.arange(len(hits.ids)), 0)]), names=HIT_NAMES)
-
-    return run
-
-
-def by_part(parts: int):
-    """Task code: the hits of the buckets of a task, put together and cut by parts of the documents."""
-
-    def cut(held: dict[str, list]) -> pa.RecordBatch:
-        hits = Hits.of_rows(held)
         to = (mix(hits.ids.view(U64) ^ mix(hits.fps.view(U64))) % U64(parts)).astype(np.int64)
         by = np.argsort(to, kind="stable")
         at, count = run_lengths(to[by])
-        return pa.RecordBatch.from_arrays(hit_rows([hits.row(by[a : a + n], int(to[by[a]])) for a, n in zip(at.tolist(), count.tolist(), strict=True)]), HIT_NAMES)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[str, list] = {c: [] for c in HIT_NAMES}
-        for batch in batches:
-            for row in zip(*(batch[c].to_pylist() for c in HIT_NAMES), strict=True):
-                for c, x in zip(HIT_NAMES, row, strict=True):
-                    held[c].append(x)
-                if sum(map(len, held["fps"])) >= 8 * GATHER:
-                    yield cut(held)
-                    held = {c: [] for c in HIT_NAMES}
-        if held["fps"]:
-            yield cut(held)
+        return pa.table(hit_rows([hits.row(by[a : a + n], int(to[by[a]])) for a, n in zip(at.tolist(), count.tolist(), strict=True)]), names=HIT_NAMES)
 
     return run
 
@@ -358,7 +336,7 @@ def found_in(rows: DataFrame, work: Callable[[pa.Table], tuple[np.ndarray, np.nd
     buckets' worth of text each), and are put together there.
     """
     parts = max(partitions(rows.sparkSession), -(-buckets // 8))
-    cut = rows.groupBy("bucket").applyInArrow(hits_of(work), HITS).mapInArrow(by_part(parts), HITS)
+    cut = rows.groupBy("bucket").applyInArrow(hits_of(work, parts), HITS)
     return cut.groupBy("part").applyInArrow(by_document, "id0 long, fp long, found binary").withColumn("found", F.array("found"))
 
 
