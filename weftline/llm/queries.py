@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, language, minhash, oracles, packing, quality, scoring, sharding, suffix_dedup, token_files, window_dedup
+from . import ball_tree, decontaminate, language, minhash, oracles, packing, prefix_trie, quality, scoring, sharding, simhash, suffix_dedup, token_files, window_dedup
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -54,5 +54,17 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "anomaly")
 
 
-QUERIES = {f.__name__: f for f in (op1_token_files, op2_minhash, op3_suffix_dedup, op4_language_id, op5_lm_scoring, op6_window_dedup, op7_best_fit_packing, op8_decontamination, op9_sharding, op10_quality_rules)}
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ball_tree.hard_negatives(table(spark, sf_dir, "embeddings"))
+
+
+def op12_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
+QUERIES = {f.__name__: f for f in (op1_token_files, op2_minhash, op3_suffix_dedup, op4_language_id, op5_lm_scoring, op6_window_dedup, op7_best_fit_packing, op8_decontamination, op9_sharding, op10_quality_rules, op11_hard_negatives, op12_simhash, op13_prefix_trie)}
 ORACLES: dict[str, str] = oracles.ORACLES
