@@ -13,7 +13,7 @@ from weftline.operators import pairs as p
 from weftline.operators import records as rec
 from weftline.operators import temporal as t
 from weftline.operators import vectors as vec
-from weftline.plans import fields, incremental, links, more, search, stores, texts
+from weftline.plans import changed, fields, incremental, links, more, nested, search, stores, texts
 from weftline.plans.oracles import ORACLES
 from weftline.sources.readers import table
 from weftline.streaming import streams
@@ -657,7 +657,7 @@ def stream_latest_per_user(q):
     return streams.latest(q("events"))
 
 
-for _module in (more, fields, links, texts, stores, incremental, search):
+for _module in (more, fields, links, texts, stores, incremental, search, nested, changed):
     for _f in _module.QUERIES:
         query(_f)
     ORACLES |= _module.ORACLES
