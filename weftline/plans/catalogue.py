@@ -13,7 +13,8 @@ from weftline.operators import pairs as p
 from weftline.operators import records as rec
 from weftline.operators import temporal as t
 from weftline.operators import vectors as vec
-from weftline.plans import changed, fields, incremental, links, more, nested, search, stores, texts
+from weftline.operators.sums import rank_within
+from weftline.plans import changed, evaluation, family, fields, incremental, layers, links, more, nested, search, stores, texts
 from weftline.plans.oracles import ORACLES
 from weftline.sources.readers import table
 from weftline.streaming import streams
@@ -75,7 +76,8 @@ def idf_weights(q):
 
 @query
 def capped_group_members(q):
-    return group_members_reference_caps(q)
+    """The first ten members of each group."""
+    return p.capped(part_members(q), ["signal", "key"], "entity", 10)
 
 
 @query
@@ -85,13 +87,14 @@ def recency_decay(q):
 
 @query
 def supplier_bridge_pairs(q):
-    return bridge_pairs(q, 400)
+    return bridge_pairs(q, 30)
 
 
 @query
 def group_members_reference_caps(q):
     """The reference's caps of a product's and of a category's members."""
-    return p.capped(part_members(q), ["signal", "key"], "entity", F.when(F.col("signal") == "brand", 500).otherwise(700))
+    rows = part_members(q)
+    return p.capped(rows.filter("signal = 'brand'"), ["signal", "key"], "entity", 500).unionByName(p.capped(rows.filter("signal = 'type'"), ["signal", "key"], "entity", 700))
 
 
 def bridge_pairs(q, cap: int) -> DataFrame:
@@ -157,7 +160,7 @@ def pairs_per_group(q, members: int, limit: int) -> DataFrame:
 
 @query
 def capped_pairs_per_group(q):
-    return pairs_per_group(q, 20, 600_000)
+    return pairs_per_group(q, 8, 500)
 
 
 @query
@@ -429,13 +432,15 @@ def boundary_chunks(q):
 
 @query
 def group_consecutive(q):
-    rows = rec.consecutive_groups(q("documents").select("doc_id", "source", "n_chars"), "source", "doc_id", 10)
+    """Ten consecutive documents of a source make a group; ranks are made in ranges of ids, so no task has a whole source."""
+    rows = rank_within(q("documents").select("doc_id", "source", "n_chars"), "source", "doc_id", []).withColumn("group_no", F.floor(F.col("rank") / 10))
     return rows.groupBy("source", "group_no").agg(F.count("*").alias("n"), F.sum("n_chars").alias("chars"), F.min("doc_id").alias("first_doc"))
 
 
 @query
 def source_quota(q):
-    return rec.quota(q("documents"), "source", ["doc_id"], 150_000).select("doc_id", "source")
+    """The first 40 documents of each source; ranks are made in ranges of ids."""
+    return rank_within(q("documents").select("doc_id", "source"), "source", "doc_id", []).filter("rank < 40").select("doc_id", "source")
 
 
 @query
@@ -515,12 +520,16 @@ def quality_filter(q):
 
 @query
 def dedup_prefix(q):
-    return dedup_instruction_output(q)
+    """The first turn of each instruction[:8]."""
+    rows = turns(q).select("conv_id", "turn", head("instruction", 8).alias("asked"))
+    return p.first_writer(rows, ["asked"], ["conv_id", "turn"]).select("conv_id", "turn")
 
 
 @query
 def cap_per_output(q):
-    return cap_per_output_300(q)
+    """One turn at most of each output[:4]."""
+    rows = turns(q).select("conv_id", "turn", head("output", 4).alias("said"))
+    return rec.quota(rows, "said", ["conv_id", "turn"], 1).select("conv_id", "turn")
 
 
 def head(column: str, n: int) -> Column:
@@ -657,7 +666,7 @@ def stream_latest_per_user(q):
     return streams.latest(q("events"))
 
 
-for _module in (more, fields, links, texts, stores, incremental, search, nested, changed):
+for _module in (more, fields, links, texts, stores, incremental, search, nested, changed, family, layers, evaluation):
     for _f in _module.QUERIES:
         query(_f)
     ORACLES |= _module.ORACLES

@@ -106,11 +106,14 @@ def either_endpoint(q) -> DataFrame:
 
 
 def nested_pairs_per_id(q) -> DataFrame:
-    """For every part of an order the order's pairs that hold it, gathered over orders."""
-    orders = q("lineitem").groupBy("l_orderkey").agg(F.array_sort(F.collect_set("l_partkey")).alias("ids")).filter("size(ids) between 2 and 6")
-    pairs = F.expr("flatten(transform(ids, (x, i) -> transform(slice(ids, i + 2, size(ids)), y -> struct(x as a, y as b))))")
-    one = orders.select("l_orderkey", pairs.alias("pairs"), F.explode("ids").alias("id")).select("id", F.filter("pairs", lambda x: (x["a"] == F.col("id")) | (x["b"] == F.col("id"))).alias("own"))
-    return one.groupBy("id").agg(F.size(F.flatten(F.collect_list("own"))).alias("n_pairs"), F.array_max(F.flatten(F.collect_list(F.transform("own", lambda x: x["b"])))).alias("last_b"), F.count("*").alias("n_orders"))
+    """For every part the pairs that hold it, gathered over orders of any size: their number, the last partner, and the orders.
+
+    Orders are joined with themselves, so no order is held in one row, and pairs are summed before they are dealt by part.
+    """
+    own = q("lineitem").select("l_orderkey", F.col("l_partkey").alias("id")).distinct()
+    pairs = own.join(own.withColumnRenamed("id", "other"), "l_orderkey").filter("id <> other")
+    per = pairs.groupBy("id", "l_orderkey").agg(F.count("*").alias("n"), F.max(F.greatest("id", "other")).alias("b"))
+    return per.groupBy("id").agg(F.sum("n").cast("int").alias("n_pairs"), F.max("b").alias("last_b"), F.count("*").alias("n_orders"))
 
 
 def kb_sample(q) -> DataFrame:
@@ -245,7 +248,7 @@ SELECT 'x--' || t.event_id AS id, t.event_type AS name, coalesce({LIST.format('m
     "edge_dump": "WITH e AS (SELECT l_suppkey AS a, l_partkey AS b, 'supplies' AS rel, max(round(l_discount, 2)) AS score FROM lineitem GROUP BY 1, 2, 3 UNION ALL SELECT o_custkey, o_orderkey, 'ordered', round(o_totalprice / 1e6, 2) FROM orders) SELECT * FROM e ORDER BY score DESC, rel, a, b LIMIT 20000",
     "exploit_chain": "WITH s AS (SELECT user_id, event_id AS src, lead(event_id) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS dst, round(value, 4) AS score FROM events) SELECT * FROM s WHERE dst IS NOT NULL AND user_id = 8 ORDER BY score DESC, src LIMIT 20",
     "either_endpoint": """SELECT CASE WHEN e = 'target' THEN l_partkey ELSE l_suppkey END AS peer, e AS "end", round(max(l_discount), 2) AS likelihood FROM lineitem, (VALUES ('target'), ('source')) v(e) WHERE (e = 'target' AND l_suppkey = 7) OR (e = 'source' AND l_partkey = 7) GROUP BY 1, 2""",
-    "nested_pairs_per_id": "WITH d AS (SELECT DISTINCT l_orderkey, l_partkey FROM lineitem), k AS (SELECT l_orderkey FROM d GROUP BY 1 HAVING count(*) BETWEEN 2 AND 6), m AS (SELECT * FROM d SEMI JOIN k USING (l_orderkey)), j AS (SELECT x.l_orderkey, x.l_partkey AS id, greatest(x.l_partkey, y.l_partkey) AS b FROM m x JOIN m y ON x.l_orderkey = y.l_orderkey AND x.l_partkey <> y.l_partkey) SELECT id, count(*)::int AS n_pairs, max(b) AS last_b, count(DISTINCT l_orderkey) AS n_orders FROM j GROUP BY 1",
+    "nested_pairs_per_id": "WITH d AS (SELECT DISTINCT l_orderkey, l_partkey FROM lineitem), k AS (SELECT l_orderkey FROM d GROUP BY 1 HAVING count(*) >= 2), m AS (SELECT * FROM d SEMI JOIN k USING (l_orderkey)), j AS (SELECT x.l_orderkey, x.l_partkey AS id, greatest(x.l_partkey, y.l_partkey) AS b FROM m x JOIN m y ON x.l_orderkey = y.l_orderkey AND x.l_partkey <> y.l_partkey) SELECT id, count(*)::int AS n_pairs, max(b) AS last_b, count(DISTINCT l_orderkey) AS n_orders FROM j GROUP BY 1",
     "kb_sample": "SELECT p_brand, p_partkey FROM part WHERE p_brand LIKE 'Brand#1%' QUALIFY row_number() OVER (PARTITION BY p_brand ORDER BY md5(p_partkey::varchar), p_partkey) <= 25",
     "tied_sets": f"SELECT c_custkey, {LIST.format('o_orderpriority')} AS tied FROM customer JOIN orders ON o_custkey = c_custkey WHERE list_contains(CASE WHEN c_mktsegment = 'MACHINERY' THEN ['1-URGENT', '2-HIGH'] ELSE ['5-LOW'] END, o_orderpriority) GROUP BY 1",
     "profiles_containing": "WITH d AS (SELECT DISTINCT l_orderkey, l_partkey FROM lineitem), r AS (SELECT *, (row_number() OVER (PARTITION BY l_orderkey ORDER BY l_partkey) - 1)::int AS position, (count(*) OVER (PARTITION BY l_orderkey))::int AS n FROM d) SELECT l_orderkey, position, n FROM r WHERE l_partkey = 7",

@@ -37,9 +37,9 @@ capped AS (SELECT * FROM members QUALIFY row_number() OVER (PARTITION BY signal,
 scored AS (SELECT m.entity AS a, c.entity AS b, round(sum(weight), 6) AS score, string_agg(DISTINCT m.signal, ',' ORDER BY m.signal) AS signals FROM members m JOIN capped c USING (signal, key) JOIN weights USING (signal, key) WHERE m.entity <> c.entity GROUP BY 1, 2)
 SELECT a, b, score, signals, count(*) OVER (PARTITION BY a) AS candidates, row_number() OVER (PARTITION BY a ORDER BY score DESC, b) AS rank FROM scored QUALIFY rank <= 20""",
     "idf_weights": f"WITH {MEMBERS}, {WEIGHTS} SELECT signal, key, n, round(weight, 6) AS weight FROM weights",
-    "capped_group_members": f"WITH {MEMBERS} SELECT * FROM members QUALIFY row_number() OVER (PARTITION BY signal, key ORDER BY entity) <= CASE WHEN signal = 'brand' THEN 500 ELSE 700 END",
+    "capped_group_members": f"WITH {MEMBERS} SELECT * FROM members QUALIFY row_number() OVER (PARTITION BY signal, key ORDER BY entity) <= 10",
     "recency_decay": "SELECT o_orderkey, CASE WHEN 2000 - year(o_orderdate) <= 1 THEN 1.0::double WHEN 2000 - year(o_orderdate) <= 3 THEN 0.85::double WHEN 2000 - year(o_orderdate) <= 5 THEN 0.65::double ELSE 0.5::double END AS decay FROM orders",
-    "supplier_bridge_pairs": """WITH used AS (SELECT DISTINCT l_suppkey, l_partkey FROM lineitem), c AS (SELECT * FROM used QUALIFY row_number() OVER (PARTITION BY l_suppkey ORDER BY l_partkey) <= 400)
+    "supplier_bridge_pairs": """WITH used AS (SELECT DISTINCT l_suppkey, l_partkey FROM lineitem), c AS (SELECT * FROM used QUALIFY row_number() OVER (PARTITION BY l_suppkey ORDER BY l_partkey) <= 30)
 SELECT x.l_partkey AS a, y.l_partkey AS b, count(DISTINCT l_suppkey) AS n_suppliers FROM c x JOIN c y USING (l_suppkey) WHERE x.l_partkey < y.l_partkey GROUP BY 1, 2""",
     "group_members_reference_caps": f"WITH {MEMBERS} SELECT * FROM members QUALIFY row_number() OVER (PARTITION BY signal, key ORDER BY entity) <= CASE WHEN signal = 'brand' THEN 500 ELSE 700 END",
     "bridge_pairs_reference_cap": """WITH used AS (SELECT DISTINCT l_suppkey, l_partkey FROM lineitem), c AS (SELECT * FROM used QUALIFY row_number() OVER (PARTITION BY l_suppkey ORDER BY l_partkey) <= 400)
@@ -55,8 +55,8 @@ SELECT l_suppkey, x.l_partkey AS a, y.l_partkey AS b FROM used x JOIN used y USI
 SELECT a, b, co.n, round(co.n / x.n::double, 6) AS confidence, round(co.n * total / (x.n * y.n)::double, 6) AS lift FROM co JOIN single x ON x.l_partkey = a JOIN single y ON y.l_partkey = b, total""",
     "noisy_or_merge": f"WITH {SOURCES} SELECT a, b, CASE WHEN count(*) = 1 THEN max(confidence) ELSE round(least(1 - product(1 - confidence), 0.99::double), 3) END AS confidence, string_agg(DISTINCT source, ',' ORDER BY source) AS sources, count(*) AS n_rows FROM evidence GROUP BY 1, 2",
     "precedence_first_writer": f"WITH {SOURCES} SELECT a, b, source, round(least(1.0::double, confidence + CASE WHEN source = 'brand' THEN 0.1::double ELSE 0.0::double END), 3) AS confidence FROM evidence QUALIFY row_number() OVER (PARTITION BY a, b ORDER BY prio) = 1",
-    "capped_pairs_per_group": """WITH used AS (SELECT * FROM (SELECT DISTINCT l_suppkey, l_partkey FROM lineitem) QUALIFY row_number() OVER (PARTITION BY l_suppkey ORDER BY l_partkey) <= 20),
-sizes AS (SELECT l_suppkey, count(*) * (count(*) - 1) // 2 AS n FROM used GROUP BY 1), kept AS (SELECT l_suppkey FROM sizes QUALIFY sum(n) OVER (ORDER BY n DESC, l_suppkey ROWS UNBOUNDED PRECEDING) <= 600000)
+    "capped_pairs_per_group": """WITH used AS (SELECT * FROM (SELECT DISTINCT l_suppkey, l_partkey FROM lineitem) QUALIFY row_number() OVER (PARTITION BY l_suppkey ORDER BY l_partkey) <= 8),
+sizes AS (SELECT l_suppkey, count(*) * (count(*) - 1) // 2 AS n FROM used GROUP BY 1), kept AS (SELECT l_suppkey FROM sizes QUALIFY sum(n) OVER (ORDER BY n DESC, l_suppkey ROWS UNBOUNDED PRECEDING) <= 500)
 SELECT l_suppkey, x.l_partkey AS a, y.l_partkey AS b FROM used x JOIN used y USING (l_suppkey) JOIN kept USING (l_suppkey) WHERE x.l_partkey < y.l_partkey""",
     "chain_adjacent_lead": "SELECT o_custkey, o_orderkey, row_number() OVER w AS position, lead(o_orderkey) OVER w AS next_key, count(*) OVER (PARTITION BY o_custkey) AS length FROM orders WINDOW w AS (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey)",
     "iso_week_buckets": "SELECT isoyear(ts) || '-W' || lpad(week(ts)::varchar, 2, '0') AS week, count(*) AS n, count(DISTINCT user_id) AS users FROM events GROUP BY 1 HAVING count(*) >= 2",
@@ -105,7 +105,7 @@ SELECT key, likelihood, tier FROM three ORDER BY tier, likelihood DESC, key LIMI
     "text_clean": f"SELECT doc_id, md5({CLEAN}) AS clean_md5, length({CLEAN})::int AS n_clean FROM documents",
     "fixed_chunks": "WITH c AS (SELECT doc_id, text, unnest(range(0, greatest(length(text), 1), 780)) AS start FROM documents) SELECT doc_id, (start // 780)::int AS chunk_no, md5(substring(text, start::bigint + 1, 900)) AS chunk_md5 FROM c",
     "group_consecutive": "WITH r AS (SELECT *, (row_number() OVER (PARTITION BY source ORDER BY doc_id) - 1) // 10 AS group_no FROM documents) SELECT source, group_no, count(*) AS n, sum(n_chars)::bigint AS chars, min(doc_id) AS first_doc FROM r GROUP BY 1, 2",
-    "source_quota": "SELECT doc_id, source FROM documents QUALIFY row_number() OVER (PARTITION BY source ORDER BY doc_id) <= 150000",
+    "source_quota": "SELECT doc_id, source FROM documents QUALIFY row_number() OVER (PARTITION BY source ORDER BY doc_id) <= 40",
     "sha_id": "SELECT doc_id, substring(sha1(concat_ws('|', source, lang, text)), 1, 20) AS chunk_id FROM documents",
     "vector_topk": f"WITH {NEAREST} SELECT query, vec_id, cosine FROM near",
     "hybrid_fusion": f"WITH {FUSED} SELECT * FROM fused",
@@ -115,8 +115,8 @@ CASE WHEN count(*) FILTER (WHERE l_quantity > 44) % 2 = 0 THEN 'graph,vector' EL
 r AS (SELECT *, concat_ws(',', CASE WHEN inferred > direct THEN 'inferred_dominates' END, CASE WHEN overall < 0.45 THEN 'low_confidence' END, CASE WHEN sources = 'graph,vector' AND direct = 0 THEN 'sources_disagree' END, CASE WHEN kind = 'entity' AND direct < 2 AND top3 < 0.55 THEN 'weak_support' END) AS reasons FROM s) SELECT *, reasons <> '' AS required FROM r""",
     "template_pairs": "SELECT p_partkey, 'What is known about ' || p_name || '?' AS instruction, 'Brand ' || p_brand || ', type ' || p_type || ', price ' || round(p_retailprice, 0)::bigint::varchar || '.' AS output FROM part",
     "quality_filter": rf"WITH {TURNS} SELECT conv_id, turn FROM turns WHERE length(trim(output)) >= 80 AND output <> instruction AND NOT regexp_matches(output, '^[\sNA/.:-]*$')",
-    "dedup_prefix": f"WITH {TURNS} SELECT conv_id, turn FROM turns QUALIFY row_number() OVER (PARTITION BY substring(trim(instruction, {SPACE}), 1, 150), substring(trim(output, {SPACE}), 1, 200) ORDER BY conv_id, turn) = 1",
-    "cap_per_output": f"WITH {TURNS} SELECT conv_id, turn FROM turns QUALIFY row_number() OVER (PARTITION BY substring(trim(output, {SPACE}), 1, 300) ORDER BY conv_id, turn) <= 5",
+    "dedup_prefix": f"WITH {TURNS} SELECT conv_id, turn FROM turns QUALIFY row_number() OVER (PARTITION BY substring(trim(instruction, {SPACE}), 1, 8) ORDER BY conv_id, turn) = 1",
+    "cap_per_output": f"WITH {TURNS} SELECT conv_id, turn FROM turns QUALIFY row_number() OVER (PARTITION BY substring(trim(output, {SPACE}), 1, 4) ORDER BY conv_id, turn) <= 1",
     "dedup_instruction_output": f"WITH {TURNS} SELECT conv_id, turn FROM turns QUALIFY row_number() OVER (PARTITION BY substring(trim(instruction, {SPACE}), 1, 150), substring(trim(output, {SPACE}), 1, 200) ORDER BY conv_id, turn) = 1",
     "cap_per_output_300": f"WITH {TURNS} SELECT conv_id, turn FROM turns QUALIFY row_number() OVER (PARTITION BY substring(trim(output, {SPACE}), 1, 300) ORDER BY conv_id, turn) <= 5",
     "entity_split": "WITH s AS (SELECT conv_id, count(*) AS n FROM conversations GROUP BY 1), r AS (SELECT *, sum(n) OVER (ORDER BY md5(conv_id::varchar), conv_id ROWS UNBOUNDED PRECEDING) - n AS before, sum(n) OVER () AS total FROM s) SELECT conv_id, n, CASE WHEN before < total * 0.1::double THEN 'eval' ELSE 'train' END AS side FROM r",

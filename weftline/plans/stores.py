@@ -110,9 +110,27 @@ def stream_of_lines(q) -> DataFrame:
     return out.groupBy("user_id").agg(F.count("*").alias("n"), F.countDistinct("event_id").alias("distinct"))
 
 
-QUERIES = [json_array_scan, json_lines_scan, wrapped_json_scan, csv_codes_scan, xml_scan, vector_store, absent_appended, upserted, stale_tables, stream_of_lines]
+def ordered_fallback(q) -> DataFrame:
+    """Nations from the first of four places that has any: one is missing, one broken, one empty, and the last wraps them in an object."""
+    n = q("nation")
+    spark, rows = n.sparkSession, F.collect_list(F.struct("n_nationkey", "n_name"))
+    broken, none = (lines(spark.createDataFrame([(x,)], "value string"), "nations") for x in ('[{"n_nationkey": 1', "[]"))
+    good = lines(n.agg(F.to_json(F.struct(rows.alias("data"))).alias("value")), "nations")
+    return readers.first_of(spark, [new_folder(spark, "nations"), broken, none, good], ["items", "data"], readers.schema_of("n_nationkey long, n_name string"))
+
+
+def capped_lines_scan(q) -> DataFrame:
+    """The first fifty rows of JSON lines, in the order of the file."""
+    part = q("part").filter("p_partkey < 1000")
+    folder = lines(part.orderBy("p_partkey").coalesce(1).select(F.to_json(F.struct("p_partkey", "p_brand")).alias("value")), "lines")
+    return readers.json_lines(part.sparkSession, folder, "p_partkey long, p_brand string", 50)
+
+
+QUERIES = [ordered_fallback, capped_lines_scan, json_array_scan, json_lines_scan, wrapped_json_scan, csv_codes_scan, xml_scan, vector_store, absent_appended, upserted, stale_tables, stream_of_lines]
 
 ORACLES = {
+    "ordered_fallback": "SELECT n_nationkey::bigint AS n_nationkey, n_name FROM nation",
+    "capped_lines_scan": "SELECT p_partkey, p_brand FROM part WHERE p_partkey < 1000 ORDER BY p_partkey LIMIT 50",
     "json_array_scan": "SELECT s_suppkey, s_name FROM supplier",
     "json_lines_scan": "SELECT p_partkey, p_size, p_brand FROM part WHERE p_partkey % 100 <> 0",
     "wrapped_json_scan": "SELECT n_nationkey::bigint AS n_nationkey, n_name FROM nation",

@@ -54,6 +54,25 @@ def json_within(spark: SparkSession, path: str, keys: list[str], schema: StructT
     return rows.select(F.explode(F.coalesce(*keys)).alias("r")).select("r.*")
 
 
+def first_of(spark: SparkSession, paths: list[str], keys: list[str], schema: StructType) -> DataFrame:
+    """Records of the first path that is there and has any: one array, or an object that wraps one under one of some keys.
+
+    Paths that are missing, broken or empty are passed over; none left, no rows.
+    """
+    shape = f"array<{schema.simpleString()}>"
+    wrapped = f"struct<{', '.join(f'`{k}`:{shape}' for k in keys)}>"
+    for path in paths:
+        if not exists(spark, path):
+            continue
+        text = spark.read.text(path, wholetext=True)
+        inside = F.from_json("value", wrapped)
+        rows = text.select(F.explode(F.when(F.ltrim("value").startswith("["), F.from_json("value", shape)).otherwise(F.coalesce(*(inside[k] for k in keys)))).alias("r")).filter("r is not null").select("r.*")
+        rows = rows.dropna("all")
+        if not rows.isEmpty():
+            return rows
+    return empty(spark, schema)
+
+
 def csv(spark: SparkSession, path: str, schema: StructType, codes: str | None = None) -> DataFrame:
     """CSV with a header; a column of codes parted by semicolons becomes an array."""
     rows = spark.read.schema(schema).option("header", True).csv(path)
