@@ -271,3 +271,26 @@ def test_reference_caps_keep_what_small_caps_cut(spark, tmp_path):
     assert rows("bridge_pairs_reference_cap") == 300
     assert rows("source_quota_reference") == 8
     assert rows("group_members_reference_caps") == 1200
+
+
+@pytest.mark.parametrize("broadcast", [True, False])
+def test_pairs_of_several_signals_equal_a_sum_over_signals(spark, broadcast):
+    rng = random.Random(6)
+    rows = [(i, rng.choice(["x", "y", None]), rng.choice(["p", "q", "r"]), rng.choice(["k", None])) for i in range(60)]
+    df = spark.createDataFrame(rows, "e long, s string, t string, u string")
+    got = {(r.a, r.b): (r.score, r.bits) for r in p.scored_by_signals(df, "e", ["s", "t", "u"], 7, broadcast).collect()}
+    want = {}
+    for j in range(3):
+        groups = {}
+        for row in rows:
+            if row[1 + j] is not None:
+                groups.setdefault(row[1 + j], []).append(row[0])
+        for own in groups.values():
+            weight = 1.0 if len(own) <= 1 else max(0.1, min(1.0, np.log(60 / len(own)) / np.log(60)))
+            for a in own:
+                for b in own[:7]:
+                    if a != b:
+                        score, bits = want.get((a, b), (0.0, 0))
+                        want[a, b] = (score + weight, bits | 1 << j)
+    assert got.keys() == want.keys()
+    assert all(abs(got[k][0] - want[k][0]) < 1e-6 and got[k][1] == want[k][1] for k in want)

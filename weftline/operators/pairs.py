@@ -50,6 +50,37 @@ def top_related(pairs: DataFrame, k: int, score: str = "score") -> DataFrame:
     return ranked.filter(F.col("rank") <= k)
 
 
+def scored_by_signals(rows: DataFrame, entity: str, signals: list[str], cap: int, broadcast: bool) -> DataFrame:
+    """(a, b, score, bits) of entities that share a signal with one of the first `cap` members of its group; a signal's bit is its place.
+
+    Each signal is a column with one key an entity.  A pair comes from the first
+    signal under which it holds, and that row adds up the weights of all under
+    which it does: pairs need no aggregate, however many signals they share.
+    With `broadcast`, groups' capped members go to every task and pairs stay
+    where their `a` is; else both sides are dealt by key, and pairs by `a`.
+    """
+    full = rows.select(F.col(entity).alias("a"), *signals)
+    for i, name in enumerate(signals):
+        members = full.select(F.lit(name).alias("signal"), F.col(name).alias("key"), "a")
+        weight = group_weights(members, ["signal", "key"], "a").select(F.col("key").alias(name), F.col("weight").alias(f"w{i}"))
+        full = full.withColumn(f"in{i}", F.row_number().over(W.partitionBy(name).orderBy("a")) <= cap).join(weight, name, "left")
+    # a null key is shared with nothing; its weight is missing
+    own = full.select("a", *signals, *(f"w{i}" for i in range(len(signals))))
+    own = own.repartition("a") if broadcast else own
+    out = None
+    for i, name in enumerate(signals):
+        others = full.filter(F.col(f"in{i}")).select(F.col("a").alias("b"), *(F.col(s).alias("_" + s) for s in signals), *(F.col(f"in{j}").alias(f"_in{j}") for j in range(len(signals))))
+        pairs = own.join(F.broadcast(others) if broadcast else others, F.col(name) == F.col("_" + name)).filter("a <> b")
+        holds = [F.coalesce((F.col(s) == F.col("_" + s)) & F.col(f"_in{j}"), F.lit(False)) for j, s in enumerate(signals)]
+        for earlier in holds[:i]:
+            pairs = pairs.filter(~earlier)
+        score = sum((F.when(h, F.col(f"w{j}")).otherwise(0.0) for j, h in enumerate(holds)), F.lit(0.0))
+        bits = sum((F.when(h, 1 << j).otherwise(0) for j, h in enumerate(holds)), F.lit(0))
+        one = pairs.select("a", "b", F.round(score, 6).alias("score"), bits.alias("bits"))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
 def canonical(a: str, b: str) -> list[Column]:
     return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
 

@@ -45,22 +45,13 @@ def part_members(q) -> DataFrame:
 def signal_scores(q, cap: int = 500) -> DataFrame:
     """(a, b, score, bits) of parts that share a signal with one of the first `cap` members of its group.
 
-    The capped side carries weight and bit of its group, so every pair is one
-    sum and one bit-or of numbers.  It has `cap` rows a group at most; where
-    that is known to be small it is broadcast, and members are dealt by entity
-    beforehand, so that pairs, sums and ranks need no exchange.  Beyond that
-    size pairs are joined by their groups and dealt by `a` once.
+    Capped groups have `cap` rows each at most; where that is known to be small
+    they are broadcast, and members are dealt by entity beforehand, so that
+    pairs and ranks need no exchange.
     """
-    group = ["signal", "key"]
-    members = part_members(q)
-    weights = p.group_weights(members, group, "entity")
-    bit = F.element_at(F.create_map(*(x for i, name in enumerate(SIGNALS) for x in (F.lit(name), F.lit(1 << i)))), F.col("signal"))
-    others = p.capped(members, group, "entity", cap).join(weights, group).select(*group, F.col("entity").alias("b"), "weight", bit.alias("bit"))
-    own = members.withColumnRenamed("entity", "a")
-    small = weights.count() * cap * PAIR_BYTES <= BROADCAST_BYTES
-    pairs = own.repartition("a").join(F.broadcast(others), group) if small else own.join(others, group).repartition("a")
-    pairs = pairs.filter("a <> b").select("a", "b", "weight", "bit")
-    return pairs.groupBy("a", "b").agg(F.round(F.sum("weight"), 6).alias("score"), F.bit_or("bit").alias("bits"))
+    part = q("part").select("p_partkey", F.col("p_brand").alias("brand"), F.col("p_type").alias("type"))
+    groups = part.agg(*(F.countDistinct(s) for s in SIGNALS)).first()
+    return p.scored_by_signals(part, "p_partkey", SIGNALS, cap, sum(groups) * cap * PAIR_BYTES <= BROADCAST_BYTES)
 
 
 @query
