@@ -109,11 +109,11 @@ def brute_mixture(words, logs, penalised=True):
 
 def test_mixtures_against_brute_force():
     rng = np.random.default_rng(5)
-    logs = np.log(rng.dirichlet(np.full(language.FEATURES, 0.05), 6).T + 1e-9).astype(np.float32)
+    logs = np.log(rng.dirichlet(np.full(1 << language.BITS, 0.05), 6).T + 1e-9).astype(np.float32)
     alphabets = ["abcd", "efgh", "ijkl", "mnop", "qrst", "uvwx"]
     for k, letters in enumerate(alphabets):  # words of a language's letters are likely in it
         probe = Words(Texts(pa.array([" ".join(a + b + c for a in letters for b in letters for c in letters)])), language.LETTERS, lower=True)
-        logs[language.word_trigrams(probe, np.arange(len(probe)))[1], k] = np.log(0.02)
+        logs[language.word_trigrams(probe, np.arange(len(probe)), language.BITS)[1], k] = np.log(0.02)
     pick = random.Random(6)
     word = lambda k: "".join(pick.choice(alphabets[k]) for _ in range(4))
     texts = [" ".join(word(pick.choice(mix)) for _ in range(n)) for mix in ([0], [1, 2], [0, 3, 5], [0, 1, 2, 3, 4], [2, 2, 2, 4]) for n in (1, 40, 200)] + ["long " * 60_000]
@@ -122,7 +122,7 @@ def test_mixtures_against_brute_force():
     sizes = set()
     for i, t in enumerate(texts[:-1]):
         own = Words(Texts(pa.array([t])), language.LETTERS, lower=True)
-        number, feature = language.word_trigrams(own, np.arange(len(own)))
+        number, feature = language.word_trigrams(own, np.arange(len(own)), language.BITS)
         known = np.array([logs[feature[number == j]].astype(float).sum(0) for j in range(len(own))])
         want, share, size = brute_mixture(np.exp(known - known.max(1, keepdims=True)), 6)
         sizes.add(size)
@@ -167,3 +167,16 @@ def test_language_without_rows_or_labels(spark):
     kind = "doc_id long, text string, lang string"
     assert language.identify(spark.createDataFrame([], kind)).count() == 0
     assert [r.lang_pred for r in language.identify(spark.createDataFrame([(1, "a b", None)], kind)).collect()] == ["und"]
+
+
+def test_hundreds_of_languages_share_a_table_of_the_same_size(spark):
+    """300 languages, each with words of its own: all are learned, none is refused, and held-out rows are told."""
+    rng = np.random.default_rng(7)
+    letters = np.array(list("abcdefghijklmnopqrstuvwxyz"))
+    lexicon = [["".join(rng.choice(letters, rng.integers(4, 8))) for _ in range(12)] for _ in range(300)]
+    rows = [(i, " ".join(rng.choice(lexicon[i % 300], 30)), f"l{i % 300}") for i in range(3000)]
+    out = {r.doc_id: r for r in language.identify(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()}
+    held = [(i, lang) for i, _, lang in rows if out[i].held_out]
+    assert sum(out[i].lang_pred == lang for i, lang in held) >= 0.95 * len(held) and len({out[i].lang_pred for i, _ in held}) > 200
+    assert language.bits_for(4) == language.bits_for(256) == 16 and language.bits_for(300) == 15
+    assert all((1 << language.bits_for(n)) * n <= language.ENTRIES for n in (257, 1000, language.MOST_LANGUAGES))

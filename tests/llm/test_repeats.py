@@ -143,3 +143,12 @@ def test_longest_previous_factors_against_brute_force():
                     m += 1
                 best = max(best, m)
             assert got[i] == best
+
+
+def test_carried_columns_may_have_any_name(spark):
+    names = ["found", "copy", "id0", "fp", "n_bytes", "_carry0", "digest"]
+    rows = [(1, "x" * 80, *range(7)), (2, "y" + "x" * 80, *range(7, 14)), (3, None, *range(14, 21))]
+    df = spark.createDataFrame(rows, "doc_id long, text string, " + ", ".join(f"{n} int" for n in names))
+    got = {r.doc_id: r for r in suffix_dedup.suffix_dedup(df, with_text=True, carry=tuple(names)).collect()}
+    assert (got[2].n_removed, got[2].text, got[3].n_bytes) == (80, "y", 0)
+    assert [got[2]["carried_n_bytes" if n == "n_bytes" else n] for n in names] == list(range(7, 14))

@@ -21,8 +21,10 @@ from pyspark.sql import functions as F
 
 from .blocks import U64, Texts, Words, byte_table, mix, ragged, slices
 
-#: hashed trigrams; labelled documents of a language that are learned from, about; languages at most (bounds the broadcast)
-FEATURES, PER_LANGUAGE, MOST_LANGUAGES = 1 << 16, 20_000, 256
+#: bits of a hashed trigram at most; entries of the table of features by languages at most (bounds what is collected and broadcast)
+BITS, ENTRIES = 16, 1 << 24
+#: labelled documents of a language that are learned from, about; languages that are learned, the most frequent ones
+PER_LANGUAGE, MOST_LANGUAGES = 20_000, 1 << 16
 ITERATIONS, LEAST_SETS = 8, 3
 #: bytes of text that a task works on together, times languages: words by languages stay near the same number
 SLICE_BYTES = 32 << 20
@@ -34,7 +36,12 @@ def remainder(column: str, of: int) -> Column:
     return F.pmod(F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary")), F.lit(of))
 
 
-def word_trigrams(words: Words, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def bits_for(languages: int) -> int:
+    """Bits of features: BITS, or as many fewer as keep the table of all languages within ENTRIES."""
+    return min(BITS, (ENTRIES // max(languages, 1)).bit_length() - 1)
+
+
+def word_trigrams(words: Words, first: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
     """Hashed trigrams of the given words with a space on both sides: the number of the word, the feature."""
     start, size = words.start[first], words.end[first] - words.start[first]
     buffer = np.full(int(size.sum()) + len(first) + 2, 0x20, np.int64)
@@ -43,52 +50,51 @@ def word_trigrams(words: Words, first: np.ndarray) -> tuple[np.ndarray, np.ndarr
     number = np.repeat(np.arange(len(first)), size)
     middle = ragged(size, begin)
     code = buffer[middle - 1] | buffer[middle] << 8 | buffer[middle + 1] << 16
-    return number, (mix(code.astype(U64)) >> U64(64 - 16)).astype(np.int64)
+    return number, (mix(code.astype(U64)) >> U64(64 - bits)).astype(np.int64)
 
 
-def trigram_counts(docs: DataFrame) -> DataFrame:
-    """Counts of features by lang over whole texts."""
+def trigram_counts(docs: DataFrame, bits: int) -> DataFrame:
+    """Counts of features by language number (column k) over whole texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total: dict[str, np.ndarray] = {}
+        total: dict[int, np.ndarray] = {}
         for part in slices(batches):
             words = Words(Texts(part["text"]), LETTERS, lower=True)
             if not len(words):
                 continue
             code, first = words.distinct()
-            number, feature = word_trigrams(words, first)
-            langs = part["lang"].dictionary_encode()
-            lang = langs.indices.to_numpy()[words.row()]
-            for k, name in enumerate(langs.dictionary.to_pylist()):
+            number, feature = word_trigrams(words, first, bits)
+            lang = part["k"].to_numpy()[words.row()]
+            for k in np.unique(lang).tolist():
                 uses = np.bincount(code[lang == k], minlength=len(first))
-                total[name] = total.get(name, 0) + np.bincount(feature, weights=uses[number], minlength=FEATURES)
-        for name, counts in total.items():
+                total[k] = total.get(k, 0) + np.bincount(feature, weights=uses[number], minlength=1 << bits)
+        for k, counts in total.items():
             at = np.flatnonzero(counts)
-            yield pa.RecordBatch.from_arrays([pa.array([name] * len(at), pa.string()), pa.array(at), pa.array(counts[at])], ["lang", "feature", "n"])
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), k, np.int32)), pa.array(at.astype(np.int32)), pa.array(counts[at])], ["k", "feature", "n"])
 
-    return docs.select("text", "lang").mapInArrow(run, "lang string, feature long, n double").groupBy("lang", "feature").agg(F.sum("n").alias("n"))
+    return docs.select("text", "k").mapInArrow(run, "k int, feature int, n double").groupBy("k", "feature").agg(F.sum("n").alias("n"))
 
 
 def train(docs: DataFrame, per_language: int = PER_LANGUAGE) -> tuple[list[str], np.ndarray]:
-    """Languages and log-probabilities of features, from the rows given that have a lang and a text."""
+    """Languages and log-probabilities of features, from the rows given that have a lang and a text.
+
+    Of more than MOST_LANGUAGES values of lang the most frequent ones are
+    learned.  More than ENTRIES / 2^BITS languages share a table of the same
+    size, with fewer features each.
+    """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang")).filter("lang is not null and text is not null")
-    sizes = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MOST_LANGUAGES + 1).collect()}
-    if len(sizes) > MOST_LANGUAGES:
-        raise ValueError(f"more than {MOST_LANGUAGES} languages; raise MOST_LANGUAGES if tables of that size may be broadcast")
-    if not sizes:
-        return [], np.zeros((FEATURES, 0), np.float32)
-    share = F.lit(0.0)
-    for name, n in sizes.items():
-        share = F.when(F.col("lang") == name, F.lit(per_language / n)).otherwise(share)
+    sizes = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MOST_LANGUAGES).collect()}
+    names, bits = sorted(sizes), bits_for(len(sizes))
+    if not names:
+        return [], np.zeros((1 << bits, 0), np.float32)
+    known = docs.sparkSession.createDataFrame([(name, k, per_language / sizes[name]) for k, name in enumerate(names)], "lang string, k int, share double")
     place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / float(1 << 30)
-    names = sorted(sizes)
-    counts = np.zeros((FEATURES, len(names)))
-    # at most FEATURES * MOST_LANGUAGES rows
-    got = trigram_counts(rows.filter(place < share)).toArrow()
-    own = {name: i for i, name in enumerate(names)}
-    if got.num_rows:
-        counts[got["feature"].to_numpy(), [own[x] for x in got["lang"].to_pylist()]] = got["n"].to_numpy()
-    return names, np.log((counts + 0.5) / (counts.sum(0) + 0.5 * FEATURES)).astype(np.float32)
+    drawn = rows.join(F.broadcast(known), "lang").filter(place < F.col("share"))
+    # numbers only, and as many rows as the table has entries at most
+    got = trigram_counts(drawn, bits).toArrow()
+    counts = np.zeros((1 << bits, len(names)), np.float32)
+    counts[got["feature"].to_numpy(), got["k"].to_numpy()] = got["n"].to_numpy()
+    return names, np.log((counts + 0.5) / (counts.sum(0, dtype=np.float64) + 0.5 * len(counts))).astype(np.float32)
 
 
 def _sums(values: np.ndarray, off: np.ndarray) -> np.ndarray:
@@ -122,7 +128,7 @@ def mixtures(words: Words, logs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The leading language of each row and its share in the set of languages chosen."""
     rows, languages = len(words.off) - 1, logs.shape[1]
     code, first = words.distinct()
-    number, feature = word_trigrams(words, first)
+    number, feature = word_trigrams(words, first, len(logs).bit_length() - 1)
     known = np.add.reduceat(logs[feature], np.searchsorted(number, np.arange(len(first))), axis=0)
     known = np.exp(known - known.max(1, keepdims=True))  # a word's own factor does not change what is best
     # a word that a row has often is looked at once
@@ -160,7 +166,7 @@ def has_letter(texts: Texts, letters: np.ndarray) -> np.ndarray:
 
 def predict(docs: DataFrame, names: list[str], logs: np.ndarray, columns: list[str]) -> DataFrame:
     """Adds lang_pred and score to the given columns of every row; texts alone are looked at."""
-    model = docs.sparkSession.sparkContext.broadcast(logs)  # FEATURES * MOST_LANGUAGES floats at most
+    model = docs.sparkSession.sparkContext.broadcast(logs)  # ENTRIES floats at most
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, "text", SLICE_BYTES // max(len(names), 8)):

@@ -15,6 +15,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from .blocks import Texts, mix, slices
 from .repeats import Sequence, covered, repeated, run_lengths
@@ -104,10 +105,16 @@ def suffix_dedup(docs: DataFrame, width: int = WIDTH, kmer: int = KMER, with_tex
     neither smaller nor larger than any: its row takes no part and stays whole.
     Rows of one doc_id do not count as earlier than each other.  An empty table
     gives no rows.  `with_text` adds what is left as text; characters of which
-    only a part is left go.  `carry` names columns of docs that are returned too.
+    only a part is left go.  `carry` names columns of docs that are returned too, as
+    carried_<name> where a column of the result has the name.
     """
     kept_columns = [f for f in docs.schema if f.name in carry]
     names = [x.split()[0] for x in SCHEMA.split(", ")]
+    # on their way they have names that nothing else has
+    ways = {f.name: f"_carry{i}" for i, f in enumerate(kept_columns)}
+    taken = {*names, *(["text"] if with_text else [])}
+    returned = {f.name: f"carried_{f.name}" if f.name in taken else f.name for f in kept_columns}
+    docs = docs.select("doc_id", "text", *(F.col(f"`{old}`").alias(new) for old, new in ways.items()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches):
@@ -123,8 +130,8 @@ def suffix_dedup(docs: DataFrame, width: int = WIDTH, kmer: int = KMER, with_tex
                 for x, v in zip(out, (len(raw), removed, spans, hashlib.sha256(kept).hexdigest(), kept.decode("utf-8", "ignore") if with_text else None), strict=True):
                     x.append(v)
             columns = [part["doc_id"], *(pa.array(x, pa.int64()) for x in out[:3]), pa.array(out[3], pa.string())]
-            columns += [pa.array(out[4], pa.string())] * with_text + [part[f.name] for f in kept_columns]
-            yield pa.RecordBatch.from_arrays(columns, names + ["text"] * with_text + [f.name for f in kept_columns])
+            columns += [pa.array(out[4], pa.string())] * with_text + [part[ways[f.name]] for f in kept_columns]
+            yield pa.RecordBatch.from_arrays(columns, names + ["text"] * with_text + [returned[f.name] for f in kept_columns])
 
-    schema = SCHEMA + ", text string" * with_text + "".join(f", `{f.name}` {f.dataType.simpleString()}" for f in kept_columns)
-    return repeated(docs, byte_symbols, suffix_resolver(width), width, kmer, carry).mapInArrow(run, schema)
+    schema = SCHEMA + ", text string" * with_text + "".join(f", `{returned[f.name]}` {f.dataType.simpleString()}" for f in kept_columns)
+    return repeated(docs, byte_symbols, suffix_resolver(width), width, kmer, tuple(ways.values())).mapInArrow(run, schema)
