@@ -127,5 +127,6 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     least = joined.groupBy("component").agg(F.min("least").alias("component_id"))
     linked = joined.join(least, "component").select(F.col("fp").alias("node"), "component_id")
     known = classes.join(linked, F.col("fp") == F.col("node"), "left").select(F.col("fp").alias("own"), F.coalesce("component_id", "least").alias("component_id"))
-    out = prints.join(known, F.col("fp") == F.col("own"))
+    # one fingerprint may have most rows: both sides of the join are exchanges alone, so Spark can split it
+    out = prints.join(written(known, "known"), F.col("fp") == F.col("own"))
     return out.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
