@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .blocks import ALNUM, Texts, Words, ragged, slices
+from .blocks import ALNUM, Texts, Words, ragged, released, slices
 from .tables import written
 
 #: bytes of test texts of a block; pairs of a word and a place in an item that are looked at together
@@ -257,7 +257,7 @@ def block_pass(rows: DataFrame, tests: Tests) -> DataFrame:
             made = {"spans": spans, "items": items, "n_words": words.counts, "n_hit": n_hit, "longest_match": np.where(up, best, old), "longest_at": np.where(up, begin, old_at)}
             yield pa.RecordBatch.from_arrays([pa.array(made[c], kinds[c]) if c in made else part[c] for c in names], names)
 
-    return rows.mapInArrow(run, rows.schema)
+    return rows.mapInArrow(released(run), rows.schema)
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, width: int = 10, limit: int = TEST_BLOCK_BYTES, carry: tuple[str, ...] = ()) -> DataFrame:

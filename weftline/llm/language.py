@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .blocks import U64, Texts, Words, byte_table, mix, ragged, slices
+from .blocks import U64, Texts, Words, byte_table, mix, ragged, released, slices
 
 #: bits of a hashed trigram at most; entries of the table of features by languages at most (bounds what is collected and broadcast)
 BITS, ENTRIES = 16, 1 << 24
@@ -27,7 +27,7 @@ BITS, ENTRIES = 16, 1 << 24
 PER_LANGUAGE, MOST_LANGUAGES = 20_000, 1 << 16
 ITERATIONS, LEAST_SETS = 8, 3
 #: bytes of text that a task works on together, times languages: words by languages stay near the same number
-SLICE_BYTES = 32 << 20
+SLICE_BYTES = 16 << 20
 LETTERS = byte_table(bytes([*range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x80, 0x100)]))
 
 
@@ -72,7 +72,7 @@ def trigram_counts(docs: DataFrame, bits: int) -> DataFrame:
             at = np.flatnonzero(counts)
             yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), k, np.int32)), pa.array(at.astype(np.int32)), pa.array(counts[at])], ["k", "feature", "n"])
 
-    return docs.select("text", "k").mapInArrow(run, "k int, feature int, n double").groupBy("k", "feature").agg(F.sum("n").alias("n"))
+    return docs.select("text", "k").mapInArrow(released(run), "k int, feature int, n double").groupBy("k", "feature").agg(F.sum("n").alias("n"))
 
 
 def train(docs: DataFrame, per_language: int = PER_LANGUAGE) -> tuple[list[str], np.ndarray]:
@@ -180,7 +180,7 @@ def predict(docs: DataFrame, names: list[str], logs: np.ndarray, columns: list[s
             yield pa.RecordBatch.from_arrays([*(part[c] for c in columns), pa.array([names[k] if k >= 0 else "und" for k in pred], pa.string()), pa.array(score)], [*columns, "lang_pred", "score"])
 
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name in columns)
-    return docs.select(*dict.fromkeys([*columns, "text"])).mapInArrow(run, kinds + ", lang_pred string, score double")
+    return docs.select(*dict.fromkeys([*columns, "text"])).mapInArrow(released(run), kinds + ", lang_pred string, score double")
 
 
 def identify(docs: DataFrame, per_language: int = PER_LANGUAGE, folds: int = 5) -> DataFrame:

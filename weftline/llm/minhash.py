@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .blocks import U64, Texts, Words, distinct, inside_rows, mix, ragged, roll, slices
+from .blocks import U64, Texts, Words, distinct, inside_rows, mix, ragged, released, roll, slices
 from .components import components
 from .tables import keyed, written
 
@@ -158,7 +158,7 @@ def signatures(docs: DataFrame, size: int, bands: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "fp", "n_shingles", "s1", "s2", "bands", "sketch"])
 
     schema = "doc_id long, fp long, n_shingles long, s1 long, s2 long, bands array<bigint>, sketch binary"
-    return keyed(docs).select("doc_id", "fp", "text").mapInArrow(run, schema)
+    return keyed(docs).select("doc_id", "fp", "text").mapInArrow(released(run), schema)
 
 
 def search(first: np.ndarray, linked: Callable[[np.ndarray, np.ndarray], np.ndarray]) -> np.ndarray:
@@ -292,7 +292,7 @@ def candidate_links(classes: DataFrame, functions: int, percent: int) -> DataFra
 
     members = units(classes.select("c", F.explode("bands").alias("grp")), "grp", F.lit(1), BLOCK)
     rows = members.join(classes.select("c", "n_shingles", "sketch"), "c").select("grp", "unit", "c", "n_shingles", "sketch")
-    return rows.repartition("grp", "unit").sortWithinPartitions("grp", "unit", "c").mapInArrow(run, "u long, v long")
+    return rows.repartition("grp", "unit").sortWithinPartitions("grp", "unit", "c").mapInArrow(released(run), "u long, v long")
 
 
 def confirmed_links(docs: DataFrame, classes: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
@@ -310,7 +310,7 @@ def confirmed_links(docs: DataFrame, classes: DataFrame, groups: DataFrame, perc
     # rows equal in doc_id and text come out of the join next to each other: one of them stays
     texts = keyed(docs).filter("doc_id is not null").select("id0", "fp", "text").join(wanted, ["id0", "fp"]).groupBy("id0", "fp").agg(F.first("text").alias("text"), F.first("at").alias("at"))
     rows = texts.select("text", F.inline("at"))
-    return rows.select("grp", "unit", "node", "text").repartition("grp", "unit").sortWithinPartitions("grp", "unit", "node").mapInArrow(run, "u long, v long")
+    return rows.select("grp", "unit", "node", "text").repartition("grp", "unit").sortWithinPartitions("grp", "unit", "node").mapInArrow(released(run), "u long, v long")
 
 
 def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:

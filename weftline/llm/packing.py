@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .blocks import Texts, slices
+from .blocks import Texts, released, slices
 from .tables import dropped, written
 from .tokens import encoder, with_end
 
@@ -98,7 +98,7 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int, end_id: int, with_ids
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(tokenizer)
-        for part in slices(batches, limit=8 << 20):
+        for part in slices(batches, limit=2 << 20):
             ids, counts = with_end(*enc.encode(Texts(part["text"])), end_id)
             raw = memoryview(ids.astype("<u4").tobytes())
             row, piece, start, length, crc, own, at = [], [], [], [], [], [], 0
@@ -116,7 +116,7 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int, end_id: int, with_ids
             yield pa.RecordBatch.from_arrays(columns + ([pa.array(own, pa.binary())] if with_ids else []), names + ["ids"] * with_ids)
 
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return source.mapInArrow(run, PIECES + (", ids binary" if with_ids else ""))
+    return source.mapInArrow(released(run), PIECES + (", ids binary" if with_ids else ""))
 
 
 def pack(items: DataFrame, capacity: int, per_task: int = PIECES_PER_TASK, rounds: int = ROUNDS) -> DataFrame:

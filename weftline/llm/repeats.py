@@ -33,7 +33,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .blocks import U64, Texts, distinct, inside_rows, mix, ragged, roll, same_spans, slices, span_hashes
+from .blocks import U64, Texts, distinct, inside_rows, mix, ragged, released, roll, same_spans, slices, span_hashes
 from .tables import keyed, partitions, written
 
 #: bytes of text per bucket; entries that a task packs together; rows at most that it packs them into
@@ -216,7 +216,7 @@ def dealt(rows: DataFrame, width: int, buckets: int) -> DataFrame:
     spark = rows.sparkSession
     for span in spans[1:]:
         salt = F.pmod(F.xxhash64("counts", "keys"), F.lit(max(1, partitions(spark) // FAN)))
-        rows = rows.repartition("bucket", salt).sortWithinPartitions("bucket").mapInArrow(again(span), PACKED)
+        rows = rows.repartition("bucket", salt).sortWithinPartitions("bucket").mapInArrow(released(again(span)), PACKED)
     return rows
 
 
@@ -456,10 +456,10 @@ def repeated(docs: DataFrame, symbols: Callable[[Texts], Sequence], resolver: Re
     firsts = written(marks.groupBy("digest").agg(F.min("id0").alias("first"), F.max("id0").alias("last")).filter("first < last").select("digest", "first"), "copies")
     copies = written(marks.join(firsts, "digest").filter("id0 > first").select("id0", "fp").distinct().withColumn("copy", F.lit(True)), "copies")
     once = texts.join(copies.hint("shuffle_hash"), ["id0", "fp"], "left_anti").select(*columns)
-    minimisers = dealt(once.mapInArrow(mark_minimisers(symbols, width, k, buckets), PACKED), 1, buckets)
+    minimisers = dealt(once.mapInArrow(released(mark_minimisers(symbols, width, k, buckets)), PACKED), 1, buckets)
     own = found_in(minimisers, candidates, buckets)
     found = texts.join(own.hint("shuffle_hash"), ["id0", "fp"]).select(*columns, "found")
-    strings = dealt(found.mapInArrow(send_super_kmers(symbols, width, k, 2 * buckets), PACKED), 3, 2 * buckets)
+    strings = dealt(found.mapInArrow(released(send_super_kmers(symbols, width, k, 2 * buckets)), PACKED), 3, 2 * buckets)
     hits = found_in(strings, resolve(symbols, resolver), buckets)
     ends = hits.join(copies, ["id0", "fp"], "full")
     return texts.join(ends.hint("shuffle_hash"), ["id0", "fp"], "left").select("doc_id", "text", *carry, F.when(F.col("doc_id").isNotNull(), F.col("found")).alias("found"), F.coalesce("copy", F.lit(False)).alias("copy"))

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .blocks import Texts, mix, slices
+from .blocks import Texts, mix, released, slices
 from .repeats import Sequence, covered, repeated, run_lengths
 
 BYTE_VALUES = mix(np.arange(1, 257, dtype=np.uint64))
@@ -134,4 +134,4 @@ def suffix_dedup(docs: DataFrame, width: int = WIDTH, kmer: int = KMER, with_tex
             yield pa.RecordBatch.from_arrays(columns, names + ["text"] * with_text + [returned[f.name] for f in kept_columns])
 
     schema = SCHEMA + ", text string" * with_text + "".join(f", `{returned[f.name]}` {f.dataType.simpleString()}" for f in kept_columns)
-    return repeated(docs, byte_symbols, suffix_resolver(width), width, kmer, tuple(ways.values())).mapInArrow(run, schema)
+    return repeated(docs, byte_symbols, suffix_resolver(width), width, kmer, tuple(ways.values())).mapInArrow(released(run), schema)
