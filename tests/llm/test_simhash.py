@@ -6,7 +6,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from weftline.llm import simhash
+from weftline.llm import queries, simhash
 
 WHITE = re.compile(rb"[^\x20\x09-\x0d]+")
 
@@ -115,3 +115,9 @@ def test_links_grow_with_members_not_pairs(spark):
     prints = {sum(1 << b for b in rng.sample(range(0, 64, 2), 8)) for _ in range(n)}
     found = simhash.links(spark.createDataFrame([(p,) for p in prints], "fp long"))
     assert found.count() <= len(prints) * 66
+
+
+def test_the_query_equals_brute_force_over_whole_texts(spark):
+    folder = "/root/testdata/sf0.001"
+    rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text").collect()]
+    assert rows_of(queries.op12_simhash(spark, folder)) == least_reachable(rows)
