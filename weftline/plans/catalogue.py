@@ -14,7 +14,8 @@ from weftline.operators import records as rec
 from weftline.operators import temporal as t
 from weftline.operators import vectors as vec
 from weftline.operators.sums import rank_within
-from weftline.plans import changed, evaluation, family, fields, incremental, layers, links, more, nested, search, stores, texts
+from weftline.plans import answers, changed, evaluation, family, fields, incremental, layers, links, more, nested, search, stores, texts
+from weftline.plans.catalogue_parts import ALIKE_CAP, edges_from
 from weftline.plans.oracles import ORACLES
 from weftline.sources.readers import table
 from weftline.streaming import streams
@@ -288,26 +289,6 @@ def part_edges(q) -> DataFrame:
     return ordered.unionByName(alike.select("a", "b", F.lit("alike").alias("rel"), F.lit(0.4).alias("score")))
 
 
-#: members of a brand and size that others are linked with
-ALIKE_CAP = 500
-
-
-def edges_from(q, nodes: DataFrame, alike: bool = True) -> DataFrame:
-    """The edges of `part_edges` that leave some nodes (column node), without building any others."""
-    found = p.co_mentions_of(q("lineitem"), "l_orderkey", "l_partkey", nodes)
-    ordered = found.select("a", "b", F.lit("ordered").alias("rel"), (F.col("n") / (F.col("n") + 1)).alias("score"))
-    if not alike:
-        return ordered
-    # an edge has its greater end among the first members of the group
-    part = q("part").select("p_brand", "p_size", "p_partkey")
-    capped = p.capped(part, ["p_brand", "p_size"], "p_partkey", ALIKE_CAP).withColumn("_first", F.lit(True))
-    ranked = part.join(capped, ["p_brand", "p_size", "p_partkey"], "left")
-    own = ranked.join(nodes.select(F.col("node").alias("p_partkey")).distinct(), "p_partkey", "left_semi")
-    ends = ranked.select("p_brand", "p_size", F.col("p_partkey").alias("b"), F.col("_first").alias("_first_b"))
-    both = own.withColumnRenamed("p_partkey", "a").join(ends, ["p_brand", "p_size"]).filter("a <> b and if(a < b, _first_b, _first)")
-    return ordered.unionByName(both.select("a", "b", F.lit("alike").alias("rel"), F.lit(0.4).alias("score")))
-
-
 def node(q, key: int) -> DataFrame:
     return q("part").filter(F.col("p_partkey") == key).select(F.col("p_partkey").alias("node"))
 
@@ -657,7 +638,7 @@ def stream_latest_per_user(q):
     return streams.latest(q("events"))
 
 
-for _module in (more, fields, links, texts, stores, incremental, search, nested, changed, family, layers, evaluation):
+for _module in (more, fields, links, texts, stores, incremental, search, nested, changed, family, layers, evaluation, answers):
     for _f in _module.QUERIES:
         query(_f)
     ORACLES |= _module.ORACLES

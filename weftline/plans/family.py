@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from weftline.functions import text as tx
 from weftline.operators import pairs as p
+from weftline.operators.retrieval import entity_of
 from weftline.operators.sampling import uniform
 
 # sizes stand for weaknesses, spans of five sizes for clusters of them, types for categories
@@ -119,10 +120,7 @@ def asked_entities(q) -> DataFrame:
     given = F.when(F.col("page") % 5 == 0, F.lit(" Cwe "))
     given_id = F.when(F.col("page") % 5 == 0, F.concat(F.lit("cwe-"), F.col("page").cast("string"))).when(F.col("page") % 5 == 1, F.lit("lost"))
     text = F.when(F.col("page") % 5 == 2, F.regexp_replace("text", "(?i)cve", "none")).when(F.col("page") % 5 == 3, F.lit("no id at all")).otherwise(F.col("text"))
-    kind, own = F.lower(F.trim(given)), F.upper(F.trim(given_id))
-    cve, cwe = (F.upper(F.regexp_extract(text, NOTATIONS[n], 0)) for n in ("vulnerabilities", "weaknesses"))
-    ok = kind.isin("cve", "cwe") & (own != "")
-    found = F.when(ok, F.struct(kind.alias("type"), own.alias("id"))).when(cve != "", F.struct(F.lit("cve").alias("type"), cve.alias("id"))).when(cwe != "", F.struct(F.lit("cwe").alias("type"), cwe.alias("id"))).otherwise(F.struct(F.lit("unknown").alias("type"), F.lit("").alias("id")))
+    found = entity_of(text, given, given_id, NOTATIONS["vulnerabilities"], NOTATIONS["weaknesses"])
     return t.select("page", found.alias("x")).select("page", "x.*")
 
 
