@@ -62,3 +62,23 @@ def running_split(groups: DataFrame, key: str, n: str, share: float) -> DataFram
     h = F.md5(F.col(key).cast("string"))
     sums = with_total(running_before(groups, n, [F.substring(h, 1, 3)], [h, F.col(key)]), n)
     return sums.withColumn("side", F.when(F.col("before") < F.col("total") * share, "eval").otherwise("train")).drop("before", "total")
+
+
+def profile(rows: DataFrame, by: str, texts: list[str], measured: str, prefix: int = 120) -> DataFrame:
+    """Rows (section, name, n, value): groups with their percentage, lengths of one text column, empty texts, and rows that repeat the prefixes of others.
+
+    Nulls are empty texts of no letters.  One pass gives groups, lengths and
+    empty fields as partial sums, a second one groups by hashes of the prefixes.
+    """
+    text = {c: F.coalesce(F.col(c), F.lit("")) for c in texts}
+    size = F.length(text[measured])
+    per = rows.groupBy(F.col(by).alias("name")).agg(F.count("*").alias("n"), F.min(size).alias("least"), F.max(size).alias("most"), F.sum(size.cast("long")).alias("sum"), *(F.count_if(F.trim(text[c]) == "").alias("empty_" + c) for c in texts))
+    whole = per.agg(F.sum("n").alias("n"), F.min("least").alias("least"), F.max("most").alias("most"), (F.sum("sum") / F.sum("n")).alias("mean"), *(F.sum("empty_" + c).alias("empty_" + c) for c in texts)).filter("n > 0")
+    none = F.lit(None).cast("double")
+    line = lambda section, name, n, value: F.struct(F.lit(section).alias("section"), F.lit(name).alias("name"), n.cast("long").alias("n"), value.cast("double").alias("value"))
+    lengths = [line("length", c, F.col("n"), F.round(F.col(c), 4)) for c in ("least", "most", "mean")]
+    empties = [line("empty", c, F.col("empty_" + c), none) for c in texts]
+    shares_ = per.select(F.lit("layer").alias("section"), "name", "n", F.round(100 * F.col("n") / F.sum("n").over(W.partitionBy()), 4).alias("value"))
+    hashes = rows.groupBy(F.sha2(F.concat_ws("\x00", *(F.substring(x, 1, prefix) for x in text.values())), 256).alias("h")).agg(F.count("*").alias("c"))
+    repeated = hashes.agg(F.coalesce(F.sum(F.col("c") - 1), F.lit(0)).alias("n")).select(F.lit("repeated").alias("section"), F.lit("prefix").alias("name"), "n", none.alias("value"))
+    return shares_.unionByName(whole.select(F.inline(F.array(*lengths, *empties)))).unionByName(repeated)

@@ -14,7 +14,7 @@ from weftline.operators import records as rec
 from weftline.operators import temporal as t
 from weftline.operators import vectors as vec
 from weftline.operators.sums import rank_within
-from weftline.plans import answers, changed, evaluation, family, fields, incremental, layers, links, more, nested, search, stores, texts
+from weftline.plans import answers, changed, evaluation, family, fields, incremental, layers, links, more, nested, pages, search, stores, texts
 from weftline.plans.catalogue_parts import ALIKE_CAP, edges_from
 from weftline.plans.oracles import ORACLES
 from weftline.sources.readers import table
@@ -638,7 +638,7 @@ def stream_latest_per_user(q):
     return streams.latest(q("events"))
 
 
-for _module in (more, fields, links, texts, stores, incremental, search, nested, changed, family, layers, evaluation, answers):
+for _module in (more, fields, links, texts, stores, incremental, search, nested, changed, family, layers, evaluation, answers, pages):
     for _f in _module.QUERIES:
         query(_f)
     ORACLES |= _module.ORACLES
