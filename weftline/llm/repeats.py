@@ -174,23 +174,27 @@ def packed(entries: Entries, settled: np.ndarray, buckets: int, span: int) -> It
 
 
 def steps(buckets: int) -> list[int]:
-    """How many buckets make one bucket of each exchange, coarsest first; the last is 1."""
-    out = [1]
-    while out[0] * FAN < buckets:
-        out.insert(0, out[0] * FAN)
+    """How many buckets make one bucket of each exchange, coarsest first; the last is 1.
+
+    Each exchange has as many buckets as FAN lets it have: fewer would bring all rows to a few tasks.
+    """
+    out = [-(-buckets // FAN)]
+    while out[-1] > 1:
+        out.append(-(-out[-1] // FAN))
     return out
 
 
-def by_bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
-    """The rows of each bucket, of rows that come sorted by bucket."""
-    held, last = [], None
+def by_bucket(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.Table]:
+    """Rows with about `most` entries of one bucket together, of rows that come sorted by bucket; no bucket is held whole."""
+    held, n, last = [], 0, None
     for batch in batches:
-        for a, n in zip(*(x.tolist() for x in run_lengths(batch["bucket"].to_numpy())), strict=True):
-            bucket = batch["bucket"][a].as_py()
-            if held and bucket != last:
+        sizes = [int(from_planes(x, "<u4").sum()) for x in batch["counts"].to_pylist()]
+        for i, (bucket, size) in enumerate(zip(batch["bucket"].to_pylist(), sizes, strict=True)):
+            if held and (bucket != last or n + size > most):
                 yield pa.Table.from_batches(held)
-                held = []
-            held.append(batch.slice(a, n))
+                held, n = [], 0
+            held.append(batch.slice(i, 1))
+            n += size
             last = bucket
     if held:
         yield pa.Table.from_batches(held)
@@ -202,14 +206,9 @@ def dealt(rows: DataFrame, width: int, buckets: int) -> DataFrame:
 
     def again(span: int):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for table in by_bucket(batches):
-                a, n, size = 0, 0, 0
-                ends = np.cumsum([len(x) for x in table["ids"].to_pylist()])
-                while a < table.num_rows:  # rows with about FLUSH entries together
-                    b = max(a + 1, int(np.searchsorted(ends, (ends[a - 1] if a else 0) + FLUSH)))
-                    entries, settled = Entries.unpack(table.slice(a, b - a), width)
-                    yield from packed(entries, settled, buckets, span)
-                    a = b
+            for table in by_bucket(batches, FLUSH if width == 1 else FLUSH // 4):  # more numbers come with strings
+                entries, settled = Entries.unpack(table, width)
+                yield from packed(entries, settled, buckets, span)
 
         return run
 
